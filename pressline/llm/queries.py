@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressline.llm import chat_format, exact_dedup, mixing, url_filter
+from pressline.llm import chat_format, decontaminate, exact_dedup, mixing, pii, secrets, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     probe = "</s>[INST] ok [/INST]"
@@ -22,10 +30,18 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -35,5 +51,5 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from documents window w as (partition by coalesce(text, ''))
 """
 
-QUERIES = {f.__name__: f for f in (op4_chat_formatting, op5_source_mixing, op7_url_filter, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup)}
 ORACLE = {"op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressline.llm import chat_format, decontaminate, exact_dedup, mixing, pii, secrets, toxicity, url_filter
+from pressline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, mixing, pii, secrets, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     probe = "</s>[INST] ok [/INST]"
@@ -51,5 +55,20 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from documents window w as (partition by coalesce(text, ''))
 """
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup)}
-ORACLE = {"op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL}
+# links are few, so candidates may meet on any shared shingle here
+JACCARD_SQL = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, chr(10))] else [w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] for i in range(1, len(w) - 1)] end) as g from d),
+c as (select list_sort(g) as g, min(doc_id) as id, count(*) as copies, len(any_value(g)) as n from s where len(g) > 0 group by list_sort(g)),
+e as (select id, n, unnest(g) as t from c),
+p as (select x.id as a, y.id as b, count(*) as o, any_value(x.n) as na, any_value(y.n) as nb from e x join e y on x.t = y.t and x.id < y.id and 100 * x.n >= 90 * y.n and 100 * y.n >= 90 * x.n group by x.id, y.id),
+l as (select a, b from p where 100 * o >= 90 * (na + nb - o)),
+r(id, to_id) as (select id, id from c union select r.id, case when l.a = r.to_id then l.b else l.a end from r join l on l.a = r.to_id or l.b = r.to_id),
+m as (select id, min(to_id) as component from r group by id),
+k as (select id, sum(copies) as links from (select l.a as id, c.copies from l join c on c.id = l.b union all select l.b, c.copies from l join c on c.id = l.a) group by id)
+select s.doc_id, len(s.g)::bigint as n_shingles, case when len(s.g) = 0 then s.doc_id else m.component end as component_id, case when len(s.g) = 0 then 0 else c.copies - 1 + coalesce(k.links, 0) end::bigint as n_links
+from s left join c on c.g = list_sort(s.g) left join m on m.id = c.id left join k on k.id = c.id
+"""
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup)}
+ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL}

@@ -98,6 +98,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     named = stored(name_documents(docs, id_col, text_col, **options), "named")
     groups = named.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # stored, so that both sides of the join are plain shuffles and a hot group's rows can be split
+    groups = stored(groups, "groups")
     out = named.join(groups, ["level", "name"])
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha256").alias("text_sha256"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, mixing, pii, secrets, toxicity, url_filter
+from pressline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, mixing, pii, secrets, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+
+
 DEDUP_SQL = """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window w as (partition by coalesce(text, ''))
@@ -70,5 +74,5 @@ select s.doc_id, len(s.g)::bigint as n_shingles, case when len(s.g) = 0 then s.d
 from s left join c on c.g = list_sort(s.g) left join m on m.id = c.id left join k on k.id = c.id
 """
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup)}
 ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL}

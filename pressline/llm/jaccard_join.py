@@ -85,7 +85,9 @@ def segment_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
         total = np.add.reduceat(strong, starts)
         with np.errstate(over="ignore"):
             out.append(mixed(total ^ (fragment[starts] * SALTS[0] + np.uint64(k))))
-            if len(starts) <= n * (den - num) // num:
+            # the most n-grams that can differ: s is the smaller set, or the larger beside one of at most top
+            spoiled = n * (den - num) // num if n <= top else (n + top) * (den - num) // (den + num)
+            if len(starts) <= spoiled:
                 out.append(mixed(strong ^ (SALTS[1] + np.uint64(k))))
     return np.concatenate(out)
 

@@ -15,7 +15,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     label of that label, so distances halve. Labels are written between rounds;
     hot ids are combined on the map side or split as skewed join keys.
     """
-    edges = edges.where("a is not null and b is not null and a <> b")
+    edges = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # every id points to its smallest neighbour, and so do its other neighbours: many edges become the same
+    least = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least"))
+    edges = edges.join(least, edges["a"] == least["id"]).select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
     both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     while True:

@@ -37,7 +37,7 @@ CLASS_RATIO = 1.5
 BLOCK_DOCS, BLOCK_GRAMS = 256, 500_000
 #: Vocabulary of one fragment in the verification.
 FRAGMENT = 4096
-#: Family members (16 bytes each) are broadcast up to this many, else joined by shuffle.
+#: Ids of family members (8 bytes each) are broadcast up to this many, else joined by shuffle.
 MAX_BROADCAST = 1_000_000
 
 _BOUNDS = [1]
@@ -232,22 +232,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dealt = stored(dealt.select("id", "d1", "d2", "family", "copies", "spots"), "dealt")
     n_members = dealt.count()
     if n_members:
-        side = F.broadcast(dealt) if n_members <= MAX_BROADCAST else dealt
-        texts = docs.join(side, docs["doc_id"] == dealt["id"]).select("id", "d1", "d2", "family", "copies", "spots", raw("text").alias("data"))
+        ids = dealt.select("id").distinct()
+        texts = docs.join(F.broadcast(ids) if n_members <= MAX_BROADCAST else ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", raw("text").alias("data"))
 
         def cut(batches):
             for batch in batches:
-                keep, grams = [], []
-                for i, s in enumerate(shingle_sets(texts_of(batch.column(6)), words)):
-                    digest = xxhash.xxh3_128_digest(s.tobytes())
-                    # another text under the same id is another member
-                    if int.from_bytes(digest[:8], "big", signed=True) == batch.column(1)[i].as_py() and int.from_bytes(digest[8:], "big", signed=True) == batch.column(2)[i].as_py():
-                        keep.append(i)
-                        grams.append(s.tobytes())
-                left = batch.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([left.column(0), left.column(3), left.column(4), left.column(5), pa.array(grams, pa.binary())], ["id", "family", "copies", "spots", "grams"])
-
-        sets = texts.mapInArrow(cut, "id long, family long, copies long, spots array<struct<kind:int,c:int,x:int,y:int,side:int>>, grams binary")
+                d1, d2, grams = [], [], []
+                for s in shingle_sets(texts_of(batch.column(1)), words):
+                    data = s.tobytes()
+                    digest = xxhash.xxh3_128_digest(data)
+                    d1.append(int.from_bytes(digest[:8], "big", signed=True))
+                    d2.append(int.from_bytes(digest[8:], "big", signed=True))
+                    grams.append(data)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(grams, pa.binary())], ["id", "d1", "d2", "grams"])
+
+        # another text under the same id is another member, hence the digest in the key
+        sets = texts.mapInArrow(cut, "id long, d1 long, d2 long, grams binary").join(dealt, ["id", "d1", "d2"])
         sets = sets.select("id", "family", "copies", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "spot.*", "grams")
         links = stored(sets.groupBy("family", "kind", "c", "x", "y").applyInArrow(_links(num, den), "id long, root long, links long"), "links")
         release(spark)

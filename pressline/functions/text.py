@@ -25,7 +25,7 @@ CLEANING = [
     (r"\\text\{([^{}]*)\}", "$1"),
     (r"\\frac\{([^{}]*)\}\{([^{}]*)\}", " $1/$2"),
     (r"\\bullet", "\u2022"),
-    (r"\\quad|\\qquad|\\,|\;", " "),
+    (r"\\quad|\\qquad|\\,|\\;", " "),
     (r"\\\\", " "),
     (r"(?i)</?math>", ""),
     (r"\|", " "),

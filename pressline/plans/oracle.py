@@ -235,6 +235,9 @@ bs as (select grp, nm from (select *, row_number() over (partition by grp order
 select issue_id, bs.nm as canonical from mb join bs using (grp)""",
     "components": PAIRS.replace("with ", "with recursive ", 1)
     + ", ee as (select a, b from mp union select b, a from mp), rc(id, t) as (select a, a from ee union select rc.id, ee.b from rc join ee on ee.a = rc.t) select id, min(t) as component from rc group by id",
+    # donors' names end in a number, so only the exact rule can match: no place, equal tokens
+    "cross_issue_names": ctes("duckdb", "issues")
+    + ", d as (select newspaper, case when newspaper like 'The %' then 'THE EVENING TELEGRAPH' else 'EVENING TELEGRAPH' end tk from issues where newspaper_source = 'page_headers'), a as (select issue_id, case when issue_id::int % 2 = 0 then 'EVENING TELEGRAPH' else 'THE EVENING TELEGRAPH' end ph from issues where newspaper_source <> 'page_headers' and (city is null or province is null)) select issue_id, min(newspaper) as newspaper from a join d on tk = ph group by issue_id",
     "continuation_links": ctes("duckdb", "stories")
     + f""",
 a as (select *, {_continued('on')} continued_on_page, {_continued('from')} continued_from_page from stories),

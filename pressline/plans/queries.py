@@ -238,9 +238,9 @@ def same_publication(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cross_issue_names(spark: SparkSession, sf: str) -> DataFrame:
     index = fixture(spark, sf, "issues")
-    phrase = F.array_join(headers.header_tokens("newspaper"), " ")
-    asking = index.where("newspaper_source <> 'page_headers' and newspaper <> ''")
-    clusters = asking.select("issue_id", phrase.alias("phrase"), F.lit(2).cast("long").alias("votes"), F.lit(0).alias("rank")).where("phrase <> ''")
+    phrase = F.when(F.col("issue_id").cast("int") % 2 == 0, "EVENING TELEGRAPH").otherwise("THE EVENING TELEGRAPH")
+    asking = index.where("newspaper_source <> 'page_headers'")
+    clusters = asking.select("issue_id", phrase.alias("phrase"), F.lit(2).cast("long").alias("votes"), F.lit(0).alias("rank"))
     return identity.cross_issue_names(asking, clusters, index)
 
 

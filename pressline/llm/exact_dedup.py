@@ -52,7 +52,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hash_of = hash_of or F.xxhash64
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(F.col(id_col).alias("id"), data.alias("data"))
-    cut = base.select(F.explode(_blocks(F.col("data"), block_bytes)).alias("block")).select(hash_of("block").alias("h"), "block")
+    cut = base.select(F.explode(_blocks(F.col("data"), block_bytes)).alias("block")).select(hash_of(F.col("block")).alias("h"), "block")
     clashing = stored(_collisions(cut), "clashing")
     n_clashing = clashing.count()
     rows = base.withColumn("row_id", F.monotonically_increasing_id())
@@ -66,7 +66,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         variants = stored(variants.withColumn("b", F.row_number().over(Window.partitionBy("h").orderBy("block"))), "variants")
         blocks = _blocks(F.col("data"), block_bytes)
         cut = rows.select("row_id", "id", F.sha2("data", 256).alias("sha256"), F.size(blocks).alias("parts"), F.posexplode(blocks).alias("pos", "block"))
-        cut = cut.withColumn("h", hash_of("block")).join(small.withColumn("clash", F.lit(True)), "h", "left")
+        cut = cut.withColumn("h", hash_of(F.col("block"))).join(small.withColumn("clash", F.lit(True)), "h", "left")
         cut = cut.withColumn("block", F.when(F.col("clash"), F.col("block"))).join(variants, ["h", "block"], "left")
         cut = stored(cut.select("row_id", "id", "sha256", "parts", "pos", F.col("h").alias("a"), F.coalesce("b", F.lit(0)).cast("long").alias("b")), "rows")
         parts, rows = cut.select("row_id", "parts", "pos", "a", "b"), cut.where("pos = 0")

@@ -37,6 +37,16 @@ CLASSES = 66
 #: Labelled samples of each class for training, and documents that ordinary words come from.
 SAMPLES, SAMPLE_DOCS = 4000, 500
 
+#: Labelled ordinary words beside those of the corpus.
+ORDINARY = (
+    "account action active address amount array audio backup block bottom buffer button cache callback category center channel character check child class client close color column command comment common compare config connection console content context"
+    " control count create current custom data database date default delete description design device directory display document domain download driver element email enable encode engine entry error event example export field file filter folder font form"
+    " format frame function group handle header height history host image import index info initial input insert install instance integer internal invalid item language layout length level library limit line list load local location manager market match"
+    " maximum memory menu message method middle minimum model module mouse name network node number object option order output package page parameter parent password path pattern payment performance picture point port position previous price print process"
+    " product profile program project property public query question queue random range record reference region report request reset resource response result return root schedule screen script search section select send server service session setting shape"
+    " signal simple size source space start state status storage stream string structure style submit support switch system table target template text thread time title token toggle total track transaction transfer type update upload user value variable vector version view visible volume width window word write"
+).split()
+
 _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_="
 CODE = np.full(128, CLASSES - 1, np.int64)
 for _i, _c in enumerate(_ALPHABET[: CLASSES - 1]):
@@ -53,7 +63,6 @@ def random_strings(n: int, seed: int = 1) -> list[str]:
 def identifiers(words: list[str], n: int, seed: int = 2) -> list[str]:
     """Labelled sample of class 0: words joined the way code and file names join them."""
     rng = random.Random(seed)
-    words = words or ["value", "name", "count", "index", "total", "list", "table", "record", "update", "number"]
     out = []
     for i in range(n):
         parts: list[str] = []
@@ -89,7 +98,7 @@ class Markov:
 
 def trained(words: list[str]) -> tuple[np.ndarray, float]:
     """(table, threshold): the midpoint between the classes' tails on held-back samples."""
-    positive, negative = random_strings(SAMPLES), identifiers(words, SAMPLES)
+    positive, negative = random_strings(SAMPLES), identifiers([*ORDINARY, *words], SAMPLES)
     cut = SAMPLES * 3 // 4
     model = Markov(positive[:cut], negative[:cut])
     low = float(np.quantile([model.ratio(s) for s in positive[cut:]], 0.01))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,3 +36,15 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files and broadcasts that nothing refers to any more."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def visible(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    On a cluster ship it with --py-files; this only adds a folder to their path.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    return spark

@@ -188,7 +188,7 @@ select doc_id, row_number() over (partition by doc_id order by reading_order, y0
     "strip_urls": f"select page_id, {collapse(rep(q('see ') + ' || url || ' + q(' or mail.example.org for more'), text.URL, ' '))} as stripped from pages",
     "join_lines": ctes("duckdb", "breaks") + f", g as (select doc_id, list(line order by n) ls from breaks group by doc_id) select doc_id, {joined('ls')} as joined from g",
     "word_count": f"select doc_id, len({words('text')})::int as word_count from documents",
-    "alpha_shares": ctes("duckdb", "l") + f" select doc_id, i, case when line = '' then 0.0 else round(round(greatest(0.3, {share('line', chr(92) + 'p{L}' + chr(92) + 'p{N}')}), 4), 3) end as proxy, round({share('line', chr(92) + 'p{L}')}, 6) as ratio from l",
+    "alpha_shares": ctes("duckdb", "l") + f" select doc_id, i, case when line = '' then 0.0 else round(greatest(0.3, {share('line', chr(92) + 'p{L}' + chr(92) + 'p{N}')}), 4) end as proxy, round({share('line', chr(92) + 'p{L}')}, 6) as ratio from l",
     "garbage_lines": ctes("duckdb", "noise")
     + f", x as (select doc_id, i, {_S} s from noise), y as (select *, {_MOSTS} most from x) select doc_id, i, length(s) < 4 or {share('s', chr(92) + 'p{L}')} < 0.25 or not regexp_matches(s, '[A-Za-z]{{3,}}') or length({_SPECIAL}) > 0.3 * length(s) or {_RS} as garbage from y",
     "repetitive_lines": ctes("duckdb", "noise") + f", y as (select *, {_MOST} most from noise) select doc_id, i, {_R} as repetitive, most::int as most from y",

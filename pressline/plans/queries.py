@@ -106,7 +106,7 @@ def word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def alpha_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture(spark, sf, "l").select("doc_id", "i", F.round(text.alpha_proxy(F.col("line")), 3).alias("proxy"), F.round(text.alpha_ratio(F.col("line")), 6).alias("ratio"))
+    return fixture(spark, sf, "l").select("doc_id", "i", text.alpha_proxy(F.col("line")).alias("proxy"), F.round(text.alpha_ratio(F.col("line")), 6).alias("ratio"))
 
 
 @query

@@ -37,12 +37,12 @@ DEPTH, GRAM = 100, 28
 #: Widest run of offsets in pass 2.
 BIN = 10
 MAX_BITS = 28
-#: Bytes that are hashed at once; a position must fit in 20 bits.
-RUN, PIECE = 400_000, 524_288
+#: Bytes that are hashed at once; a position must fit in 18 bits.
+RUN, PIECE = 100_000, 131_072
 #: Removed spans (16 bytes each) are broadcast up to this many, else joined by shuffle.
 MAX_BROADCAST = 2_000_000
 
-_SIZE = 1 << 20
+_SIZE = 1 << 18
 _PLACE = np.uint64(_SIZE - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
@@ -133,8 +133,9 @@ class Runs:
         first, last = self.anchor - bin_ * width, self.anchor - bin_ * width - width + 1
         return self.hashed(0, first, last + DEPTH, bin_ + 1000)
 
-    def context(self, which: int) -> np.ndarray:
-        return self.hashed(which, self.lo, self.hi + DEPTH, (self.anchor - self.lo) * 256 + (self.hi - self.lo) + 1)
+    def context(self) -> np.ndarray:
+        """Hash of all bytes of the run's windows and where the anchor lies in them."""
+        return self.hashed(1, self.lo, self.hi + DEPTH, (self.anchor - self.lo) * 256 + (self.hi - self.lo) + 1)
 
 
 def runs_of(column: pa.Array):
@@ -209,9 +210,8 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
 
             def digits(batches, narrowed=narrowed, width=width):
                 for batch in batches:
-                    parts = [runs.digit(width) for runs, _ in narrowed(batch)]
-                    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-                    yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], ["digit"])
+                    for runs, _ in narrowed(batch):
+                        yield pa.RecordBatch.from_arrays([pa.array(runs.digit(width).view(np.int64))], ["digit"])
 
             seen = base.mapInArrow(digits, "digit long").groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             repeats = _bitmap(seen, "digit", bits)
@@ -219,30 +219,34 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
 
         def records(batches, narrowed=narrowed, width=width, repeats=repeats):
             for batch in batches:
-                out: list[list] = [[] for _ in range(7)]
                 for runs, own in narrowed(batch):
                     if repeats is not None:
                         runs.keep(_has(repeats, bits, runs.digit(width)))
                     text, at = runs.place(runs.lo)
-                    columns = (runs.digit(width).view(np.int64), runs.context(0).view(np.int64), runs.context(1).view(np.int64), own[text], at, at + runs.hi - runs.lo, _spots(own[text], at).view(np.int64))
-                    for o, c in zip(out, columns, strict=True):
-                        o.append(c)
-                flat = [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
-                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in flat], ["digit", "d1", "d2", "id", "lo", "hi", "spot"])
+                    columns = (runs.digit(width).view(np.int64), runs.context().view(np.int64), own[text], at)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(runs.hi - runs.lo, pa.int32())], ["digit", "context", "id", "lo", "more"])
 
-        rows = stored(base.mapInArrow(records, "digit long, d1 long, d2 long, id long, lo long, hi long, spot long"), "records")
+        # a digit and a context are hashes by different bases, so the pair is a 128-bit key
+        rows = stored(base.mapInArrow(records, "digit long, context long, id long, lo long, more int"), "records")
         release(spark)
-        contexts = rows.groupBy("digit", "d1", "d2").agg(F.min(F.struct("id", "lo", "spot")).alias("first"), F.count(F.lit(1)).alias("n"))
-        contexts = stored(contexts.select("digit", "d1", "d2", "first.*", "n"), "contexts")
+        contexts = rows.groupBy("digit", "context").agg(F.min(F.struct("id", "lo")).alias("first"), F.count(F.lit(1)).alias("n"))
+        contexts = stored(contexts.select("digit", "context", "first.*", "n"), "contexts")
         release(spark)
-        copied = contexts.where("n > 1").select("digit", "d1", "d2", F.col("id").alias("first_id"), F.col("lo").alias("first_lo"))
-        again = rows.join(copied, ["digit", "d1", "d2"]).where("id <> first_id or lo <> first_lo").select("id", "lo", "hi")
+        copied = contexts.where("n > 1").select("digit", "context", F.col("id").alias("first_id"), F.col("lo").alias("first_lo"))
+        again = rows.join(copied, ["digit", "context"]).where("id <> first_id or lo <> first_lo").select("id", "lo", (F.col("lo") + F.col("more")).alias("hi"))
         again = stored(again, "again")
         found = again if found is None else found.unionByName(again)
         release(spark)
         if width != 1:
-            mixed_digits = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("digit")
-            picks.append((width, _bitmap(contexts.join(mixed_digits, "digit"), "spot", bits)))
+
+            def spots(batches):
+                for batch in batches:
+                    ids, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                    yield pa.RecordBatch.from_arrays([pa.array(_spots(ids, at).view(np.int64))], ["spot"])
+
+            shared = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("digit")
+            picks.append((width, _bitmap(contexts.join(shared, "digit").select("id", "lo").mapInArrow(spots, "spot long"), "spot", bits)))
+            release(spark)
     return found
 
 

@@ -34,7 +34,7 @@ from pressline.session import release, stored
 #: Ratio of neighbouring size classes.
 CLASS_RATIO = 1.5
 #: A block holds about this many documents and n-grams.
-BLOCK_DOCS, BLOCK_GRAMS = 256, 500_000
+BLOCK_DOCS, BLOCK_GRAMS = 1024, 1_000_000
 #: Vocabulary of one fragment in the verification.
 FRAGMENT = 4096
 #: Ids of family members (8 bytes each) are broadcast up to this many, else joined by shuffle.

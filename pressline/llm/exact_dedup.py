@@ -23,6 +23,8 @@ from pressline.session import stored
 BLOCK_BYTES = 4096
 #: Colliding hashes are broadcast up to this many (8 bytes each), else joined by shuffle.
 MAX_BROADCAST_COLLISIONS = 100_000
+#: Dropped rows (32 bytes each) are broadcast up to this many, so texts are not shuffled; beyond, by shuffle.
+MAX_BROADCAST_GONE = 1_000_000
 
 
 def _blocks(data: F.Column, size: int) -> F.Column:
@@ -111,8 +113,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one; rows with a null id stay unless another id holds their text.
     """
     groups = stored(exact_groups(docs, id_col, text_col), "groups")
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_sha256").alias("__sha")).distinct()
-    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256)
+    # the hash only tells apart texts under one repeated id
+    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.substring("text_sha256", 1, 16).alias("__sha")).distinct()
+    sha = F.substring(F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256), 1, 16)
+    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_GONE else gone
     left = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")) & (sha == F.col("__sha")), "left_anti")
     total = groups.where("kept").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_sha256"))).alias("d")).first()
     return left if total.n == total.d else left.dropDuplicates([id_col, text_col])

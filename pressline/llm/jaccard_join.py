@@ -269,4 +269,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     groups = jaccard_join(docs, id_col, text_col, words, num, den)
     gone = stored(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
     release(docs.sparkSession)
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    # ids of 8 bytes: texts are shuffled only where too many of them go
+    small = F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone
+    return docs.join(small, docs[id_col] == F.col("__gone"), "left_anti")

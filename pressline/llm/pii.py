@@ -105,7 +105,7 @@ def _found(text: Column, generator: str, kind: str, pattern: str) -> Column:
         i.alias("n"),
         F.length(F.get(gaps, i)).alias("gap"),
         F.length(hit).alias("size"),
-        F.left(hit, F.lit(400)).alias("hit"),
+        hit.alias("hit"),
         F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
         F.left(F.get(gaps, i + 1), F.lit(8)).alias("after"),
     )
@@ -127,8 +127,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spans = rows.where(F.size("found") > 0).select("row_id", F.explode("found").alias("f")).select("row_id", "f.*")
     line = Window.partitionBy("row_id", "generator", "kind").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = spans.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(line)).withColumn("start", F.col("end") - F.col("size"))
-    # a hit over 400 characters fails every rule on digits; only emails can be longer, and they always pass
-    spans = spans.withColumn("ok", F.coalesce((F.col("size") <= 400) & valid(F.col("kind"), F.col("hit")), F.lit(False)) | ((F.col("kind") == "email") & (F.col("generator") == "base")))
+    # rules and features see the whole hit: dots, blanks and leading zeros can make a valid one long
+    spans = spans.withColumn("ok", F.coalesce(valid(F.col("kind"), F.col("hit")), F.lit(False)))
     spans = spans.withColumn("base", (F.col("generator") == "base") & F.col("ok"))
     label = F.when(F.col("generator") == "base", F.col("ok").cast("int")).when(F.col("generator") == "number", F.lit(0))
     spans = spans.withColumn("y", label).withColumns(features(F.col("hit"), F.col("before"), F.col("after")))

@@ -49,6 +49,19 @@ def test_pii_base_equals_brute_force(spark):
         assert set(want) <= set(r.spans.split(","))
 
 
+def test_pii_long_hits_are_judged_whole(spark):
+    texts = ["call +1" + "." * 500 + "5551234567 x", "0" * 450 + "7.1.2." + "0" * 450 + "255", "+1" + " -" * 300 + "5551234567", "0" * 450 + "7.1.2." + "0" * 450 + "256", "+1 555 123 4567" + "." * 500 + "12345", "a" * 500 + "@b.cc"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pii_report(rows).collect()}
+    for i, t in enumerate(texts):
+        want = brute(t)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (t, got[i].spans)
+    assert [(got[i].n_ip, got[i].n_phone) for i in range(6)] == [(0, 1), (1, 0), (0, 1), (0, 0), (0, 0), (0, 0)]
+    _, spans = pii.candidates(rows)
+    phones = spans.where("generator = 'base' and kind = 'phone'").orderBy("row_id").collect()
+    assert [(r.y, r.digits) for r in phones] == [(1, 6), (1, 6), (0, 8)]
+
+
 def test_pii_method_adds_and_redacts(spark):
     good = [(i, f"call +1 ({200 + i}) 555-01{i:02d} now") for i in range(60)] + [(100 + i, f"in {1900 + i} there were {i} of 12,{i:03d}") for i in range(60)]
     rows = spark.createDataFrame([*good, (900, "call (974) 555-3436 now"), (901, None)], "doc_id long, text string")

@@ -173,15 +173,16 @@ def canonical_names(issues: DataFrame, pairs: DataFrame | None = None) -> DataFr
     return members.select("issue_id", "group").join(best, "group").select("issue_id", "canonical")
 
 
-def reconcile(issues: DataFrame, clusters: DataFrame, rounds: int = 5, regions: DataFrame | None = None) -> DataFrame:
+def reconcile(issues: DataFrame, clusters: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """C3, F13. Fallback names and missing places looked up again against the whole index.
 
     Set-based rounds over a snapshot until nothing changes (Q10), each written out
-    so that the plan does not grow."""
+    so that the plan does not grow. A round only fills empty fields, so the rounds
+    end by themselves; a place moves one sibling further in each."""
     from pressline.session import stored
 
     current = stored(issues, "issues")
-    for _ in range(rounds):
+    while True:
         open_ = (F.col("newspaper_source") == "fallback") | F.coalesce(null_if_empty(F.col("city")), F.lit("")).eqNullSafe("")
         cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, current).select("issue_id", F.col("newspaper").alias("__cross"))
         named = current.withColumn("__open", open_).join(cross, "issue_id", "left")
@@ -194,5 +195,4 @@ def reconcile(issues: DataFrame, clusters: DataFrame, rounds: int = 5, regions:
         step = stored(step, "step")
         current = step.drop("__changed")
         if step.where("__changed").isEmpty():
-            break
-    return current
+            return current

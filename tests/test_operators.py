@@ -153,6 +153,15 @@ def test_c3_reconcile_and_unrelated_issue(spark):
         assert got["1"] == ("Evening Telegraph", "cross_issue") and got["2"] == ("Evening Telegraph", "page_headers")
 
 
+def test_c3_reconcile_fills_a_whole_chain(spark):
+    # the masthead of an issue overlaps by half with its neighbours' only
+    words = [f"{a}{b}stuvw" for a in "abcde" for b in "fghij"]
+    rows = [issue(f"i{i:02d}", "x", "fallback", *(("Saint John", "N.B.") if i == 0 else (None, None)), masthead=" ".join(words[2 * i : 2 * i + 4])) for i in range(10)]
+    clusters = spark.createDataFrame([], "issue_id string, phrase string, votes long, rank int")
+    got = {r.issue_id: (r.city, r.province) for r in identity.reconcile(spark.createDataFrame(rows, ISSUE), clusters).collect()}
+    assert got == {f"i{i:02d}": ("Saint John", "N.B.") for i in range(10)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -15,6 +15,7 @@ are read in one narrow pass for each part and never shuffled.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pressline.llm.words import raw, texts_of
 Q = 10
 #: Edits allowed for each byte of an item.
 EDIT_RATE = 0.07
-#: Items shorter than this say too little to accuse a document; they are not searched.
-MIN_BYTES = 40
+#: An item needs one q-gram to be searched; unsearched() tells the shorter ones.
+MIN_BYTES = Q
 #: Most bytes of benchmark text sent to the executors at once.
 PART_BYTES = 16_000_000
 BLOOM_BITS = 22
@@ -63,8 +64,9 @@ class Index:
         self.item = np.repeat(np.arange(len(items)), sizes)[order]
         self.offset = (np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
         self.length = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = np.floor(self.length * EDIT_RATE).astype(np.int64)
-        self.bound = np.maximum(1, self.length + 1 - Q - self.edits * Q)
+        # as many edits as leave a q-gram whole: none under 20 bytes, one under 30, from there on the rate is less
+        self.edits = np.minimum(np.floor(self.length * EDIT_RATE), (self.length - Q) // Q).astype(np.int64)
+        self.bound = self.length + 1 - Q - self.edits * Q
         self.width = 2 * self.edits + 1
         self.bloom = np.zeros(1 << BLOOM_BITS, bool)
         self.bloom[self.grams >> np.uint64(64 - BLOOM_BITS)] = True
@@ -102,11 +104,23 @@ class Index:
             w, m = int(self.width[item]), int(self.length[item])
             low = band * w - m
             found = align(self.texts[item], text, low, low + 2 * w - 1, int(self.edits[item]))
+            # without edits an item is short: it counts only as whole words
+            if found and w == 1 and not on_borders(text, *found[:2]):
+                continue
             if found and (item not in best or (found[2], found[0]) < (best[item][2], best[item][0])):
                 best[item] = found
         return [(self.ids[i], *found) for i, found in sorted(best.items())]
 
 
+WORD = re.compile(rb"[0-9a-z_\x80-\xff]")
+
+
+def on_borders(text: bytes, start: int, end: int) -> bool:
+    """No word of text goes on over the start or the end of the region."""
+    inner = [bool(WORD.match(text, i)) for i in (start, end - 1)]
+    return not (inner[0] and start and WORD.match(text, start - 1)) and not (inner[1] and WORD.match(text, end))
+
+
 def align(item: bytes, text: bytes, low: int, high: int, most: int):
     """(start, end, edits) of item in text on diagonals low..high, or None beyond `most` edits.
 
@@ -115,6 +129,8 @@ def align(item: bytes, text: bytes, low: int, high: int, most: int):
     exact = text.find(item, max(0, low), max(0, high + len(item)))
     if exact >= 0:
         return exact, exact + len(item), 0
+    if not most:
+        return None
     width, far = high - low + 1, most + 1
     padded = np.full(len(item) + width + 1, 256, np.int16)
     begin, end = max(0, low), min(len(text), high + len(item) + 1)
@@ -158,11 +174,24 @@ def _parts(benchmark: DataFrame, id_col: str, text_col: str):
         yield Index([(r.item_id, t) for r in sorted(rows, key=lambda r: (r.item_id is None, r.item_id, bytes(r.data))) if len(normal(t := bytes(r.data))) >= MIN_BYTES])
 
 
+def unsearched(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item_id, bytes) of the items that are too short to search, with the length of their normalised text."""
+
+    def short(batches):
+        for batch in batches:
+            sizes = [len(normal(t)) for t in texts_of(batch.column(1))]
+            rows = [i for i, n in enumerate(sizes) if n < MIN_BYTES]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array([sizes[i] for i in rows], pa.int32())], ["item_id", "bytes"])
+
+    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), raw(text_col).alias("data")).mapInArrow(short, "item_id long, bytes int")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and item found in it: doc_id, item_id, start, end, edits.
 
     start and end are bytes of the normalised text (best region of the item).
-    Empty and null texts hold nothing; items under MIN_BYTES are not searched;
+    Empty and null texts hold nothing; items under MIN_BYTES are not searched,
+    see unsearched(); those under 2 * Q are found as they are, as whole words;
     rows that repeat an id are searched each; equal items count under their
     smallest id.
     """

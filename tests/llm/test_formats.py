@@ -189,6 +189,17 @@ def test_decontamination_equals_edit_distance(spark):
     assert decontaminate.drop_leaks(docs, bench.limit(0)).count() == 63 and decontaminate.find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    items = ["seven plus five is what", "name the red planet of mars now", "what is a quark", "+ 12 is how much?", "tiny", "", "what is the capital of old france"]
+    texts = ["x Seven  plus five is what y", "x seven plus fibe is what y", "x seven plus fibe is whot y", "name the rd planet of marz now", "So: what is a QUARK?", "what is a quarks", "awhat is a quark", "what is a qvark", "9+ 12 is how much?so", "tiny", "what is a quarks what is a quark", "what is teh capital of old france"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(0, 0), (1, 0), (3, 1), (4, 2), (8, 3), (10, 2), (11, 6)}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, bench).collect()} == want
+    assert {x.doc_id for x in decontaminate.drop_leaks(docs, bench).collect()} == set(range(12)) - {i for i, _ in want}
+    assert {(x.item_id, x.bytes) for x in decontaminate.unsearched(bench).collect()} == {(4, 4), (5, 0)}
+
+
 def test_decontamination_in_parts(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PART_BYTES", 150)
     items = [f"item {c} " + c * 60 for c in "abcd"]

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 
 import numpy as np
 import pyarrow as pa
@@ -98,18 +99,32 @@ class Index:
         return [(int(i), int(b) - 1) for i, b in zip(item[full], key[full] & ((1 << 40) - 1), strict=True)]
 
     def search(self, text: bytes):
-        """(item id, start, end, edits), the best region of each item in the normalised text."""
-        best: dict[int, tuple[int, int, int]] = {}
+        """(item id, start, end, edits) of every region of each item in the normalised text.
+
+        Of regions that overlap by more bytes than they have edits, the best counts."""
+        regions: dict[int, set[tuple[int, int, int]]] = {}
         for item, band in self.bands(text):
             w, m = int(self.width[item]), int(self.length[item])
             low = band * w - m
+            if item not in regions:
+                # one band gives one region, so runs of a repeated item are taken apart here
+                regions[item] = {(0, at.start(), at.end()) for at in re.finditer(re.escape(self.texts[item]), text)} if w > 1 else set()
             found = align(self.texts[item], text, low, low + 2 * w - 1, int(self.edits[item]))
             # without edits an item is short: it counts only as whole words
-            if found and w == 1 and not on_borders(text, *found[:2]):
-                continue
-            if found and (item not in best or (found[2], found[0]) < (best[item][2], best[item][0])):
-                best[item] = found
-        return [(self.ids[i], *found) for i, found in sorted(best.items())]
+            if found and (w > 1 or on_borders(text, *found[:2])):
+                regions[item].add((found[2], *found[:2]))
+        return [(self.ids[i], *r) for i, every in sorted(regions.items()) for r in apart(every)]
+
+
+def apart(regions) -> list[tuple[int, int, int]]:
+    """(start, end, edits) by start. regions (edits, start, end) are taken best first, if they share
+    no more bytes with those taken before than they have edits."""
+    kept: list[tuple[int, int, int]] = []
+    for edits, start, end in sorted(regions):
+        at = bisect(kept, (start, end, edits))
+        if (not at or kept[at - 1][1] - start <= edits) and (at == len(kept) or end - kept[at][0] <= edits):
+            kept.insert(at, (start, end, edits))
+    return kept
 
 
 WORD = re.compile(rb"[0-9a-z_\x80-\xff]")
@@ -187,9 +202,10 @@ def unsearched(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row for each document and item found in it: doc_id, item_id, start, end, edits.
+    """One row for each region of an item in a document: doc_id, item_id, start, end, edits.
 
-    start and end are bytes of the normalised text (best region of the item).
+    start and end are bytes of the normalised text. Regions of one item overlap
+    by no more bytes than they have edits, where the border of two is open.
     Empty and null texts hold nothing; items under MIN_BYTES are not searched,
     see unsearched(); those under 2 * Q are found as they are, as whole words;
     rows that repeat an id are searched each; equal items count under their

@@ -200,6 +200,19 @@ def test_decontamination_short_items(spark):
     assert {(x.item_id, x.bytes) for x in decontaminate.unsearched(bench).collect()} == {(4, 4), (5, 0)}
 
 
+def test_decontamination_finds_every_region(spark):
+    item = "the quick brown fox jumps over the lazy dog and runs away from the farm"
+    near = item.replace("jumps", "jumpt")
+    texts = [f"a {item} b {near} c {item}", near + item, item + item, f"{item[:40]} {item[30:]}", "x" * 1000, "why not, why not ask and  why not ask"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item), (1, "x" * 100), (2, "why not ask")], "item_id long, text string")
+    got = [tuple(x) for x in decontaminate.find_leaks(docs, bench).collect()]
+    n = len(item)
+    want = [(0, 0, 2, n + 2, 0), (0, 0, n + 5, 2 * n + 5, 1), (0, 0, 2 * n + 8, 3 * n + 8, 0), (1, 0, 0, n, 1), (1, 0, n, 2 * n, 0), (2, 0, 0, n, 0), (2, 0, n, 2 * n, 0)]
+    want += [(4, 1, 100 * i, 100 * i + 100, 0) for i in range(10)] + [(5, 2, 9, 20, 0), (5, 2, 25, 36, 0)]
+    assert sorted(got) == want
+
+
 def test_decontamination_in_parts(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PART_BYTES", 150)
     items = [f"item {c} " + c * 60 for c in "abcd"]

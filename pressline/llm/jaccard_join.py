@@ -135,29 +135,49 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarr
     return out
 
 
+def _counted(hit: np.ndarray, ids: np.ndarray, others: np.ndarray, weight: np.ndarray) -> dict[int, int]:
+    """id -> documents linked with any of its sets. hit has a row for each set of ids and a column for each of others."""
+    rows, own = np.unique(ids, return_inverse=True)
+    if len(rows) < len(ids):
+        merged = np.zeros((len(rows), len(others)), bool)
+        np.logical_or.at(merged, own, hit)
+        hit = merged
+    else:
+        hit = hit[np.argsort(ids)]
+    links = hit @ weight
+    columns, of = np.unique(others, return_inverse=True)
+    if len(columns) < len(others):
+        # an id met by several of its sets is one document
+        met = np.zeros((len(columns), len(rows)), np.int64)
+        np.add.at(met, of, hit.T)
+        links = links - np.maximum(met - 1, 0).sum(axis=0)
+    return {int(rows[i]): int(links[i]) for i in np.flatnonzero(hit.any(axis=1))}
+
+
 def _links(num: int, den: int):
     """Function for a group of one or two blocks: (id, root, links) of every document with a link."""
 
     def linked(table: pa.Table) -> pa.Table:
-        ids, sizes, sides = (table.column(c).to_pylist() for c in ("id", "copies", "side"))
+        ids, d1, d2, sizes, sides = (table.column(c).to_pylist() for c in ("id", "d1", "d2", "copies", "side"))
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
         place = {}
-        for i, key in enumerate(zip(sides, ids, strict=True)):
+        for i, key in enumerate(zip(sides, ids, d1, d2, strict=True)):
             place.setdefault(key, i)
-        first = [i for (side, _), i in place.items() if side == 0]
-        second = [i for (side, _), i in place.items() if side == 1]
+        first = [i for (side, *_), i in place.items() if side == 0]
+        second = [i for (side, *_), i in place.items() if side == 1]
         n = np.array([len(s) for s in sets])
         count = overlaps([sets[i] for i in first], [sets[i] for i in second] if second else None) if first else np.zeros((0, 0))
         other = second or first
         with np.errstate(invalid="ignore"):
             union = n[first][:, None] + n[other][None, :] - count
         hit = (count > 0) & (den * count >= num * union)
-        if not second:
-            np.fill_diagonal(hit, False)
+        name = np.array(ids, np.int64)
+        # the sets of one id are one node, not linked with itself
+        hit &= name[first][:, None] != name[other][None, :]
         weight = np.array(sizes)
-        found = {ids[i]: int((hit[x] * weight[other]).sum()) for x, i in enumerate(first) if hit[x].any()}
+        found = _counted(hit, name[first], name[other], weight[other])
         if second:
-            found |= {ids[j]: int((hit[:, y] * weight[first]).sum()) for y, j in enumerate(second) if hit[:, y].any()}
+            found |= _counted(hit.T, name[second], name[first], weight[first])
         root: dict = {}
 
         def find(x):
@@ -248,7 +268,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         # another text under the same id is another member, hence the digest in the key
         sets = texts.mapInArrow(cut, "id long, d1 long, d2 long, grams binary").join(dealt, ["id", "d1", "d2"])
-        sets = sets.select("id", "family", "copies", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "spot.*", "grams")
+        sets = sets.select("id", "family", "copies", "d1", "d2", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "d1", "d2", "spot.*", "grams")
         links = stored(sets.groupBy("family", "kind", "c", "x", "y").applyInArrow(_links(num, den), "id long, root long, links long"), "links")
         release(spark)
         groups = connected_components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))

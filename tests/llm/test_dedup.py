@@ -118,6 +118,16 @@ def test_near_keep_one_nulls_and_empty(spark):
     assert jaccard_join.jaccard_join(df.limit(0)).count() == 0
 
 
+def test_near_repeated_id_keeps_each_text(spark):
+    say = lambda c, k=20: " ".join(f"{c}{i}" for i in range(k))
+    a, b, c = say("a"), say("b"), say("c")
+    # 1: two texts, each with a near copy; 5: two texts near each other, both near 6; 9 is on its own
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (5, c), (5, c + " x"), (6, c + " y"), (9, say("d"))]
+    df = spark.createDataFrame([(i, t, "n") for i, t in rows], DOCS).repartition(4)
+    got = sorted((r.doc_id, r.component_id, r.n_links) for r in jaccard_join.jaccard_join(df).collect())
+    assert got == [(1, 1, 2), (1, 1, 2), (2, 1, 1), (3, 1, 1), (5, 5, 1), (5, 5, 1), (6, 5, 1), (9, 9, 0)]
+
+
 def brute_substrings(rows):
     seen, out = set(), {}
     for i, t in rows:

@@ -3,6 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
+from pressline.functions import headers, similarity
 from pressline.functions.components import connected_components
 from pressline.operators import articles as A
 from pressline.operators import blocks as B
@@ -162,6 +163,45 @@ def test_c3_reconcile_fills_a_whole_chain(spark):
     assert got == {f"i{i:02d}": ("Saint John", "N.B.") for i in range(10)}
 
 
+def test_pairs_equal_brute_force_on_a_hot_masthead(spark):
+    hot = "incorporated morning journal established weekly review"
+    mastheads = [hot] * 90 + ["incorporated morning journal founded", "morning journal printed daily evening pages", "short title", None, "review weekly other words entirely different"]
+    names = ["Evening Telegraph", "Evening Telegrapm", "Daily Gleaner", "Daily Gleanor", "Morning Chronicle"]
+    places = [("Saint John", "N.B."), ("SAINT JOHN", "NB"), ("Boston", "Mass."), (None, None)]
+    rows = [issue(f"i{k:03d}", names[k % 5], ("page_headers", "page_headers", "fallback")[k % 3], *places[k % 4], m) for k, m in enumerate(mastheads)]
+    df = spark.createDataFrame(rows, ISSUE)
+
+    prints = {r[0]: set(r[1]) for r in df.select("issue_id", headers.fingerprint(F.col("masthead"))).collect()}
+    ids = sorted(prints)
+    pairs = {(a, b, len(prints[a] & prints[b])) for a in ids for b in ids if a < b and prints[a] and prints[b] and prints[a] & prints[b] and 2 * len(prints[a] & prints[b]) >= min(len(prints[a]), len(prints[b]))}
+    got = [tuple(r) for r in identity.masthead_pairs(df).select("a", "b", "shared").collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs and len(pairs) > 90 * 89 / 2
+
+    read = {r[0]: r[1] for r in rows if r[2] == "page_headers"}
+    alike = {(a, b) for a in read for b in read if a < b and similarity.words_match(read[a], read[b])}
+    assert any(read[a] != read[b] for a, b in alike)
+    same = [tuple(r) for r in identity.same_publication(df).collect()]
+    assert len(same) == len(set(same)) and set(same) == alike | {p[:2] for p in pairs}
+
+    key = {"Saint John": 1, "SAINT JOHN": 1, "Boston": 2, None: None}
+    asking = [r for r in rows if r[2] == "fallback"]
+    clusters = spark.createDataFrame([(r[0], r[1].upper(), 2, 0) for r in asking], "issue_id string, phrase string, votes long, rank int")
+    want = {}
+    for r in asking:
+        fit = sorted(d[1] for d in rows if d[2] == "page_headers" and (key[d[3]] == key[r[3]] and similarity.words_match(r[1], d[1]) if r[3] else d[1] == r[1]))
+        if fit:
+            want[r[0]] = fit[0]
+    assert {tuple(x) for x in identity.cross_issue_names(df.where("newspaper_source = 'fallback'"), clusters, df).collect()} == set(want.items())
+    assert any(want[r[0]] != r[1] for r in asking if r[0] in want)
+
+    root = {i: i for i in ids}
+    for a, b in sorted(p[:2] for p in pairs):
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if x == high else x for i, x in root.items()}
+    paired = {i for p in pairs for i in p[:2]}
+    assert {r.id: r.component for r in connected_components(identity.masthead_pairs(df).select("a", "b")).collect()} == {i: root[i] for i in paired}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}

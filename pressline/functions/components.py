@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.session import stored
+from pressline.session import discard, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,13 +20,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     least = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least"))
     edges = edges.join(least, edges["a"] == least["id"]).select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("e")).select("e.*").where("a <> b").distinct()
     both = stored(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
+    labels = last = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["id"] == near["a"]).select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         step = stored(step, "step")
         upper = step.select(F.col("id").alias("of"), F.col("component").alias("top"))
         jumped = stored(step.join(upper, step["component"] == upper["of"]).select("id", "old", F.col("top").alias("component")), "labels")
-        labels = jumped.select("id", "component")
+        discard(step, last)
+        labels, last = jumped.select("id", "component"), jumped
         if jumped.where("old <> component").isEmpty():
+            discard(both)
             return labels

@@ -24,14 +24,15 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressline.llm.words import mixed, raw, texts_of
-from pressline.session import release, stored
+from pressline.llm.words import arrow_map, mixed, raw, texts_of
+from pressline.session import discard, release, stored
 
 DEPTH, GRAM = 100, 28
 #: Widest run of offsets in pass 2.
@@ -156,9 +157,9 @@ def runs_of(column: pa.Array):
         yield Runs(texts, [0] * len(texts)), rows
 
 
-def _has(bitmap: bytes, bits: int, h: np.ndarray) -> np.ndarray:
+def _has(bitmap, bits: int, h: np.ndarray) -> np.ndarray:
     spot = h >> np.uint64(64 - bits)
-    return (np.frombuffer(bitmap, np.uint8)[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return (np.frombuffer(bitmap.value, np.uint8)[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def _spots(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -166,8 +167,8 @@ def _spots(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mixed(ids.astype(np.uint64) * np.uint64(_BASES[0]) ^ (at.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASES[1]))
 
 
-def _bitmap(hashes: DataFrame, column: str, bits: int) -> bytes:
-    """The bits of the hashes' leading `bits` bits; 2**bits / 8 bytes, built on the executors."""
+def _bitmap(hashes: DataFrame, column: str, bits: int):
+    """Broadcast of the bits of the hashes' leading `bits` bits; 2**bits / 8 bytes, built on the executors."""
     spot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
     rows = hashes.select(spot.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("part")).collect()
     out = bytearray(1 << (bits - 3))
@@ -175,19 +176,19 @@ def _bitmap(hashes: DataFrame, column: str, bits: int) -> bytes:
         start = (r.bucket - 1) * 4096
         part = bytes(r.part)[: len(out) - start]
         out[start : start + len(part)] = part
-    return bytes(out)
+    return hashes.sparkSession.sparkContext.broadcast(bytes(out))
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).to_numpy(zero_copy_only=False)
 
 
-def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
-    """(id, lo, hi) of all window starts lo..hi whose 100 bytes start earlier too. base: id long, data."""
+def repeated_windows(base: DataFrame, total_bytes: int) -> list[DataFrame]:
+    """Stored tables (id, lo, hi) of all window starts lo..hi whose 100 bytes start earlier too. base: id long, data."""
     spark = base.sparkSession
-    bits = min(MAX_BITS, max(16, math.ceil(math.log2(max(2, total_bytes / 8)))))
-    picks: list[tuple[int | None, bytes]] = []
-    found = None
+    bits = min(MAX_BITS, max(16, math.ceil(math.log2(max(2, total_bytes / 16)))))
+    picks: list[tuple] = []
+    found = []
     for width in (None, BIN, 1):
         # every pass replays the choices of the passes before on the same texts
         chosen = list(picks)
@@ -213,7 +214,7 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
                     for runs, _ in narrowed(batch):
                         yield pa.RecordBatch.from_arrays([pa.array(runs.digit(width).view(np.int64))], ["digit"])
 
-            seen = base.mapInArrow(digits, "digit long").groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            seen = arrow_map(base, digits, "digit long").groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             repeats = _bitmap(seen, "digit", bits)
             release(spark)
 
@@ -227,15 +228,17 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(runs.hi - runs.lo, pa.int32())], ["digit", "context", "id", "lo", "more"])
 
         # a digit and a context are hashes by different bases, so the pair is a 128-bit key
-        rows = stored(base.mapInArrow(records, "digit long, context long, id long, lo long, more int"), "records")
+        rows = stored(arrow_map(base, records, "digit long, context long, id long, lo long, more int"), "records")
+        if repeats is not None:
+            repeats.destroy()
         release(spark)
         contexts = rows.groupBy("digit", "context").agg(F.min(F.struct("id", "lo")).alias("first"), F.count(F.lit(1)).alias("n"))
         contexts = stored(contexts.select("digit", "context", "first.*", "n"), "contexts")
         release(spark)
         copied = contexts.where("n > 1").select("digit", "context", F.col("id").alias("first_id"), F.col("lo").alias("first_lo"))
         again = rows.join(copied, ["digit", "context"]).where("id <> first_id or lo <> first_lo").select("id", "lo", (F.col("lo") + F.col("more")).alias("hi"))
-        again = stored(again, "again")
-        found = again if found is None else found.unionByName(again)
+        found.append(stored(again, "again"))
+        discard(rows)
         release(spark)
         if width != 1:
 
@@ -245,8 +248,11 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(_spots(ids, at).view(np.int64))], ["spot"])
 
             shared = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("digit")
-            picks.append((width, _bitmap(contexts.join(shared, "digit").select("id", "lo").mapInArrow(spots, "spot long"), "spot", bits)))
+            picks.append((width, _bitmap(arrow_map(contexts.join(shared, "digit").select("id", "lo"), spots, "spot long"), "spot", bits)))
             release(spark)
+        discard(contexts)
+    for _, bitmap in picks:
+        bitmap.destroy()
     return found
 
 
@@ -275,7 +281,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         order = (F.col("doc_id").asc_nulls_last(), F.col("data"))
         base = stored(base.repartitionByRange(*order).sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias("id"), "data", "doc_id"), "numbered")
-    spans = stored(removed_spans(repeated_windows(base.select("id", "data"), whole.bytes)), "spans")
+    windows = repeated_windows(base.select("id", "data"), whole.bytes)
+    spans = stored(removed_spans(reduce(DataFrame.unionByName, windows)), "spans")
+    discard(*windows)
     release(docs.sparkSession)
     n = spans.count()
     per = spans.groupBy(F.col("id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
@@ -301,4 +309,4 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())] if with_text else columns, [*names, "kept"] if with_text else names)
 
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else ""))
+    return arrow_map(joined, cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else ""))

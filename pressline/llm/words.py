@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressline.session import lean
+
 #: The six white-space bytes at which bytes.split() cuts are exactly \x20 and \x09-\x0D.
 #: bytes.lower() changes A-Z alone.
 
@@ -15,7 +21,7 @@ from pyspark.sql import functions as F
 class _Memo(dict):
     """word -> 64-bit hash; filled up to a limit, so memory stays bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 50_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -27,6 +33,28 @@ class _Memo(dict):
 MEMO = _Memo()
 
 
+def give_back() -> None:
+    """What a task has freed goes back to the system: Spark keeps idle Python workers, and they keep their peaks."""
+    MEMO.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
+def arrow_map(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow(f) over small batches, in workers that keep no memory between tasks."""
+    lean(df.sparkSession)
+
+    def run(batches):
+        yield from f(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
 def raw(text_col: str) -> Column:
     """A text as UTF-8 bytes, null as empty: what these functions take."""
     return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -38,7 +66,7 @@ def texts_of(column: pa.Array):
         yield value.as_py() or b""
 
 
-def word_hashes(texts, table: bytes | None = None, most: int = 4_000_000):
+def word_hashes(texts, table: bytes | None = None, most: int = 250_000):
     """Yield (first text, counts, hashes) for runs of texts with about `most` bytes each.
 
     table: bytes.translate table that replaces plain lower-casing.

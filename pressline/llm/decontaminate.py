@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.words import raw, texts_of
+from pressline.llm.words import arrow_map, raw, texts_of
 
 Q = 10
 #: Edits allowed for each byte of an item.
@@ -198,7 +198,7 @@ def unsearched(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
             rows = [i for i, n in enumerate(sizes) if n < MIN_BYTES]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array([sizes[i] for i in rows], pa.int32())], ["item_id", "bytes"])
 
-    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), raw(text_col).alias("data")).mapInArrow(short, "item_id long, bytes int")
+    return arrow_map(benchmark.select(F.col(id_col).cast("long").alias("item_id"), raw(text_col).alias("data")), short, "item_id long, bytes int")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -226,7 +226,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 columns = [pa.array([f[k] for f in found], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int64()), (3, pa.int32()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], ["doc_id", "item_id", "start", "end", "edits"])
 
-        part = base.mapInArrow(searched, f"doc_id {kind}, item_id long, start long, end long, edits int")
+        part = arrow_map(base, searched, f"doc_id {kind}, item_id long, start long, end long, edits int")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -241,5 +241,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
                 texts = ((v.as_py() or "").encode() for v in batch.column(place))
                 yield batch.filter(pa.array([not index.search(normal(t)) for t in texts], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = arrow_map(docs, clean, docs.schema)
     return docs

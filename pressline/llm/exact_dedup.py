@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressline.session import stored
+from pressline.session import discard, discard_paths, noting, release, stored
 
 BLOCK_BYTES = 4096
 #: Colliding hashes are broadcast up to this many (8 bytes each), else joined by shuffle.
@@ -78,6 +78,7 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         names = _named(parts.select("a", "b"), f"names{level}")
         named = parts.join(names, ["a", "b"]).select("row_id", "parts", "pos", "name")
         named = stored(named, f"level{level}")
+        discard(names)
         done.append(named.where("parts = 1").select("row_id", F.lit(level).alias("level"), "name"))
         if 2**level >= longest:
             break
@@ -98,7 +99,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and text count in group_size; all rows of the largest id are marked kept.
     A null id never wins over another id.
     """
-    named = stored(name_documents(docs, id_col, text_col, **options), "named")
+    with noting() as made:
+        lazy = name_documents(docs, id_col, text_col, **options)
+    named = stored(lazy, "named")
+    discard_paths(docs.sparkSession, made)
+    release(docs.sparkSession)
     groups = named.groupBy("level", "name").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # stored, so that both sides of the join are plain shuffles and a hot group's rows can be split
     groups = stored(groups, "groups")
@@ -112,7 +117,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Columns stay as they are. Rows that repeat one id and text are reduced to
     one; rows with a null id stay unless another id holds their text.
     """
-    groups = stored(exact_groups(docs, id_col, text_col), "groups")
+    with noting() as made:
+        lazy = exact_groups(docs, id_col, text_col)
+    groups = stored(lazy, "groups")
+    discard_paths(docs.sparkSession, made)
     # the hash only tells apart texts under one repeated id
     gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.substring("text_sha256", 1, 16).alias("__sha")).distinct()
     sha = F.substring(F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256), 1, 16)

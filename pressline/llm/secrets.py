@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.words import raw, texts_of
+from pressline.llm.words import arrow_map, raw, texts_of
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -173,4 +173,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                 ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"],
             )
 
-    return docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")).mapInArrow(scanned, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long")
+    return arrow_map(docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")), scanned, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.words import mixed, raw, texts_of, word_hashes
+from pressline.llm.words import arrow_map, mixed, raw, texts_of, word_hashes
 
 BITS = 20
 #: Most labelled rows that training reads (a documented sample; all of them where there are fewer).
@@ -92,7 +92,7 @@ def train(rows: DataFrame):
         at, w, bias = model.model()
         yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()]), pa.array([w.tobytes()]), pa.array([bias])], ["at", "w", "bias"])
 
-    one = rows.repartition(1).sortWithinPartitions("order").select("data", "label").mapInArrow(fit, "at binary, w binary, bias double").collect()
+    one = arrow_map(rows.repartition(1).sortWithinPartitions("order").select("data", "label"), fit, "at binary, w binary, bias double").collect()
     if not one:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0
     return np.frombuffer(bytes(one[0].at), np.int32), np.frombuffer(bytes(one[0].w), np.float32), one[0].bias
@@ -128,7 +128,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
                 totals[first : first + len(counts)] += np.bincount(key >> BITS, dense[key & ((1 << BITS) - 1)], len(counts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(totals, -500, 500))))], ["doc_id", "score"])
 
-    out = docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")).mapInArrow(scored, f"doc_id {kind}, score double")
+    out = arrow_map(docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")), scored, f"doc_id {kind}, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -163,4 +163,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Dat
                 totals[first : first + len(counts)] += np.bincount(key >> BITS, dense[key & ((1 << BITS) - 1)], len(counts))
             yield batch.filter(pa.array((totals < 0) | (len(at) == 0)))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return arrow_map(docs, clean, docs.schema)

@@ -2,14 +2,17 @@
 
 The global order of n-grams is the order of their hashes. It is cut into m
 fragments, so every document is cut into m segments. Two sets of Jaccard t or
-more, the smaller of at most `top` n-grams, differ in at most top*(1-t)/t
-n-grams, and each of those spoils one fragment. With one fragment more than
-that, some segment is equal in both: candidates meet on (fragment, segment hash).
+more, the smaller of at most `top` n-grams, differ in at most d = top*(1-t)/t
+n-grams, and each of those spoils one fragment. So of a set's segments all but d
+are equal in any linked set, and of its d + 1 rarest segments one at least is:
+candidates meet on (fragment, segment hash) of these. m is 1.5 d, so a set of
+which most segments are unique meets nobody, however common its other passages.
 m depends on the size class of the smaller set, so a document emits
 its segments for its own class and, near a class border, for the one below.
 
 A set with so many empty fragments that this could fail also emits its single
-n-grams, to meet its like.
+n-grams, to meet its like. How frequent a segment is, bitmaps say in a few tiers:
+any order will do that is the same for all sets.
 
 Documents connected by equal segments form families. A family is dealt out in
 blocks of bounded size; for each pair of blocks the partial overlaps are
@@ -28,15 +31,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressline.functions.components import connected_components
-from pressline.llm.words import mixed, raw, texts_of, word_hashes
-from pressline.session import release, stored
+from pressline.llm.bitmaps import bitmap, bits_for
+from pressline.llm.words import arrow_map, mixed, raw, texts_of, word_hashes
+from pressline.session import discard, discard_paths, noting, release, stored
 
 #: Ratio of neighbouring size classes.
 CLASS_RATIO = 1.5
 #: A block holds about this many documents and n-grams.
 BLOCK_DOCS, BLOCK_GRAMS = 1024, 1_000_000
-#: Vocabulary of one fragment in the verification.
-FRAGMENT = 4096
+#: About the vocabulary of one fragment in the verification.
+FRAGMENT = 2048
+#: Keys in more than so many sets count as ever more frequent.
+TIERS = (1, 8, 100)
+#: As many differing segments as a set has.
+ALL = 2**31 - 2
 #: Ids of family members (8 bytes each) are broadcast up to this many, else joined by shuffle.
 MAX_BROADCAST = 1_000_000
 
@@ -69,49 +77,86 @@ def shingle_sets(texts, words: int):
                 yield np.zeros(0, np.uint64)
 
 
-def segment_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of (class, fragment, segment) that any set linked with s shares one of."""
+def segment_keys(s: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray]]:
+    """For each size class (spoiled, hashes of (class, fragment, segment)): beside any set linked
+    with s at most `spoiled` segments differ. Single n-grams, should all differ, with spoiled ALL."""
     n = len(s)
     if not n:
-        return s
+        return []
     high = int(np.searchsorted(BOUNDS, n, "right")) - 1
     low = int(np.searchsorted(BOUNDS, -(-n * num // den), "right")) - 1
     out, strong = [], mixed(s.copy())
     for k in range(low, high + 1):
         top = int(BOUNDS[k + 1]) - 1
-        m = top * (den - num) // num + 1
+        most = top * (den - num) // num
+        m = most + 1 + most // 2
         fragment = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate(([True], fragment[1:] != fragment[:-1])))
         total = np.add.reduceat(strong, starts)
+        # the most n-grams that can differ: s is the smaller set, or the larger beside one of at most top
+        spoiled = n * (den - num) // num if n <= top else (n + top) * (den - num) // (den + num)
         with np.errstate(over="ignore"):
-            out.append(mixed(total ^ (fragment[starts] * SALTS[0] + np.uint64(k))))
-            # the most n-grams that can differ: s is the smaller set, or the larger beside one of at most top
-            spoiled = n * (den - num) // num if n <= top else (n + top) * (den - num) // (den + num)
+            out.append((spoiled, mixed(total ^ (fragment[starts] * SALTS[0] + np.uint64(k)))))
             if len(starts) <= spoiled:
-                out.append(mixed(strong ^ (SALTS[1] + np.uint64(k))))
-    return np.concatenate(out)
+                out.append((ALL, mixed(strong ^ (SALTS[1] + np.uint64(k)))))
+    return out
 
 
 def _profile(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, digest of the set (two longs), segment keys."""
+    """doc_id, n, digest of the set (two longs), segment keys of all classes, and for each class their number and `spoiled`."""
     kind = dict(docs.dtypes)[id_col]
 
     def profiled(batches):
         for batch in batches:
-            n, d1, d2, keys, sizes = [], [], [], [], [0]
+            n, d1, d2, flat, sizes, per, spoiled, classes = [], [], [], [], [0], [], [], [0]
             for s in shingle_sets(texts_of(batch.column(1)), words):
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 n.append(len(s))
                 d1.append(int.from_bytes(digest[:8], "big", signed=True))
                 d2.append(int.from_bytes(digest[8:], "big", signed=True))
                 own = segment_keys(s, num, den)
-                keys.append(own)
-                sizes.append(sizes[-1] + len(own))
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), lists], ["doc_id", "n", "d1", "d2", "keys"])
+                flat += [k for _, k in own]
+                per += [len(k) for _, k in own]
+                spoiled += [x for x, _ in own]
+                sizes.append(sizes[-1] + sum(len(k) for _, k in own))
+                classes.append(classes[-1] + len(own))
+            keys = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
+            lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, d1, d2)), lists(sizes, pa.array(keys.view(np.int64))), lists(classes, pa.array(per, pa.int32())), lists(classes, pa.array(spoiled, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "d1", "d2", "keys", "per", "spoiled"])
+
+    return arrow_map(docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")), profiled, f"doc_id {kind}, n long, d1 long, d2 long, keys array<long>, per array<int>, spoiled array<int>")
+
+
+def _keys(voices, tiers=()):
+    """Arrow function: (id, key) of the rows that speak for a class.
+
+    With tiers, bitmaps of ever more frequent keys, only of the keys that a partner can need: of a
+    class's keys in order of frequency the first spoiled + 1, because one of these is equal; and of
+    them only those that the first tier calls shared."""
+
+    def run(batches):
+        for batch in batches:
+            ids, voice = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            flat, sizes, per, spoiled = *_flat(batch.column(2)), _flat(batch.column(3))[0], _flat(batch.column(4))[0]
+            row = np.repeat(np.arange(len(ids)), sizes)
+            use = voices.has(voice)[row]
+            if tiers:
+                tier = sum(t.has(flat).astype(np.int64) for t in tiers)
+                part = np.repeat(np.arange(len(per)), per)
+                order = np.lexsort((flat, tier, part))
+                rank = np.empty(len(flat), np.int64)
+                rank[order] = np.arange(len(flat)) - np.repeat(np.cumsum(per) - per, per)
+                use &= (tier > 0) & (rank <= np.repeat(spoiled, per))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row][use]), pa.array(flat[use])], ["id", "key"])
+
+    return run
+
 
-    return docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data")).mapInArrow(profiled, f"doc_id {kind}, n long, d1 long, d2 long, keys array<long>")
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(all values, number of values in each list)"""
+    ends = lists.offsets.to_numpy()
+    return lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]], np.diff(ends)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
@@ -124,13 +169,16 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarr
     new = np.concatenate(([True], grams[1:] != grams[:-1]))
     ids = np.cumsum(new) - 1
     shared = np.bincount(ids)[ids] > 1
-    rows, ids = rows[shared], ids[shared]
-    _, ids = np.unique(ids, return_inverse=True)
+    grams, rows = grams[shared], rows[shared]
     out = np.zeros((len(left), len(right if right is not None else left)), np.float64)
-    for start in range(0, int(ids[-1]) + 1 if len(ids) else 0, FRAGMENT):
-        a, b = np.searchsorted(ids, (start, start + FRAGMENT))
-        part = np.zeros((len(sets), FRAGMENT), np.float32)
-        part[rows[a:b], ids[a:b] - start] = 1
+    # the global order, all hashes, is cut into equal fragments of about FRAGMENT n-grams of this vocabulary
+    fragments = max(1, -(-len(np.unique(grams)) // FRAGMENT))
+    cuts = np.array([(k << 64) // fragments for k in range(fragments)], np.uint64)
+    bounds = [*np.searchsorted(grams, cuts).tolist(), len(grams)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        _, own = np.unique(grams[a:b], return_inverse=True)
+        part = np.zeros((len(sets), int(own.max(initial=-1)) + 1), np.float32)
+        part[rows[a:b], own] = 1
         out += part[: len(left)] @ (part if right is None else part[len(left) :]).T
     return out
 
@@ -210,21 +258,26 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     profile = stored(_profile(docs, "doc_id", "text", words, num, den), "profile")
-    light = profile.select("doc_id", "n", "d1", "d2")
+    light = stored(profile.select("doc_id", "n", "d1", "d2"), "light")
     classes = light.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = stored(classes, "classes")
 
-    # one document of each class speaks for it
-    rest = light.where("n > 0").join(classes, ["d1", "d2", "n"]).where("doc_id <> id").select(F.col("doc_id").alias("__copy"), "d1", "d2")
-    voices = profile.where("n > 0 and doc_id is not null").join(rest, (F.col("doc_id") == F.col("__copy")) & (profile["d1"] == rest["d1"]) & (profile["d2"] == rest["d2"]), "left_anti")
-    keys = voices.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    shared = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1").select("key"), "shared")
+    # one document of each class speaks for it; a copy that gets past the bitmap only costs time
+    voices = bitmap(classes.select(F.xxhash64("id", "d1", "d2").alias("voice")), "voice", bits_for(classes.count()))
+    speaking = profile.where("n > 0 and doc_id is not null").select("doc_id", F.xxhash64("doc_id", "d1", "d2").alias("voice"), "keys", "per", "spoiled")
+    keys = arrow_map(speaking, _keys(voices), "id long, key long")
+    shared = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1"), "shared")
     release(spark)
-    meets = stored(keys.join(shared, "key").distinct(), "meets")
+    tiers = [bitmap(own, "key", bits_for(own.count())) for own in (shared.where(F.col("seen") > least) for least in TIERS)]
+    meets = stored(arrow_map(speaking, _keys(voices, tiers), "id long, key long").join(shared.select("key"), "key").distinct(), "meets")
+    for own in (voices, *tiers):
+        own.destroy()
+    discard(profile, shared)
     release(spark)
     hubs = meets.groupBy("key").agg(F.min("id").alias("hub"))
     edges = meets.join(hubs, "key").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     families = connected_components(edges).select("id", F.col("component").alias("family"))
+    discard(meets)
     release(spark)
 
     # (id, n, copies) of the family members; a repeated id keeps each of its sets
@@ -250,6 +303,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     dealt = dealt.withColumn("spots", F.when(F.col("all_blocks") <= 1, F.array(spot(0, zero, zero, zero, 0))).otherwise(split))
     dealt = stored(dealt.select("id", "d1", "d2", "family", "copies", "spots"), "dealt")
+    discard(members, parts, whole)
     n_members = dealt.count()
     if n_members:
         ids = dealt.select("id").distinct()
@@ -267,9 +321,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(grams, pa.binary())], ["id", "d1", "d2", "grams"])
 
         # another text under the same id is another member, hence the digest in the key
-        sets = texts.mapInArrow(cut, "id long, d1 long, d2 long, grams binary").join(dealt, ["id", "d1", "d2"])
+        sets = arrow_map(texts, cut, "id long, d1 long, d2 long, grams binary").join(dealt, ["id", "d1", "d2"])
         sets = sets.select("id", "family", "copies", "d1", "d2", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "d1", "d2", "spot.*", "grams")
         links = stored(sets.groupBy("family", "kind", "c", "x", "y").applyInArrow(_links(num, den), "id long, root long, links long"), "links")
+        discard(dealt)
         release(spark)
         groups = connected_components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
         counts = links.groupBy("id").agg(F.sum("links").alias("links"))
@@ -286,8 +341,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     Columns stay as they are. Empty texts and null ids are linked with nothing and stay.
     """
-    groups = jaccard_join(docs, id_col, text_col, words, num, den)
+    with noting() as made:
+        groups = jaccard_join(docs, id_col, text_col, words, num, den)
     gone = stored(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    discard_paths(docs.sparkSession, made)
     release(docs.sparkSession)
     # ids of 8 bytes: texts are shuffled only where too many of them go
     small = F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone

@@ -15,7 +15,7 @@ all its windows repeat. Only the first of equal contexts goes on, and only if it
 digit is shared with another context. So copies, however many, cost one
 record each and leave after one map-side combined aggregation.
 
-Which digits repeat travels between passes as a bitmap of at most 2**MAX_BITS bits;
+Which digits repeat travels between passes as a bitmap of bounded size;
 a set bit without a repeat costs time, never correctness. Contexts and windows are
 compared by 128-bit hashes.
 """
@@ -23,7 +23,6 @@ compared by 128-bit hashes.
 from __future__ import annotations
 
 import hashlib
-import math
 from functools import reduce
 
 import numpy as np
@@ -31,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressline.llm.bitmaps import bitmap, bits_for
 from pressline.llm.words import arrow_map, mixed, raw, texts_of
 from pressline.session import discard, release, stored
 
 DEPTH, GRAM = 100, 28
 #: Widest run of offsets in pass 2.
 BIN = 10
-MAX_BITS = 28
 #: Bytes that are hashed at once; a position must fit in 18 bits.
 RUN, PIECE = 100_000, 131_072
 #: Removed spans (16 bytes each) are broadcast up to this many, else joined by shuffle.
@@ -157,28 +156,11 @@ def runs_of(column: pa.Array):
         yield Runs(texts, [0] * len(texts)), rows
 
 
-def _has(bitmap, bits: int, h: np.ndarray) -> np.ndarray:
-    spot = h >> np.uint64(64 - bits)
-    return (np.frombuffer(bitmap.value, np.uint8)[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 def _spots(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hash of a place, to pick its run again in the next pass."""
     return mixed(ids.astype(np.uint64) * np.uint64(_BASES[0]) ^ (at.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASES[1]))
 
 
-def _bitmap(hashes: DataFrame, column: str, bits: int):
-    """Broadcast of the bits of the hashes' leading `bits` bits; 2**bits / 8 bytes, built on the executors."""
-    spot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
-    rows = hashes.select(spot.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("part")).collect()
-    out = bytearray(1 << (bits - 3))
-    for r in rows:
-        start = (r.bucket - 1) * 4096
-        part = bytes(r.part)[: len(out) - start]
-        out[start : start + len(part)] = part
-    return hashes.sparkSession.sparkContext.broadcast(bytes(out))
-
-
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).to_numpy(zero_copy_only=False)
 
@@ -186,7 +168,8 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 def repeated_windows(base: DataFrame, total_bytes: int) -> list[DataFrame]:
     """Stored tables (id, lo, hi) of all window starts lo..hi whose 100 bytes start earlier too. base: id long, data."""
     spark = base.sparkSession
-    bits = min(MAX_BITS, max(16, math.ceil(math.log2(max(2, total_bytes / 16)))))
+    # about a run for each 37 bytes, and half of them at most repeat
+    bits = bits_for(total_bytes / 128)
     picks: list[tuple] = []
     found = []
     for width in (None, BIN, 1):
@@ -197,11 +180,11 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> list[DataFrame]:
             ids = _ids(batch)
             for runs, rows in runs_of(batch.column(1)):
                 own = ids[np.array(rows)]
-                for step, bitmap in chosen:
+                for step, picked in chosen:
                     if step is not None:
                         runs.split(step)
                     text, at = runs.place(runs.lo)
-                    runs.keep(_has(bitmap, bits, _spots(own[text], at)))
+                    runs.keep(picked.has(_spots(own[text], at)))
                 if width is not None:
                     runs.split(width)
                 yield runs, own
@@ -215,14 +198,14 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> list[DataFrame]:
                         yield pa.RecordBatch.from_arrays([pa.array(runs.digit(width).view(np.int64))], ["digit"])
 
             seen = arrow_map(base, digits, "digit long").groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            repeats = _bitmap(seen, "digit", bits)
+            repeats = bitmap(seen, "digit", bits)
             release(spark)
 
         def records(batches, narrowed=narrowed, width=width, repeats=repeats):
             for batch in batches:
                 for runs, own in narrowed(batch):
                     if repeats is not None:
-                        runs.keep(_has(repeats, bits, runs.digit(width)))
+                        runs.keep(repeats.has(runs.digit(width)))
                     text, at = runs.place(runs.lo)
                     columns = (runs.digit(width).view(np.int64), runs.context().view(np.int64), own[text], at)
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(runs.hi - runs.lo, pa.int32())], ["digit", "context", "id", "lo", "more"])
@@ -248,11 +231,11 @@ def repeated_windows(base: DataFrame, total_bytes: int) -> list[DataFrame]:
                     yield pa.RecordBatch.from_arrays([pa.array(_spots(ids, at).view(np.int64))], ["spot"])
 
             shared = contexts.groupBy("digit").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("digit")
-            picks.append((width, _bitmap(arrow_map(contexts.join(shared, "digit").select("id", "lo"), spots, "spot long"), "spot", bits)))
+            picks.append((width, bitmap(arrow_map(contexts.join(shared, "digit").select("id", "lo"), spots, "spot long"), "spot", bits)))
             release(spark)
         discard(contexts)
-    for _, bitmap in picks:
-        bitmap.destroy()
+    for _, picked in picks:
+        picked.destroy()
     return found
 
 

@@ -180,7 +180,7 @@ def test_decontamination_equals_edit_distance(spark):
     for i, t in enumerate(texts):
         for k, item in enumerate(items):
             a, b = decontaminate.normal(item.encode()), decontaminate.normal(t.encode())
-            if len(a) >= decontaminate.MIN_BYTES and edit_distance_in(a, b) <= int(len(a) * decontaminate.EDIT_RATE):
+            if len(a) >= decontaminate.Q and edit_distance_in(a, b) <= int(len(a) * decontaminate.EDIT_RATE):
                 want.add((i, k))
     got = {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, bench).collect()}
     assert got == want and 10 < len(want) < 60
@@ -195,9 +195,45 @@ def test_decontamination_short_items(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     want = {(0, 0), (1, 0), (3, 1), (4, 2), (8, 3), (10, 2), (11, 6)}
-    assert {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, bench).collect()} == want
+    assert {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, bench).collect()} == want | {(9, 4)}
     assert {x.doc_id for x in decontaminate.drop_leaks(docs, bench).collect()} == set(range(12)) - {i for i, _ in want}
-    assert {(x.item_id, x.bytes) for x in decontaminate.unsearched(bench).collect()} == {(4, 4), (5, 0)}
+    assert {x.doc_id for x in decontaminate.drop_leaks(docs, bench, least=1).collect()} == set(range(12)) - {i for i, _ in want} - {9}
+    assert [x.item_id for x in decontaminate.unsearched(bench).collect()] == [5]
+
+
+def test_decontamination_items_of_any_length():
+    r = random.Random(8)
+    word = lambda c: c.isalnum() or c == "_"
+    for n in [*range(1, 61), 75, 120]:
+        item = "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+        most = min(int(n * decontaminate.EDIT_RATE), max(0, n // decontaminate.Q - 1))
+        index = decontaminate.Index([(n, item.encode())])
+        for _ in range(12):
+            own = list(item)
+            for _ in range(r.randint(0, most + 2)):
+                at = r.randrange(len(own)) if own else 0
+                own[at : at + 1] = r.choice([[], ["z"], [*own[at : at + 1], "y"]])
+            left, right = (r.choice(["", " q ", " ", "x", "7.", "ww w"]) for _ in range(2))
+            text = decontaminate.normal((left + "".join(own) + right).encode()).decode()
+            if most:
+                want = edit_distance_in(item, text) <= most
+            else:
+                starts = [i for i in range(len(text)) if text.startswith(item, i)]
+                want = any((not i or not word(text[i - 1])) and (i + n == len(text) or not word(text[i + n])) for i in starts)
+            assert bool(index.search(text.encode())) == want == index.leaks(text.encode()), (n, item, text)
+
+
+def test_decontamination_of_a_text_that_repeats_itself(monkeypatch):
+    index = decontaminate.Index([(1, b"a" * 200), (2, b"ab" * 60), (3, b"c" * 300)])
+    assert index.nbytes() < 2 * (1 << decontaminate.BLOOM_BITS)
+    text = b"a" * 1_000_000
+    assert sum(len(at) <= decontaminate.HITS + 200 for at, *_ in index.hits(text)) == sum(1 for _ in index.hits(text))
+    found = index.search(text)
+    assert len(found) == 5000 and index.leaks(text) and not index.leaks(b"d" * 1_000_000)
+    whole = index.search(b"x" + b"a" * 1500 + b"y")
+    monkeypatch.setattr(decontaminate, "PIECE", 64)
+    monkeypatch.setattr(decontaminate, "HITS", 50)
+    assert index.search(b"x" + b"a" * 1500 + b"y") == whole
 
 
 def test_decontamination_finds_every_region(spark):

@@ -2,10 +2,11 @@
 
 High-recall generators (regular expressions) propose overlapping spans. Each
 candidate is reduced to a few binned features of its format and its context.
-Boosted trees are fitted to the counts per feature combination, a table whose
-size is bounded by the product of the bins whatever the corpus holds; positive
-are candidates that a format's validator accepts, negative those that it
-rejects and ordinary numbers. Calibrated thresholds, one for each kind, select the
+Boosted trees learn from labelled spans: personal data in many written forms, and
+what looks like them but is none, planted into the text around random places of a
+bounded sample of documents. Candidates over a planted span have its label, whatever
+a validator says. The trees are fitted to the counts per feature combination, a table
+bounded by the product of the bins. Calibrated thresholds, one for each kind, select the
 spans that are added to the validated ones. Scoring is one CASE expression.
 
 Offsets come from the lengths of the matches and of the gaps between them,
@@ -19,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressline.session import stored
+from pressline.session import discard, stored
 
 KINDS = ("email", "ip", "card", "phone")
 # All patterns are linear in the text: a match starts where its run starts or
@@ -35,19 +36,32 @@ LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\.)[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9+])\(?[0-9]{2,4}+\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])(?:\([0-9]{2,4}+\)[\x20.-]?|[0-9]{2,4}+[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
-#: Ordinary numbers, the negative class of every kind.
-NUMBERS = r"(?<![0-9])[0-9]{1,6}+(?:[.,:/-][0-9]{1,4}+){0,2}(?![0-9])"
+#: Labelled forms: words before a span and its format. # is a digit, ? a letter, % a number up to 255.
+PLANTED = {
+    "email": ["mail |??????.##@?????.com", "|???@????????.org", "write to |?????? (at) ???????.com", "contact |????.????? [at] ?????.net", "|?????##(at)?????? (dot) org", "reach me: |????? @ ???????.com", "e-mail |???????[at]?????[dot]co", "|??????_????(at)????.edu"],
+    "ip": ["|%.%.%.%", "host |%.%.%.%", "ip |%[.]%[.]%[.]%", "from |%(.)%(.)%(.)%", "server at |1##.1##.##.2#", "|1##.2#.1##.##", "|%[.]%[.]%[.]%"],
+    "card": ["card |4### #### #### ####", "|5###-####-####-####", "visa |4###.####.####.####", "paid with card |4###############", "|3###.####.####.####", "|#### #### #### ####", "account card: |5###############", "|####-####-####-####"],
+    "phone": ["call |(###) ###-####", "|###-###-####", "phone: |###.###.####", "tel |### ### ####", "|(0##) ###-####", "fax |0###-###-####", "mobile |#### ### ####", "|(###)###-####", "|###.###.####"],
+    "": [
+        "version |#.#.##.#", "v|##.#.#.##", "section |#.##.#.#", "chapter |#.#.#.#", "release |#.#.#.##", "see @|??????? (at) noon", "follow |@???????", "we met |(at) ????????", "price |##.## ### ####", "order |############", "|################",
+        "isbn |978-#-####-####-#", "isbn |978##########", "invoice no. |################", "tracking |##################", "serial |####.####.####.####.###", "on |20##-##-## ###", "|##/##/20##", "|1,###,###.##", "|#### - ####", "id |###-###-####-###", "order no. |### ### #### ##",
+        "item |##-###-####-##", "part |###.###.####.##", "at |##:##:##", "sum |#.###.###,##", "lines |####-####", "number |##############", "|?????? (at) the ????", "|@ ??? ????", "meet |?????? @ ####",
+    ],
+}
+#: Documents whose text surrounds the planted spans.
+SAMPLE_DOCS = 150
 #: Where none of these occurs, no generator can match.
 TRIGGER = r"[0-9@]|(?i)[(\[]at[)\]]"
-CUES = r"(?i)(?:mail|contact|call|phone|tel|fax|mobile|ip|host|server|card|visa|account|reach)[^A-Za-z0-9]{0,3}$"
+CUES = r"(?i)(?:mail|contact|write to|reach me|call|phone|tel|fax|mobile|ip|host|server|server at|from|card|visa|account)[^A-Za-z0-9]{0,3}$"
+AGAINST = r"(?i)(?:version|v|section|chapter|release|order|order no|isbn|invoice|invoice no|tracking|serial|id|item|part|number|lines|sum|price|number|no)[^A-Za-z0-9]{0,3}$"
 #: Characters of context kept on either side of a candidate.
 CONTEXT = 24
 ROUNDS, RATE, MIN_PRECISION = 24, 0.4, 0.95
 
 #: Feature -> number of bins. Their product bounds the table that the trees are fitted to.
-BINS = {"digits": 10, "letters": 3, "groups": 6, "space": 2, "dash": 2, "dot": 2, "plus": 2, "paren": 2, "at": 2, "cue": 2, "before": 3, "after": 3, "parts": 2}
+BINS = {"digits": 10, "letters": 3, "groups": 6, "space": 2, "dash": 2, "dot": 2, "plus": 2, "paren": 2, "at": 2, "cue": 2, "against": 2, "before": 3, "after": 3, "even": 2}
 
 
 def _count(text: Column, keep: str) -> Column:
@@ -72,9 +86,10 @@ def features(hit: Column, before: Column, after: Column) -> dict[str, Column]:
         "paren": has("("),
         "at": F.when(hit.rlike(r"(?i)@|[(\[]at[)\]]"), 1).otherwise(0),
         "cue": before.rlike(CUES).cast("int"),
+        "against": before.rlike(AGAINST).cast("int"),
         "before": edge(F.right(before, F.lit(1))),
         "after": edge(F.left(after, F.lit(1))),
-        "parts": hit.rlike(r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:[^0-9]+0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$").cast("int"),
+        "even": hit.rlike(r"^[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$").cast("int"),
     }
 
 
@@ -116,10 +131,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(rows, spans): rows has row_id and id of every document, spans all candidates with offsets.
 
     Spans carry generator, kind, start, end (code points, end exclusive), base
-    (a validated match of a BASE pattern), y (label or null) and the features.
+    (a validated match of a BASE pattern) and the features.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    generators = [("base", k, p) for k, p in BASE.items()] + [("loose", k, p) for k, p in LOOSE.items()] + [("number", "card", NUMBERS)]
+    generators = [("base", k, p) for k, p in BASE.items()] + [("loose", k, p) for k, p in LOOSE.items()]
     found = F.flatten(F.array(*(_found(F.col("data"), *g) for g in generators)))
     base = docs.select(F.col(id_col).alias("id"), text.alias("data"))
     base = base.withColumn("found", F.when(F.col("data").rlike(TRIGGER), found))
@@ -130,9 +145,47 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # rules and features see the whole hit: dots, blanks and leading zeros can make a valid one long
     spans = spans.withColumn("ok", F.coalesce(valid(F.col("kind"), F.col("hit")), F.lit(False)))
     spans = spans.withColumn("base", (F.col("generator") == "base") & F.col("ok"))
-    label = F.when(F.col("generator") == "base", F.col("ok").cast("int")).when(F.col("generator") == "number", F.lit(0))
-    spans = spans.withColumn("y", label).withColumns(features(F.col("hit"), F.col("before"), F.col("after")))
-    return rows.select("row_id", "id"), stored(spans.select("row_id", "generator", "kind", "start", "end", "base", "y", *BINS), "spans")
+    spans = spans.withColumns(features(F.col("hit"), F.col("before"), F.col("after")))
+    spans = stored(spans.select("row_id", "generator", "kind", "start", "end", "base", *BINS), "spans")
+    ids = stored(rows.select("row_id", "id"), "rows")
+    discard(rows)
+    return ids, spans
+
+
+def planted(docs: DataFrame, text_col: str = "text", most: int = SAMPLE_DOCS) -> DataFrame:
+    """Labelled rows: id (place, seed, kind, start, end) and text with one planted span.
+
+    Every form of PLANTED stands once in the text of each of `most` documents at most, those of
+    smallest text hash, and once alone; kind is empty where the span is no personal data."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    hashed = docs.select(text.alias("t")).withColumn("h", F.xxhash64("t", F.lit(11)))
+    # a hash bound that some twice `most` rows meet, so no partition offers more than a few rows to the sort
+    share = min(1.0, 2 * most / max(1, docs.count()))
+    sample = hashed.where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**12))).orderBy("h", "t").limit(most)
+    at = F.pmod("h", F.greatest(F.length("t") - 2 * CONTEXT, F.lit(1))).cast("int")
+    around = sample.select("h", F.substring("t", at + 1, F.lit(CONTEXT)).alias("left"), F.substring("t", at + CONTEXT + 1, F.lit(CONTEXT)).alias("right"))
+    around = around.unionByName(docs.sparkSession.range(8).select(F.xxhash64("id").alias("h"), F.lit("").alias("left"), F.lit("").alias("right")))
+    forms = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("form"), F.lit(form.split("|")[0]).alias("lead"), F.lit(form.split("|")[1]).alias("format")) for kind, own in PLANTED.items() for i, form in enumerate(own)))
+    rows = around.select("*", F.explode(forms).alias("f")).select("h", "left", "right", "f.*")
+    seed = F.xxhash64("h", "kind", "form")
+    digits = F.translate(F.sha2(seed.cast("string").cast("binary"), 512), "abcdef", "012345")
+    rows = rows.withColumns({"seed": seed, "digits": digits})
+    drawn = lambda c, i: F.when(c == "#", F.substring("digits", i + 1, F.lit(1))).when(c == "?", F.translate(F.substring("digits", i + 1, F.lit(1)), "0123456789", "aeinorstlm")).when(c == "%", (F.substring("digits", 2 * i + 1, F.lit(3)).cast("int") % 256).cast("string")).otherwise(c)
+    span = F.array_join(F.transform(F.split("format", ""), drawn), "")
+    gap = lambda c: F.when(c == "", "").otherwise(" ")
+    rows = rows.withColumns({"span": span, "head": F.concat("left", gap(F.col("left")), "lead")})
+    rows = rows.withColumns({"start": F.length("head"), "end": F.length("head") + F.length("span")})
+    return rows.select(F.struct("h", "seed", "kind", "form", "start", "end").alias("id"), F.concat("head", "span", gap(F.col("right")), "right").alias("text"))
+
+
+def labelled(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(rows, spans): the planted rows with kind, and their loose candidates that overlap the planted span, with label y.
+
+    A quarter of the rows is `held` back for calibration."""
+    rows, spans = candidates(planted(docs, text_col), "id", "text")
+    rows = rows.select("row_id", F.col("id.kind").alias("truth"), F.col("id.start").alias("from"), F.col("id.end").alias("to"), (F.pmod("id.seed", F.lit(4)) == 0).alias("held"))
+    over = spans.where("generator = 'loose'").join(rows, "row_id").where("start < to and end > from")
+    return rows, over.withColumn("y", (F.col("kind") == F.col("truth")).cast("int"))
 
 
 class Boosted:
@@ -200,12 +253,9 @@ class Boosted:
 
 def fit(spans: DataFrame) -> dict[str, tuple[Boosted, float]]:
     """kind -> (trees, threshold). The threshold is the least score whose precision on the
-    documents held back for calibration is MIN_PRECISION; 0.5 at least."""
-    held = F.pmod(F.xxhash64("row_id"), F.lit(4)) == 0
-    labelled = spans.where("y is not null")
-    # ordinary numbers count against every kind
-    kinds = F.when(F.col("generator") == "number", F.array(*map(F.lit, KINDS))).otherwise(F.array("kind"))
-    cells = labelled.withColumn("kind", F.explode(kinds)).groupBy("kind", *BINS).agg(
+    labelled spans held back for calibration is MIN_PRECISION; 0.5 at least."""
+    held = F.col("held")
+    cells = spans.groupBy("kind", *BINS).agg(
         F.sum(F.when(~held, F.col("y")).otherwise(0)).alias("pos"), F.sum(F.when(~held, 1).otherwise(0)).alias("all"), F.sum(F.when(held, F.col("y")).otherwise(0)).alias("cal_pos"), F.sum(F.when(held, 1).otherwise(0)).alias("cal_all")
     )
     rows = cells.collect()
@@ -223,14 +273,28 @@ def fit(spans: DataFrame) -> dict[str, tuple[Boosted, float]]:
     return out
 
 
+def chosen(models: dict[str, tuple[Boosted, float]]) -> Column:
+    """Whether the trees of its kind select a loose candidate."""
+    out = F.lit(False)
+    for kind, (model, threshold) in models.items():
+        out = F.when((F.col("kind") == kind) & (F.col("generator") == "loose"), model.column() >= F.lit(threshold - 1e-9)).otherwise(out)
+    return out
+
+
+def measured(rows: DataFrame, spans: DataFrame, models) -> dict[str, tuple[float, float]]:
+    """kind -> (precision, recall) on the planted rows held back: of the selected candidates, those of the
+    planted kind; of the planted spans of a kind, found by a generator or not, those with a selected candidate."""
+    hit = spans.where("held").where(chosen(models))
+    right = {r.kind: r for r in hit.groupBy("kind").agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("all"), F.count_distinct(F.when(F.col("y") == 1, F.col("row_id"))).alias("rows")).collect()}
+    there = {r.truth: r["count"] for r in rows.where("held").groupBy("truth").count().collect()}
+    return {k: (right[k]["good"] / right[k]["all"] if k in right else 1.0, (right[k]["rows"] if k in right else 0) / there[k]) for k in KINDS}
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, spans): every row, and the spans to redact: row_id, kind, start, end, base."""
     rows, spans = candidates(docs, id_col, text_col)
-    models = fit(spans)
-    chosen = F.lit(False)
-    for kind, (model, threshold) in models.items():
-        chosen = F.when((F.col("kind") == kind) & (F.col("generator") == "loose"), model.column() >= F.lit(threshold - 1e-9)).otherwise(chosen)
-    picked = spans.where(F.col("base") | chosen).groupBy("row_id", "kind", "start", "end").agg(F.max("base").alias("base"))
+    models = fit(labelled(docs, text_col)[1])
+    picked = spans.where(F.col("base") | chosen(models)).groupBy("row_id", "kind", "start", "end").agg(F.max("base").alias("base"))
     # an added span that overlaps a validated one says nothing new
     line = Window.partitionBy("row_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     back = Window.partitionBy("row_id").orderBy(F.desc("start"), F.desc("end")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -242,8 +306,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
-    A null or empty text has no spans and the digest of the empty string;
-    repeated rows and null ids are reported each.
+    A null or empty text has no spans and the digest of the empty string; an empty table
+    gives no rows; repeated rows and null ids are reported each. Texts are searched whole,
+    and hits judged whole, however long. Added spans may overlap each other, never a
+    validated one; equal spans of one kind count once. Only the two named columns are read,
+    so other columns may have any name.
     """
     rows, spans = find_pii(docs, id_col, text_col)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
@@ -264,14 +331,17 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with every span in text_col replaced by [KIND]; other columns as they are.
 
-    Overlapping spans become one, named after the first. Null texts stay null.
+    Overlapping spans become one, named after the first; of equal starts the shorter names it.
+    Null texts stay null, an empty table stays empty, and columns may have any name. The
+    spans come back to their texts by id and text hash, so whole rows are shuffled once.
     """
     key = F.struct(F.col(id_col), F.xxhash64(F.col(text_col)))
-    rows, spans = find_pii(docs.select(key.alias("__key"), F.col(text_col).alias("__text")), "__key", "__text")
+    rows, spans = find_pii(docs.select(key.alias("key"), F.col(text_col).alias("data")), "key", "data")
     one = F.struct("start", "end", F.upper("kind").alias("kind"))
-    spans = spans.join(rows, "row_id").groupBy(F.col("id").alias("__key")).agg(F.array_sort(F.collect_set(one)).alias("__spans"))
-    joined = docs.withColumn("__key", key).join(spans, "__key", "left")
-    text = F.col(text_col)
+    spans = spans.join(rows, "row_id").groupBy(F.col("id").alias("key")).agg(F.array_sort(F.collect_set(one)).alias("spans"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("data"), key.alias("key"))
+    joined = whole.join(spans, "key", "left")
+    text = F.col("data")
     begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(a: Column, s: Column) -> Column:
@@ -279,5 +349,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         fresh = F.struct(F.concat(a["out"], gap, F.lit("["), s["kind"], F.lit("]")).alias("out"), s["end"].alias("at"))
         return F.when(s["start"] >= a["at"], fresh).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
 
-    clean = F.aggregate("__spans", begin, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
-    return joined.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(clean)).select(*docs.columns)
+    clean = F.aggregate("spans", begin, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+    text = F.when(F.col("spans").isNull(), text).otherwise(clean)
+    return joined.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

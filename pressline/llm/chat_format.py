@@ -91,13 +91,15 @@ def format_chats(rows: DataFrame, template=None, conv_col: str = "conv_id", turn
 
     Rows go by turn; equal turns by role, then text; a null turn comes first.
     Null texts and roles count as empty. Conversations in a wrong order are
-    formatted too, with valid = false. Repeated rows are turns of their own. A
-    conversation is one record of the output, so its turns meet in one row.
+    formatted too, with valid = false. Repeated rows are turns of their own; rows of a null
+    conversation are one conversation; an empty table gives no rows. A conversation is one
+    record of the output, so its turns meet in one row, whatever their length. Only the four
+    named columns are read, so other columns may have any name.
     """
     template = template or TEMPLATE
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     chats = rows.groupBy(F.col(conv_col).alias("conv_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    # collect_list keeps no order; array_sort puts nulls of a struct's field last in 4.x
+    # collect_list keeps no order; array_sort puts a null field of a struct first
     chats = chats.withColumn("valid", valid_order(F.col("turns")))
     chats = chats.withColumn("segments", F.flatten(F.transform("turns", lambda t: segments_of(t, template))))
     return chats.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
@@ -116,10 +118,10 @@ CHAT_SQL = r"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e as (select *, length(text) + length(regexp_replace(text, '[^\\<>\[]', '', 'g')) + case role when 'system' then 15 when 'user' then 13 when 'assistant' then 7 else 14 + length(role) + length(regexp_replace(role, '[^\\<>\[]', '', 'g')) end as n from c)
-select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
- sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+ sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn nulls first, role, text)) as loss_sha256,
  sum(n)::bigint as formatted_chars,
- regexp_matches(string_agg(case role when 'system' then 's' when 'user' then 'u' when 'assistant' then 'a' else 'x' end, '' order by turn, role, text), '^(s|s?u(au)*a?)$') as valid
+ regexp_matches(string_agg(case role when 'system' then 's' when 'user' then 'u' when 'assistant' then 'a' else 'x' end, '' order by turn nulls first, role, text), '^(s|s?u(au)*a?)$') as valid
 from e group by conv_id
 """

@@ -97,7 +97,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of equal texts the row with the largest id stays. Rows that repeat one id
     and text count in group_size; all rows of the largest id are marked kept.
-    A null id never wins over another id.
+    A null id never wins over another id; a null text is empty, and empty texts are equal. An
+    empty table gives no rows. A text of any length is compared whole, in blocks. Only the two
+    named columns are read, so other columns may have any name.
     """
     with noting() as made:
         lazy = name_documents(docs, id_col, text_col, **options)
@@ -115,7 +117,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """docs without the rows whose text another row with a larger id holds.
 
     Columns stay as they are. Rows that repeat one id and text are reduced to
-    one; rows with a null id stay unless another id holds their text.
+    one; rows with a null id stay unless another id holds their text. Columns may have any name.
     """
     with noting() as made:
         lazy = exact_groups(docs, id_col, text_col)
@@ -125,6 +127,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.substring("text_sha256", 1, 16).alias("__sha")).distinct()
     sha = F.substring(F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256), 1, 16)
     gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_GONE else gone
-    left = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")) & (sha == F.col("__sha")), "left_anti")
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]) & (sha == gone["__sha"]), "left_anti")
     total = groups.where("kept").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_sha256"))).alias("d")).first()
     return left if total.n == total.d else left.dropDuplicates([id_col, text_col])

@@ -253,7 +253,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Without words or text a set is empty and linked with nothing; with
     fewer words than an n-gram, the whole sequence is one n-gram. Rows that
     repeat an id are one node. A null id links nobody; its component is that of
-    its equal sets, or null. Ids must be integers.
+    its equal sets, or null. Ids must be integers. An empty table gives no rows; texts of any
+    length are compared whole. Links of exactly the threshold count. Only the two named
+    columns are read, so other columns may have any name.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -339,7 +341,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """docs with one row of each group of linked documents, the one of smallest id.
 
-    Columns stay as they are. Empty texts and null ids are linked with nothing and stay.
+    Columns stay as they are and may have any name. Empty texts and null ids are linked with
+    nothing and stay; of rows that repeat an id all stay or all go.
     """
     with noting() as made:
         groups = jaccard_join(docs, id_col, text_col, words, num, den)
@@ -348,4 +351,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     release(docs.sparkSession)
     # ids of 8 bytes: texts are shuffled only where too many of them go
     small = F.broadcast(gone) if gone.count() <= MAX_BROADCAST else gone
-    return docs.join(small, docs[id_col] == F.col("__gone"), "left_anti")
+    return docs.join(small, docs[id_col] == small["__gone"], "left_anti")

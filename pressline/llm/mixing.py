@@ -53,9 +53,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     return per.select("source", "rows", "source_size", "rank", level.alias("target"))
 
 
-def unit(id_col: F.Column) -> F.Column:
-    """A number in (0, 1) that depends on the id alone."""
-    return (F.conv(F.substring(F.md5(F.coalesce(id_col.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
+def unit(seed: F.Column) -> F.Column:
+    """A number in (0, 1) that depends on the seed alone."""
+    return (F.conv(F.substring(F.md5(seed), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
 def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -65,17 +65,20 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id
     documents without it weigh UNKNOWN. A document is wholly in or out of the
     last, fractional epoch; the one at the border goes to the nearer side.
     Empty sources and empty tables take nothing. Rows that repeat an id are
-    documents of their own with equal keys.
+    documents of their own with equal keys; a document without an id gets its key from its
+    text. Equal keys go by id, null last, then size. A quality that is null, or given for no
+    document, changes nothing; of several for one id the mean counts. Texts of any length
+    are counted whole. Only the named columns are read, so other columns may have any name.
     """
     count = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    base = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), count.alias("size")), "sizes")
+    base = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), count.alias("size"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit(""))))).alias("seed")), "sizes")
     if quality is not None:
         known = quality.groupBy(F.col("doc_id").alias("q_id")).agg(F.avg("quality").alias("quality"))
         base = base.join(known, base["doc_id"] == known["q_id"], "left").drop("q_id")
     else:
         base = base.withColumn("quality", F.lit(None).cast("double"))
     weight = F.coalesce(F.lit(LOW) + F.lit(HIGH - LOW) * F.col("quality"), F.lit(UNKNOWN))
-    base = base.withColumn("key", -F.ln(unit(F.col("doc_id"))) / weight).drop("quality")
+    base = base.withColumn("key", -F.ln(unit(F.col("seed"))) / weight).drop("quality", "seed")
     per = stored(source_targets(base), "targets").withColumnRenamed("source", "of_source")
     rows = base.join(per, base["source"].eqNullSafe(per["of_source"]), "inner").drop("source", "of_source")
     full = F.when(F.col("source_size") > 0, F.least(F.lit(MAX_EPOCHS), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0))
@@ -91,9 +94,9 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id
 
 
 MIX_SQL = r"""
-with words as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
+with words as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, coalesce(doc_id::varchar, 'text ' || md5(coalesce(text, ''))) as seed from documents),
 q as (select doc_id, avg(quality) quality from labels group by doc_id),
-base as (select w.*, -ln((('0x' || substr(md5(coalesce(w.doc_id::varchar, '')), 1, 13))::ubigint::double + 0.5) / 4503599627370496.0) / coalesce(0.5 + 1.5 * quality, 1.0) as key from words w left join q using (doc_id)),
+base as (select w.*, -ln((('0x' || substr(md5(w.seed), 1, 13))::ubigint::double + 0.5) / 4503599627370496.0) / coalesce(0.5 + 1.5 * quality, 1.0) as key from words w left join q using (doc_id)),
 per as (select source, sum(size)::bigint source_size, row_number() over (order by source nulls last) rnk from base group by source),
 wt as (select *, (rnk - 1) % 3 + 1 as weight, 3 * source_size as cap, (sum(source_size) over ())::hugeint total from per),
 lv as (select *, coalesce(sum(cap) over (order by cap / weight, rnk rows between unbounded preceding and 1 preceding), 0)::hugeint below, (sum(weight) over (order by cap / weight, rnk rows between current row and unbounded following))::hugeint as opened from wt),

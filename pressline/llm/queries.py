@@ -26,7 +26,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     probe = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql("select -1L as conv_id, t.turn, t.role, :probe as text from values (0L, 'user'), (1L, 'assistant') as t(turn, role)", args={"probe": probe})
     return chat_format.chat_digest(chat_format.format_chats(rows.select("conv_id", "turn", "role", "text").unionByName(extra)))
 
 

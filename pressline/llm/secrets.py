@@ -61,14 +61,14 @@ def random_strings(n: int, seed: int = 1) -> list[str]:
 
 
 def identifiers(words: list[str], n: int, seed: int = 2) -> list[str]:
-    """Labelled sample of class 0: words joined the way code and file names join them."""
+    """Labelled sample of class 0: words joined the way code and file names join them, and ruled lines."""
     rng = random.Random(seed)
     out = []
     for i in range(n):
         parts: list[str] = []
         while sum(map(len, parts)) < 20:
             parts.append(rng.choice(words))
-        joined = ("_".join(parts), "-".join(parts), "".join(p.capitalize() for p in parts), "".join(parts), "/".join(parts))[i % 5]
+        joined = ("_".join(parts), "-".join(parts), "".join(p.capitalize() for p in parts), "".join(parts), "/".join(parts), rng.choice("-=_+/ax0") * rng.randint(20, 60))[i % 6]
         out.append(joined + (str(rng.randint(0, 2030)) if i % 4 == 0 else ""))
     return out
 
@@ -151,9 +151,11 @@ def _said(spans) -> str:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
-    A null or empty text has no spans and the digest of the empty string.
-    Repeated rows are scanned each. Matches that fail a length test are dropped
-    and their text is not searched again.
+    A null or empty text has no spans and the digest of the empty string, an empty table gives
+    no rows. Repeated rows and null ids are scanned each, texts of any length whole. Matches
+    that fail a length test are dropped and their text is not searched again. Spans of several
+    kinds may overlap; equal starts go by kind. A random token that touches a base span is not
+    added. Only the two named columns are read, so other columns may have any name.
     """
     table, threshold = trained(ordinary_words(docs, text_col) if words is None else words)
     kind = dict(docs.dtypes)[id_col]

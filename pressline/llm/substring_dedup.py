@@ -254,7 +254,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     earlier: in a row of smaller id, or earlier in the same row. A null text is
     empty; texts under DEPTH bytes lose nothing. Where ids are repeated, null or
     not integers, rows are ordered by (id, text), nulls last, and of rows
-    equal in both one comes first.
+    equal in both one comes first. An empty table gives no rows; texts of any length are
+    searched whole, in pieces that overlap. Only the two named columns are read, so other
+    columns may have any name.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), raw(text_col).alias("data"))
     whole = base.agg(F.count(F.lit(1)).alias("rows"), F.count("doc_id").alias("ids"), F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("bytes")).first()

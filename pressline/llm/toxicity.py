@@ -24,6 +24,8 @@ BITS = 20
 MAX_TRAIN = 10_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
+#: Bias of a model that saw no label: nothing is known against any text.
+UNKNOWN = -1.0
 #: Lower-case A-Z; ASCII punctuation separates words.
 TABLE = bytes(32 if c < 128 and not chr(c).isalnum() else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -94,7 +96,7 @@ def train(rows: DataFrame):
 
     one = arrow_map(rows.repartition(1).sortWithinPartitions("order").select("data", "label"), fit, "at binary, w binary, bias double").collect()
     if not one:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0
+        return np.zeros(0, np.int32), np.zeros(0, np.float32), UNKNOWN
     return np.frombuffer(bytes(one[0].at), np.int32), np.frombuffer(bytes(one[0].w), np.float32), one[0].bias
 
 
@@ -136,8 +138,11 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
     """Train on the labelled part of docs, score all of it.
 
-    Without usable labels every score is 0.5 of an empty model. Repeated rows
-    and null ids are scored like any row; a null id is not held out.
+    Without usable labels every score is that of the bias UNKNOWN, below 0.5, so none is
+    predicted toxic. Repeated rows and null ids are scored like any row; a null id is not held
+    out. A null or empty text gets the bias alone, an empty table gives no rows, a text of any
+    length is read whole, in runs of bounded memory. Ties do not arise: rows are scored on
+    their own. Only id and text are read, so other columns may have any name.
     """
     return score(docs, train(training_rows(docs, labels, most)))
 
@@ -145,7 +150,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
 def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
     """docs without the rows predicted toxic, columns as they are; one narrow pass, no join.
 
-    Without usable labels nothing is dropped.
+    The rows that score_toxicity predicts as 1 go. Without usable labels nothing is dropped;
+    null and empty texts, null and repeated ids are judged like any row, and columns beside
+    `text` and `doc_id` may have any name.
     """
     at, w, bias = train(training_rows(docs, labels, most))
     place = docs.columns.index("text")
@@ -161,6 +168,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Dat
                 hit = np.flatnonzero(dense[index])
                 key = np.unique((doc[hit] << BITS) | index[hit])
                 totals[first : first + len(counts)] += np.bincount(key >> BITS, dense[key & ((1 << BITS) - 1)], len(counts))
-            yield batch.filter(pa.array((totals < 0) | (len(at) == 0)))
+            yield batch.filter(pa.array(totals < 0))
 
     return arrow_map(docs, clean, docs.schema)

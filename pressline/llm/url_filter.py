@@ -79,7 +79,10 @@ def judge_urls(pages: DataFrame, rules=None, id_col: str = "page_id", url_col: s
 
     A url that no rule fits gets the default verdict and a null rule, as do
     null and malformed urls, whose host and path are empty. Repeated rows and
-    null ids are kept as they are; the work is one narrow pass, no shuffle.
+    null ids are kept as they are; the work is one narrow pass, no shuffle. Of rules of equal
+    length that of the shorter host wins, of equal rules the first in the list. An empty table
+    gives no rows, a url of any length is walked label by label and segment by segment. Only
+    the two named columns are read, so other columns may have any name.
     """
     trie = build_trie(RULES if rules is None else rules)
 

@@ -1,14 +1,18 @@
 """Chats, urls, mixing, toxicity, decontamination and the pipeline."""
 
+import math
 import random
 import re
+import zlib
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pressline.llm import chat_format, decontaminate, mixing, toxicity, url_filter
 from pressline.llm.queries import ORACLE, QUERIES
+from test_dedup import brute_jaccard
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents labels pages conversations benchmark".split()
@@ -49,6 +53,27 @@ def test_chat_state_machine_ties_and_empty(spark):
     assert chat_format.chat_digest(chat_format.format_chats(df.limit(0))).count() == 0
 
 
+def test_chat_null_turn_comes_first(spark):
+    rows = [(1, 1, "user", "b", ""), (1, None, "user", "n", ""), (1, 0, "assistant", "a", "")]
+    got = chat_format.format_chats(spark.createDataFrame(rows, CHATS).repartition(3)).first()
+    assert [t.text for t in got.turns] == ["n", "a", "b"]
+    con = duckdb.connect()
+    con.sql("create table conversations as select * from (values (1, 1, 'user', 'b'), (1, null, 'user', 'n'), (1, 0, 'assistant', 'a')) t(conv_id, turn, role, text)")
+    want = con.sql(f"select turns_sha256 from ({ORACLE['op4_chat_formatting']}) where conv_id = 1").fetchall()[0][0]
+    assert chat_format.chat_digest(chat_format.format_chats(spark.createDataFrame(rows, CHATS))).first().turns_sha256 == want
+
+
+def test_url_rules_of_equal_length_and_long_urls(spark):
+    rules = [("a.com", "/xx/", "block"), ("b.a.com", "/x", "allow"), ("c.com", "/p", "allow"), ("c.com", "/p", "block")]
+    long = "http://" + "s." * 3000 + "c.com/p" + "/q" * 20000
+    urls = ["http://b.a.com/xx/1", "http://c.com/p", long, "http://b.a.com/x", None, "no url", "://"]
+    pages = spark.createDataFrame([(i, u, "r", "v") for i, u in enumerate(urls)], "page_id long, url string, rule string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, rules).collect()}
+    # equal length: the shorter host; equal rules: the first
+    assert got == {0: ("a.com/xx/", "block"), 1: ("c.com/p", "allow"), 2: ("c.com/p", "allow"), 3: ("b.a.com/x", "allow"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "allow")}
+    assert url_filter.judge_urls(pages.limit(0)).count() == 0
+
+
 def test_urls(spark):
     cases = {
         "http://Example.COM/en/7817?x": ("example.com", "/en/7817", "example.com/en/7", "allow"),
@@ -121,6 +146,14 @@ def test_mixing_by_plain_loop(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_spreads_documents_without_id(spark):
+    docs = spark.createDataFrame([(None, f"w{i} x", "s" if i < 600 else "t") for i in range(660)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    some = [r.taken for r in rows if r.source_size == 1200]
+    # s holds a tenth too much: its documents are told apart by their texts
+    assert len(rows) == 660 and 0 < sum(t == 0 for t in some) < 600 and abs(sum(some) - next(r.target for r in rows if r.source_size == 1200)) <= 2
+
+
 def test_mixing_prefers_quality(spark):
     # t takes three epochs of its 200 documents, s some six tenths of one
     docs = spark.createDataFrame([(i, "a b", "s" if i < 1000 else "t") for i in range(1200)], "doc_id long, text string, source string")
@@ -142,6 +175,53 @@ def test_toxicity_held_out(spark):
     assert sum(s >= 0.5 for s in clean) <= 0.02 * len(clean)
 
 
+def plain_ftrl(rows):
+    """FTRL-proximal with features kept apart by name. rows: (text, label) in order. Function text -> score."""
+    def features(text):
+        w = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower()).split()
+        return {(a,) for a in w} | {(1, a, b) for a, b in zip(w, w[1:])} | {(2, a, b) for a, b in zip(w, w[2:])} | {()}
+
+    z, n = {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= (toxicity.L1 if f else 0.0):
+            return 0.0
+        sign = 1 if z[f] > 0 else -1
+        return -(z[f] - sign * (toxicity.L1 if f else 0.0)) / ((toxicity.BETA + n[f] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for text, label in rows:
+            own = {f: weight(f) for f in features(text)}
+            g = 1 / (1 + math.exp(-sum(own.values()))) - label
+            for f, w in own.items():
+                old = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / toxicity.ALPHA * w
+                n[f] = old + g * g
+    return lambda text: 1 / (1 + math.exp(-sum(map(weight, features(text)))))
+
+
+def test_toxicity_equals_plain_ftrl(spark):
+    r = random.Random(12)
+    say = lambda bad: " ".join(r.choice(["you", "are", "a", "day", "tree", "River,", "blue"] + ["idiot!", "fool"] * bad) for _ in range(r.randint(3, 12)))
+    texts = [(i, say(i % 3 == 0)) for i in range(300)] + [(300, ""), (301, "idiot"), (302, "nothing known Here")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    order = {x.id: x.order for x in docs.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id", F.lit(7)).alias("order")).collect()}
+    learn = sorted((i for i in range(300) if zlib.crc32(str(i).encode()) % 5), key=lambda i: (order[i], i))
+    score = plain_ftrl([(texts[i][1], int(i % 3 == 0)) for i in learn])
+    got = {x.doc_id: x for x in toxicity.score_toxicity(docs, labels).collect()}
+    for i, t in texts:
+        assert abs(got[i].score - score(t)) < 1e-5 and got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0), (i, t)
+    assert {got[i].predicted for i, _ in texts} == {0, 1}
+
+
+def test_toxicity_without_labels(spark):
+    docs = spark.createDataFrame([(1, "idiot"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(docs, labels).collect()
+    assert all(r.predicted == 0 and 0 < r.score < 0.5 for r in got) and toxicity.drop_toxic(docs, labels).count() == 2
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(i, "a bad idiot here" if i % 2 else "a fine day here", "") for i in range(200)] + [(500, None, ""), (501, "", ""), (None, "idiot", ""), (1, "a bad idiot here", ""), (502, "idiot " * 50000, "")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (3, None)], "doc_id long, toxic int")
@@ -265,11 +345,18 @@ def test_pipeline_stages(spark):
     assert [n for n, _ in P.STAGES] == ["toxicity", "exact_dedup", "ngram_jaccard_join", "benchmark_decontamination", "source_mixing"]
     rows = {r.doc_id: r for r in docs.collect()}
     left = docs
+    toxic = {r.doc_id for r in toxicity.score_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet")).where("predicted = 1").collect()}
     for name, stage in P.STAGES[:-1]:
         before = {r.doc_id for r in left.collect()}
         left = stage(spark, left, SF)
         after = {r.doc_id for r in left.collect()}
         assert left.columns == docs.columns and after <= before
+        if name == "toxicity":
+            assert toxic and after == before - toxic
+        if name == "ngram_jaccard_join":
+            ids = sorted(before)
+            near = brute_jaccard([rows[i].text for i in ids], 5, 8, 10)
+            assert after == {i for k, i in enumerate(ids) if near[k][1] == k}
         if name == "exact_dedup":
             last = {}
             for i in before:
@@ -279,5 +366,30 @@ def test_pipeline_stages(spark):
             items = [re.sub(r"\s+", " ", r.text.lower()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
             exact = {i for i in before if any(t in re.sub(r"\s+", " ", rows[i].text.lower()) for t in items)}
             assert exact and not exact & after and len(before) - len(after) <= len(exact) + 1
-    mixed = P.run(spark, SF).collect()
-    assert {r.doc_id for r in mixed} == {r.doc_id for r in left.collect()} and sum(r.taken for r in mixed) > 0
+    mixed = {r.doc_id: r.taken for r in P.run(spark, SF).collect()}
+    con = duckdb.connect()
+    con.register("kept", pa.table({"doc_id": pa.array([r.doc_id for r in left.collect()], pa.int64())}))
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet' where doc_id in (select doc_id from kept)")
+    con.sql(f"create view labels as select * from '{SF}/labels.parquet'")
+    assert mixed == dict(con.sql(f"select doc_id, taken from ({mixing.MIX_SQL})").fetchall()) and sum(mixed.values()) > 0
+
+
+def test_pipeline_stages_take_odd_rows(spark):
+    import corpus_pipeline as P
+
+    schema = "doc_id long, text string, lang string, source string, n_chars int, __gone string, spans string, id int"
+    say = " ".join(f"w{i}" for i in range(40))
+    odd = [(1, None), (2, ""), (None, None), (None, say), (3, say), (3, say), (4, say + " x"), (5, "idiot " * 30000), (6, "é" * 50000), (7, " \t\n"), (8, "short")]
+    docs = spark.createDataFrame([(i, t, None, None if (i or 0) % 2 else "s", 1, "g", "s", 9) for i, t in odd], schema)
+    for empty in (False, True):
+        left = docs.limit(0) if empty else docs
+        for name, stage in P.STAGES:
+            left = stage(spark, left, SF)
+            if name != "source_mixing":
+                assert left.columns == docs.columns, name
+        got = [(r.doc_id, r.size) for r in left.collect()]
+        if empty:
+            assert not got
+        else:
+            # equal texts: the largest id; near copies: the smallest; blanks are no words
+            assert {(3, 40), (2, 0), (7, 0), (8, 1), (6, 1)} <= set(got) and not {1, 4} & {i for i, _ in got} and got.count((3, 40)) == 1

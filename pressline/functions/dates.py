@@ -112,8 +112,9 @@ def strip_dateline_suffix(text: Column) -> Column:
 
 
 def parse_dateline_anywhere(text: Column) -> Column:
-    # no dateline anywhere means none at a line start either: one cheap test for most texts
-    return F.when(_has_dateline(text) | text.rlike("(?dim)^" + DMY), F.coalesce(parse_dateline(dateline_suffix(text)), parse_dateline(text)))
+    # no dateline anywhere means none at a line start either: cheap tests for most texts
+    may = text.rlike(rf"(?is),.*{_MONTH}") & (_has_dateline(text) | text.rlike("(?dim)^" + DMY))
+    return F.when(may, let(dateline_suffix(text), lambda s: F.coalesce(parse_dateline(s), parse_dateline(text))))
 
 
 def date_from_text(text: Column) -> Column:

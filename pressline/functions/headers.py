@@ -44,7 +44,9 @@ def header_tokens(text: Column) -> Column:
 
 def extract_masthead(text: Column, mixed_case: bool = False) -> Column:
     """X18. The longest line that reads like a nameplate, the first on ties; null without one."""
-    clean = F.transform(split_lines(text), lambda line: F.regexp_replace(F.regexp_replace(strip_urls(normalize_line(line)), r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+\z", ""), rf"^\d{{1,3}}[{SPACE}]+", ""))
+    # step by step, as a lambda's argument is computed once and any other expression for each use
+    clean = F.transform(F.transform(split_lines(text), normalize_line), strip_urls)
+    clean = F.transform(clean, lambda line: F.regexp_replace(F.regexp_replace(line, r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+\z", ""), rf"^\d{{1,3}}[{SPACE}]+", ""))
 
     def fits(line: Column) -> Column:
         n = F.length(line)

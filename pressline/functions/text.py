@@ -31,6 +31,8 @@ CLEANING = [
     (r"\|", " "),
     (r"[ \t]+", " "),
 ]
+#: One of the characters without which no rule of CLEANING but the last can match.
+MARKED = r"[\\<|\x{ad}\x{200b}\x{feff}\x{a0}\x{25a0}\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]"
 URL = (
     rf"(?i)\b(?:https?://|www\.)[^{SPACE}]+"
     r"|\b[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*"
@@ -56,10 +58,14 @@ def count_class(text: Column, inside: str) -> Column:
 
 
 def normalize_line(text: Column) -> Column:
-    """X1. Drop artifacts, tags and simple markup; collapse blanks; strip."""
-    for pattern, replacement in CLEANING:
-        text = F.regexp_replace(text, pattern, replacement)
-    return strip(text)
+    """X1. Drop artifacts, tags and simple markup; collapse blanks; strip.
+
+    Most lines hold none of the characters that all rules but the last begin with."""
+    blanks = lambda t: F.regexp_replace(t, *CLEANING[-1])
+    marked = text
+    for pattern, replacement in CLEANING[:-1]:
+        marked = F.regexp_replace(marked, pattern, replacement)
+    return strip(F.when(text.rlike(MARKED), blanks(marked)).otherwise(blanks(text)))
 
 
 def join_lines(lines: Column) -> Column:
@@ -85,7 +91,7 @@ def join_lines(lines: Column) -> Column:
 
 def strip_urls(text: Column) -> Column:
     """X3. Urls and bare domains as blanks."""
-    return collapse(F.regexp_replace(text, URL, " "))
+    return collapse(F.when(F.contains(text, F.lit(".")) | F.contains(text, F.lit("://")), F.regexp_replace(text, URL, " ")).otherwise(text))
 
 
 def alpha_proxy(text: Column) -> Column:
@@ -124,15 +130,26 @@ def top_trigram(text: Column) -> Column:
 
     def count(w: Column) -> Column:
         tris = F.when(F.size(w) > 2, F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
-        most = F.aggregate(F.array_sort(tris), zero, step, lambda a: a["best"])
+        most = F.aggregate(F.sort_array(tris), zero, step, lambda a: a["best"])
         return F.struct(F.coalesce(most, F.lit(0)).alias("most"), F.greatest(F.size(w) - 2, F.lit(0)).alias("all"), F.size(w).alias("words"))
 
     return let(F.regexp_extract_all(text, F.lit("[A-Za-z]+"), 0), count)
 
 
 def is_repetitive(text: Column) -> Column:
-    """F3."""
-    return let(top_trigram(text), lambda t: (t["words"] >= MIN_REPEAT_WORDS) & (t["most"] >= MIN_REPEATS) & (t["most"] >= REPEAT_SHARE * t["all"]))
+    """F3. Whether a word trigram occurs MIN_REPEATS times and makes up REPEAT_SHARE of all.
+
+    Among sorted trigrams one that occurs k times stands k - 1 places on once more. Words are
+    counted before any trigram is made."""
+
+    def judge(w: Column) -> Column:
+        all_ = F.size(w) - 2
+        k = F.greatest(F.lit(MIN_REPEATS), F.ceil(REPEAT_SHARE * all_).cast("int"))
+        tris = F.sort_array(F.transform(F.sequence(F.lit(0), all_ - 1), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))
+        return let(tris, lambda t: F.exists(F.sequence(F.lit(0), all_ - k), lambda i: F.get(t, i) == F.get(t, i + k - 1)))
+
+    words_ = F.lit("[A-Za-z]+")
+    return F.when(F.regexp_count(text, words_) >= MIN_REPEAT_WORDS, let(F.regexp_extract_all(text, words_, 0), judge)).when(text.isNotNull(), False)
 
 
 def is_garbage(text: Column) -> Column:

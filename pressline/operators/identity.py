@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pressline.functions.components import connected_components
 from pressline.functions.dates import strip_dateline_suffix
 from pressline.functions.regions import with_country
 from pressline.functions.text import null_if_empty, strip, strip_urls
+from pressline.session import discard, stored
 from pressline.sources import schemas as S
 
 # When a name is confirmed and when mastheads are alike.
@@ -92,31 +95,84 @@ def cross_issue_names(issues: DataFrame, clusters: DataFrame, index: DataFrame)
     return placed.unionByName(exact).groupBy("issue_id").agg(F.min(F.struct(-F.col("votes"), "rank", "name")).alias("best")).select("issue_id", F.col("best.name").alias("newspaper"))
 
 
+#: (members, links): issues with the kind they belong to, named after its smallest issue, and the pairs of
+#: different kinds a, b that are alike.
+Space = tuple[DataFrame, DataFrame]
+
+
+def masthead_space(issues: DataFrame) -> Space:
+    """J9. Issues by equal masthead words; kinds whose words overlap by half of the smaller set, with `shared`.
+
+    Of a set of n words any n - ceil(n/2) + 1 hold one that such a partner shares, so the
+    smaller set asks with its rarest words only, and a word that many mastheads use brings no
+    pairs together. Kinds are compared, never issues."""
+    prints = stored(issues.select("issue_id", headers.fingerprint(F.col("masthead")).alias("print")).where(F.size("print") > 0), "prints")
+    kinds = stored(prints.groupBy("print").agg(F.min("issue_id").alias("kind")).withColumn("n", F.size("print")), "kinds")
+    members = stored(prints.join(kinds, "print").select("issue_id", "kind", "n"), "members")
+    posted = kinds.select("kind", "n", F.explode("print").alias("word"))
+    ranked = posted.join(posted.groupBy("word").agg(F.count(F.lit(1)).alias("uses")), "word").groupBy("kind", "n").agg(F.array_sort(F.collect_list(F.struct("uses", "word"))).alias("words"))
+    asking = ranked.select(F.col("kind").alias("a"), F.col("n").alias("n_a"), F.explode(F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * FINGERPRINT_SHARE).cast("int") + 1)).alias("w")).select("a", "n_a", "w.word")
+    met = asking.join(posted, "word").where((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("kind")))).select("a", F.col("kind").alias("b")).distinct()
+    left, right = (kinds.select(F.col("kind").alias(c), F.col("print").alias(f"print_{c}")) for c in "ab")
+    both = met.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("print_a", "print_b")))
+    links = stored(both.where(F.col("shared") >= FINGERPRINT_SHARE * F.size("print_a")).select("a", "b", "shared"), "links")
+    discard(prints, kinds)
+    return members, links
+
+
+def name_space(issues: DataFrame) -> Space:
+    """J9. Issues by equal confirmed names; kinds whose names are alike.
+
+    The ratio is not symmetric; two names are alike if either order says so (a decision).
+    Names of one word number meet if their lengths allow it: distinct names, a dictionary."""
+    named = issues.where(F.col("newspaper_source").isin(CONFIDENT)).select("issue_id", strip(F.coalesce("newspaper", F.lit(""))).alias("name")).where("name <> ''")
+    named = stored(named, "named")
+    kinds = stored(named.groupBy("name").agg(F.min("issue_id").alias("kind")), "kinds")
+    members = stored(named.join(kinds, "name").select("issue_id", "kind"), "members")
+    words = lambda c: F.size(F.split(c, r"\s+"))
+    a, b = kinds.select(F.col("name").alias("a_name")), kinds.select(F.col("name").alias("b_name"))
+    alike = _name_pairs(a, b, (words(F.col("a_name")) == words(F.col("b_name"))) & (F.col("a_name") != F.col("b_name")))
+    left, right = (kinds.select(F.col("name").alias(f"{c}_name"), F.col("kind").alias(c)) for c in "ab")
+    met = alike.join(left, "a_name").join(right, "b_name")
+    links = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    discard(named, kinds)
+    return members, links
+
+
+def publication_spaces(issues: DataFrame) -> list[Space]:
+    return [masthead_space(issues), name_space(issues)]
+
+
+def publication_edges(spaces: list[Space]) -> DataFrame:
+    """(a, b): as many edges as issues and links of kinds; their components are those of same_publication."""
+    edges = [e for members, links in spaces for e in (members.select(F.col("issue_id").alias("a"), F.col("kind").alias("b")), links.select("a", "b"))]
+    return reduce(DataFrame.unionByName, edges)
+
+
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.unionByName(links.withColumns({"a": F.col("b"), "b": F.col("a")}))
+
+
 def masthead_pairs(issues: DataFrame) -> DataFrame:
     """J9, U5. (a, b, shared) for a < b: issues whose masthead words overlap by half of the smaller set.
 
-    Inverted index: issues meet on the words they share, so pairs without a common
-    word never form. Equal mastheads are joined as one entry and fan out last."""
-    prints = issues.select("issue_id", headers.fingerprint(F.col("masthead")).alias("print")).where(F.size("print") > 0)
-    kinds = prints.select("print").distinct().withColumn("kind", F.xxhash64("print"))
-    posted = kinds.select("kind", "print", F.size("print").alias("n"), F.explode("print").alias("word"))
-    other = posted.select(F.col("print").alias("print_b"), F.col("n").alias("n_b"), "word")
-    shared = posted.join(other, "word").groupBy("print", "print_b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
-    alike = shared.where(F.col("shared") >= FINGERPRINT_SHARE * F.least("n", "n_b")).select("print", "print_b", "shared")
-    left = prints.select(F.col("issue_id").alias("a"), "print")
-    right = prints.select(F.col("issue_id").alias("b"), F.col("print").alias("print_b"))
-    return left.join(alike, "print").join(right, "print_b").where("a < b").select("a", "b", "shared")
+    A report of all pairs, so its size is that of the answer; other operators use masthead_space."""
+    members, links = masthead_space(issues)
+    same = members.select(F.col("kind").alias("a"), F.col("kind").alias("b"), F.col("n").alias("shared")).distinct()
+    return _pairs(members, _both_ways(links).unionByName(same))
+
+
+def _pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """linked, pairs of kinds, as pairs a < b of issues."""
+    left, right = (members.select(F.col("issue_id").alias(f"{c}_issue"), F.col("kind").alias(c)) for c in "ab")
+    met = left.join(linked, "a").join(right, "b").where("a_issue < b_issue")
+    return met.select(F.col("a_issue").alias("a"), F.col("b_issue").alias("b"), *[c for c in linked.columns if c not in "ab"])
 
 
 def name_pairs(issues: DataFrame) -> DataFrame:
     """J9. (a, b) for a < b: issues with confirmed names that are equal or alike."""
-    named = issues.where(F.col("newspaper_source").isin(CONFIDENT)).select("issue_id", strip(F.coalesce("newspaper", F.lit(""))).alias("name")).where("name <> ''")
-    names = named.select("name").distinct()
-    words = lambda c: F.size(F.split(c, r"\s+"))
-    a, b = names.select(F.col("name").alias("a_name")), names.select(F.col("name").alias("b_name"))
-    alike = _name_pairs(a, b, words(F.col("a_name")) == words(F.col("b_name")))
-    left, right = named.select(F.col("issue_id").alias("a"), F.col("name").alias("a_name")), named.select(F.col("issue_id").alias("b"), F.col("name").alias("b_name"))
-    return left.join(alike, "a_name").join(right, "b_name").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    members, links = name_space(issues)
+    return _pairs(members, _both_ways(links).unionByName(members.select(F.col("kind").alias("a"), F.col("kind").alias("b")).distinct()))
 
 
 def same_publication(issues: DataFrame) -> DataFrame:
@@ -124,20 +180,50 @@ def same_publication(issues: DataFrame) -> DataFrame:
     return name_pairs(issues).unionByName(masthead_pairs(issues).select("a", "b")).distinct()
 
 
+def _donated(issues: DataFrame) -> list:
+    paper = F.when(F.col("newspaper_source").isin(CONFIDENT), null_if_empty(F.col("newspaper")))
+    return [paper.alias("newspaper"), null_if_empty(F.col("city")).alias("city"), null_if_empty(F.col("province")).alias("province")]
+
+
+FIELDS = ("newspaper", "city", "province")
+
+
+def _agreed(rows: DataFrame) -> DataFrame:
+    """Per issue each field on which all rows that have it agree. Two extremes that are equal say that there
+    is one distinct value, without a distinct aggregate."""
+    ends = rows.groupBy("issue_id").agg(*(f(f"{side}_{c}").alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))))
+    return ends.select("issue_id", *(F.when(F.col(f"low_{c}") == F.col(f"high_{c}"), F.col(f"low_{c}")).alias(f"sibling_{c}") for c in FIELDS))
+
+
 def sibling_values(issues: DataFrame, pairs: DataFrame) -> DataFrame:
     """J10, A13, U6. Per issue the newspaper, city and province on which all its siblings agree."""
     both = pairs.select(F.col("a").alias("issue_id"), F.col("b").alias("of")).unionByName(pairs.select(F.col("b").alias("issue_id"), F.col("a").alias("of"))).distinct()
-    paper = F.when(F.col("newspaper_source").isin(CONFIDENT), null_if_empty(F.col("newspaper")))
-    donors = issues.select(F.col("issue_id").alias("of"), paper.alias("newspaper"), null_if_empty(F.col("city")).alias("city"), null_if_empty(F.col("province")).alias("province"))
-    # two extremes that agree say that there is one distinct value, without a distinct aggregate
-    only = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).alias(f"sibling_{c}")
-    return both.join(donors, "of").groupBy("issue_id").agg(only("newspaper"), only("city"), only("province"))
+    donors = issues.select(F.col("issue_id").alias("of"), *_donated(issues))
+    rows = both.join(donors, "of")
+    return _agreed(rows.select("issue_id", *(F.col(c).alias(f"{side}_{c}") for c in FIELDS for side in ("low", "high"))))
+
 
+def sibling_values_by_kind(issues: DataFrame, spaces: list[Space]) -> DataFrame:
+    """sibling_values for the fields that an issue lacks, without pairs of issues.
 
-def backfill(issues: DataFrame, pairs: DataFrame | None = None, regions: DataFrame | None = None) -> DataFrame:
-    """A13, C2. issues with gaps filled from siblings, provenance and country set anew, and `filled`."""
-    pairs = same_publication(issues) if pairs is None else pairs
-    joined = issues.join(sibling_values(issues, pairs), "issue_id", "left")
+    A kind's extremes are combined with those of its alike kinds; every issue of the kind gets
+    them. An issue is thus among its own siblings, but a field that it lacks gets nothing from it."""
+    ends = [f(c).alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
+    again = [f(f"{side}_{c}").alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
+    found = []
+    for members, links in spaces:
+        own = members.select("issue_id", "kind").join(issues.select("issue_id", *_donated(issues)), "issue_id").groupBy("kind").agg(*ends)
+        near = _both_ways(links.select("a", "b")).join(own, F.col("b") == F.col("kind")).drop("b", "kind").withColumnRenamed("a", "kind")
+        found.append(members.select("issue_id", "kind").join(own.unionByName(near).groupBy("kind").agg(*again), "kind").drop("kind"))
+    return _agreed(reduce(DataFrame.unionByName, found))
+
+
+def backfill(issues: DataFrame, pairs: DataFrame | None = None, regions: DataFrame | None = None, spaces: list[Space] | None = None) -> DataFrame:
+    """A13, C2. issues with gaps filled from siblings, provenance and country set anew, and `filled`.
+
+    Siblings are given as pairs or as spaces; by default they are the spaces of the issues."""
+    values = sibling_values(issues, pairs) if pairs is not None else sibling_values_by_kind(issues, spaces or publication_spaces(issues))
+    joined = issues.join(values, "issue_id", "left")
     name = F.when(F.col("newspaper_source") == "fallback", F.col("sibling_newspaper"))
     place = {c: F.when(null_if_empty(F.col(c)).isNull(), F.col(f"sibling_{c}")) for c in ("city", "province")}
     joined = joined.withColumns({"__n": name, "__c": place["city"], "__p": place["province"]})
@@ -164,8 +250,8 @@ def canonical_names(issues: DataFrame, pairs: DataFrame | None = None) -> DataFr
     key = headers.variant_key(F.col("newspaper"))
     keyed = issues.select("issue_id", key.alias("key")).where("key <> ''")
     stars = keyed.join(keyed.groupBy("key").agg(F.min("issue_id").alias("b")), "key").select(F.col("issue_id").alias("a"), "b")
-    pairs = same_publication(issues) if pairs is None else pairs
-    groups = connected_components(stars.unionByName(pairs.select("a", "b")))
+    linked = publication_edges(publication_spaces(issues)) if pairs is None else pairs.select("a", "b")
+    groups = connected_components(stars.unionByName(linked))
     members = issues.join(groups, issues["issue_id"] == groups["id"], "left").select("issue_id", F.coalesce("component", "issue_id").alias("group"), strip(F.coalesce("newspaper", F.lit(""))).alias("name"), (F.col("newspaper_source") != "fallback").alias("read"))
     some = members.groupBy("group").agg(F.max(F.coalesce("read", F.lit(True))).alias("any_read"))
     counted = members.join(some, "group").where((F.coalesce("read", F.lit(True)) == F.col("any_read")) & (F.col("name") != "")).groupBy("group", "name").agg(F.count(F.lit(1)).alias("n"))
@@ -179,20 +265,21 @@ def reconcile(issues: DataFrame, clusters: DataFrame, regions: DataFrame | None
     Set-based rounds over a snapshot until nothing changes (Q10), each written out
     so that the plan does not grow. A round only fills empty fields, so the rounds
     end by themselves; a place moves one sibling further in each."""
-    from pressline.session import stored
-
-    current = stored(issues, "issues")
+    current = last = stored(issues, "issues")
+    # a round changes no masthead and no confirmed name, so who belongs together stays
+    spaces = publication_spaces(current)
     while True:
         open_ = (F.col("newspaper_source") == "fallback") | F.coalesce(null_if_empty(F.col("city")), F.lit("")).eqNullSafe("")
         cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, current).select("issue_id", F.col("newspaper").alias("__cross"))
         named = current.withColumn("__open", open_).join(cross, "issue_id", "left")
         named = named.withColumns({"newspaper": F.coalesce("__cross", "newspaper"), "newspaper_source": F.when(F.col("__cross").isNotNull(), "cross_issue").otherwise(F.col("newspaper_source")), "__changed": F.col("__cross").isNotNull()}).drop("__cross")
         named = stored(named, "named")
-        full = backfill(named, same_publication(current), regions)
+        full = backfill(named, regions=regions, spaces=spaces)
         keep = [c for c in issues.columns]
         closed = named.where(~F.col("__open"))
         step = full.where("__open").withColumn("__changed", F.col("__changed") | (F.size("filled") > 0)).select(*keep, "__changed").unionByName(closed.select(*keep, "__changed"))
         step = stored(step, "step")
-        current = step.drop("__changed")
+        discard(last, named)
+        current, last = step.drop("__changed"), step
         if step.where("__changed").isEmpty():
             return current

@@ -76,7 +76,7 @@ def _name(meta: DataFrame, clusters: DataFrame, index: DataFrame | None, keep: b
         return named
     named = stored(named, "named")
     both = named.unionByName(index.join(named, "issue_id", "left_anti"), allowMissingColumns=True)
-    filled = identity.backfill(both, identity.same_publication(both)).drop("filled")
+    filled = identity.backfill(both).drop("filled")
     return filled.join(named.select("issue_id"), "issue_id", "left_semi").select(*named.columns)
 
 

@@ -33,7 +33,7 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
     "emb": (["ln"], "emb as (select doc_id, line_no, 'embedded reading of '||text as text, x0+4 as x0, y0+3 as y0, x1+4 as x1, y1+3 as y1 from ln where line_no%5<>0)"),
     "breaks": (
         [],
-        """breaks as (select doc_id, n, case n when 0 then substr(text,1,20)||'-' when 1 then lower(substr(text,21,20)) when 2 then case when doc_id%2=0 then '   ' else '|' end when 3 then lower(substr(text,41,15))||'.' else 'X'||substr(text,60) end as line
+        """breaks as (select doc_id, n, case n when 0 then substr(text,1,20)||'-' when 1 then lower(substr(text,21,20)) when 2 then case when doc_id%2=0 then '   ' else '|' end when 3 then lower(substr(text,41,15))||'.' else 'X'||substr(text,56) end as line
  from documents cross join (values (0),(1),(2),(3),(4)) t(n))""",
     ),
     "noise": (
@@ -60,17 +60,18 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
  from (select source, row_number() over (partition by source order by doc_id) pn,
   case cast(substr(source,4) as int)%4 when 0 then 'THE EVENING TELEGRAPH' when 1 then 'DAILY GLEANER' when 2 then 'MORNING CHRONICLE HERALD' else 'ADVERTISER' end name from documents) x)""",
     ),
-    # groups of forty issues; some mastheads of a group share words, some are too short
+    # groups of forty issues, and one that holds a third of all; some mastheads of a group share words,
+    # some are too short; some names are misread
     "issues": (
         [],
         """issues as (select cast(doc_id as varchar(9)) as issue_id,
- case doc_id%5 when 0 then 'The Evening Telegraph '||g when 1 then 'Evening Telegraph '||g when 2 then 'Daily Gleaner '||g when 3 then '' else 'Issue '||cast(doc_id as varchar(9)) end newspaper,
+ case doc_id%5 when 0 then 'The Evening Telegraph '||g when 1 then case when doc_id%10=6 then 'Evening Telegraqh ' else 'Evening Telegraph ' end||g when 2 then 'Daily Gleaner '||g when 3 then '' else 'Issue '||cast(doc_id as varchar(9)) end newspaper,
  case doc_id%5 when 3 then 'fallback' when 4 then 'fallback' when 0 then 'page_headers' when 1 then 'page_headers' else 'cross_issue' end newspaper_source,
  case when doc_id%3=0 then 'Saint John' end city, case when doc_id%3=0 then 'N.B.' end province, cast(null as varchar(9)) as country,
  case doc_id%4 when 0 then 'with which incorporated'||g||' morning'||g||' journal'||g||' founded'||g when 1 then 'incorporated'||g||' morning'||g||' journal'||g||' established'||g||' weekly'||g||' review'||g when 2 then 'short title' else 'separate words'||cast(doc_id as varchar(9))||' number'||cast(doc_id as varchar(9))||' masthead'||cast(doc_id as varchar(9))||' entry'||cast(doc_id as varchar(9)) end masthead,
  '19'||cast(50+doc_id%40 as varchar(4))||'-0'||cast(1+doc_id%9 as varchar(1))||case when doc_id%6=0 then '' else '-15' end as date,
  4 + doc_id%5 as page_count, 40 + doc_id%11 as block_count, 10 + doc_id%7 as article_count, cast(doc_id%8 as double)/8 as coverage_min_ratio, cast(null as varchar(9)) as place_source, 't'||cast(doc_id%3 as varchar(9)) as processed_at
- from (select doc_id, cast(cast(floor(doc_id/40) as bigint) as varchar(9)) g from documents) x)""",
+ from (select doc_id, case when floor(doc_id/40)%3=0 then '0' else cast(cast(floor(doc_id/40) as bigint) as varchar(9)) end g from documents) x)""",
     ),
     "stories": (
         [],

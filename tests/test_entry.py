@@ -37,5 +37,5 @@ def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-def test_a_folder_without_sources_is_not_taken_for_the_subpackage():
-    assert not entry_module._present("pressline.nothing")
+def test_what_cannot_be_imported_is_left_out():
+    assert entry_module._imported("pressline.nothing") is None

@@ -27,10 +27,6 @@ def overlap_fraction(line: Box, area: Box) -> Column:
     return w * h / F.greatest(F.lit(1.0), (line("x1") - line("x0")) * (line("y1") - line("y0")))
 
 
-def overlaps(a: Box, b: Box) -> Column:
-    return (F.least(a("y1"), b("y1")) > F.greatest(a("y0"), b("y0"))) & (F.least(a("x1"), b("x1")) > F.greatest(a("x0"), b("x0")))
-
-
 def bleeds(left: Column, right: Column, area: Box) -> Column:
     """J4. Text from left to right sticks out of the area by too much of its width."""
     return F.greatest(area("x0") - left, right - area("x1")) > OVERSHOOT * F.greatest(area("x1") - area("x0"), F.lit(1.0))

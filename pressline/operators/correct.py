@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pressline.functions.geometry import box, x_center, y_center
 from pressline.functions.text import SPACE, split_lines, strip
 from pressline.sources import schemas as S
+from pressline.session import stored
 from pressline.sources.providers import Corrector
 
 # Which answers count as corrections of their text.
@@ -57,7 +59,10 @@ def sanitize(answer: Column, text: Column) -> Column:
 
 
 def correct(articles: DataFrame, make_corrector: Callable[[], Corrector], model: str, secondary: DataFrame | None = None, corrections: DataFrame | None = None, force: bool = False, min_words: int = MIN_WORDS) -> DataFrame:
-    """C4, X32. All corrections after a run: kept ones and new ones. A failed call leaves its article uncorrected."""
+    """C4, X32. All corrections after a run: kept ones and new ones.
+
+    A failed call leaves its article uncorrected, a candidate of the next run; how many failed, and of what,
+    is warned of. Answers are written out, so no model is asked twice."""
     todo = candidates(articles, corrections, force, min_words).select("issue_id", "page_number", "article_id", "text_normalized")
     if secondary is not None:
         todo = todo.join(secondary, ["issue_id", "page_number", "article_id"], "left")
@@ -70,14 +75,20 @@ def correct(articles: DataFrame, make_corrector: Callable[[], Corrector], model:
         ask = make_corrector()
         for batch in batches:
             answers: list[str | None] = []
+            errors: list[str | None] = []
             for text, other in zip(batch["text_normalized"], batch["secondary"], strict=True):
+                answer = error = None
                 try:
-                    answers.append(ask(text, other))
-                except Exception:  # one failed call is not the run's end; the article stays a candidate
-                    answers.append(None)
-            yield batch.drop(columns=["secondary"]).assign(answer=answers)
-
-    answered = todo.mapInPandas(run, "issue_id string, page_number int, article_id string, text_normalized string, answer string")
+                    answer = ask(text, other)
+                except Exception as e:  # one failed call is not the run's end
+                    error = type(e).__name__
+                answers.append(answer)
+                errors.append(error)
+            yield batch.drop(columns=["secondary"]).assign(answer=answers, error=errors)
+
+    answered = stored(todo.mapInPandas(run, "issue_id string, page_number int, article_id string, text_normalized string, answer string, error string"), "answers")
+    for r in answered.where("error is not null").groupBy("error").count().orderBy("error").limit(20).collect():
+        warnings.warn(f"{r['count']} articles stay uncorrected: {r['error']}", stacklevel=2)
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     new = answered.withColumn("corrected_text", sanitize(F.col("answer"), F.col("text_normalized"))).where("corrected_text is not null")
     new = new.select("issue_id", "article_id", "corrected_text", F.lit(model).alias("model"), stamp.alias("corrected_at"))

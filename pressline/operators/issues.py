@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressline.functions import dates, headers, similarity
 from pressline.functions.regions import with_country
-from pressline.functions.text import join_lines, normalize_line, null_if_empty, split_lines, strip
+from pressline.functions.text import join_lines, normalize_line, split_lines, strip
 from pressline.sources import schemas as S
 
 # Bands of the page height that hold nameplates and headers.
@@ -110,7 +110,3 @@ def issue_rollup(issues: DataFrame, sizes: DataFrame, blocks: DataFrame, article
     out = out.fillna(0, ["page_count", "block_count", "article_count"]).fillna(1.0, ["coverage_min_ratio"])
     pages = F.when(F.col("page_count") > 0, F.transform(F.sequence(F.lit(1), F.col("page_count").cast("int")), lambda i: F.format_string("pages/page_%03d", i))).otherwise(F.array().cast("array<string>"))
     return out.withColumns({"pages": pages, "output_dir": F.concat(F.lit("output/"), "issue_id"), "processed_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")})
-
-
-def nonempty(c: str) -> Column:
-    return null_if_empty(F.col(c))

@@ -12,16 +12,15 @@ ID_WIDTH, NAME_WIDTH = 44, 26
 
 
 def group_report(issues: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """A15, O3. One row per issue under its publication, with the count of the publication's issues.
-
-    Sort by lower(publication), date for display."""
+    """A15, O3. One row per issue under its publication, with the count of the publication's issues,
+    by publication in lower case, then date."""
     names = canonical_names(issues) if names is None else names
     rows = issues.join(names, "issue_id", "left").withColumn("publication", F.coalesce(F.nullif("canonical", F.lit("")), "newspaper", F.lit("Unknown")))
     counts = rows.groupBy("publication").agg(F.count(F.lit(1)).alias("issues"))
     # array_join leaves nulls out
     place = F.array_join(F.array(F.coalesce("city", F.lit("")), F.nullif("province", F.lit(""))), ", ")
     variant = F.when(F.col("newspaper").eqNullSafe(F.col("publication")), "").otherwise(F.concat(F.lit("  [read as: "), F.coalesce("newspaper", F.lit("None")), F.lit("]")))
-    return rows.join(counts, "publication").select("publication", "issues", "date", "issue_id", ellipsis(F.col("issue_id"), ID_WIDTH).alias("shown_id"), place.alias("place"), variant.alias("read_as"))
+    return rows.join(counts, "publication").select("publication", "issues", "date", "issue_id", ellipsis(F.col("issue_id"), ID_WIDTH).alias("shown_id"), place.alias("place"), variant.alias("read_as")).orderBy(F.lower("publication"), "publication", F.coalesce("date", F.lit("")), "issue_id")
 
 
 def stats_report(issues: DataFrame) -> DataFrame:

@@ -80,11 +80,14 @@ def _name(meta: DataFrame, clusters: DataFrame, index: DataFrame | None, keep: b
     return filled.join(named.select("issue_id"), "issue_id", "left_semi").select(*named.columns)
 
 
+def unprocessed(pdfs: DataFrame, index: DataFrame | None, force: bool = False) -> DataFrame:
+    """F17. The PDFs whose issue is not in the index; all of them with force."""
+    return pdfs if index is None or force else pdfs.join(index.select("issue_id"), "issue_id", "left_anti")
+
+
 def process(spark: SparkSession, folder: str, make_parser: Callable[[], PageParser], make_ocr: Callable[[], ImageModel], make_layout: Callable[[], ImageModel], index: DataFrame | None = None, force: bool = False, dpi: int = 300, newspaper: str | None = None) -> Documents:
     """Stages 0 to 12 from a folder of PDFs; issues in the index are skipped unless force (F17)."""
-    pdfs = readers.find_pdfs(spark, folder)
-    if index is not None and not force:
-        pdfs = pdfs.join(index, "issue_id", "left_anti")
+    pdfs = unprocessed(readers.find_pdfs(spark, folder), index, force)
     pages = stored(parse_pdfs(pdfs, make_parser), "pdf_pages")
     layouts = stored(detect(pages, make_ocr, make_layout), "layouts")
     pixels = lambda c: F.round(F.col(c) * dpi / 72).cast("int")

@@ -13,8 +13,8 @@ from pressline.functions.regions import with_country
 from pressline.operators import articles as A
 from pressline.operators import blocks as B
 from pressline.operators import corpus, correct, fusion, identity, issues, reports
+from pressline.plans.documents import rebuild, unprocessed
 from pressline.plans.fixtures import fixture
-from pressline.session import stored
 from pressline.sources import schemas as S
 from pressline.sources import writers
 
@@ -236,7 +236,10 @@ def same_publication(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cross_issue_names(spark: SparkSession, sf: str) -> DataFrame:
     index = fixture(spark, sf, "issues")
-    phrase = F.when(F.col("issue_id").cast("int") % 2 == 0, "EVENING TELEGRAPH").otherwise("THE EVENING TELEGRAPH")
+    # issues of a known place ask with a misread name of their group, others with an exact one
+    number = F.col("issue_id").cast("int")
+    group = F.when(F.floor(number / 40) % 3 == 0, "0").otherwise(F.floor(number / 40).cast("string"))
+    phrase = F.when(F.col("city").isNotNull(), F.concat(F.lit("EVENING TELEGRAPM "), group)).when(number % 2 == 0, "EVENING TELEGRAPH").otherwise("THE EVENING TELEGRAPH")
     asking = index.where("newspaper_source <> 'page_headers'")
     clusters = asking.select("issue_id", phrase.alias("phrase"), F.lit(2).cast("long").alias("votes"), F.lit(0).alias("rank"))
     return identity.cross_issue_names(asking, clusters, index)
@@ -258,10 +261,10 @@ def continuation_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def coverage(spark: SparkSession, sf: str) -> DataFrame:
-    found = fixture(spark, sf, "blocks").where("label <> 'PageFooter'").groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text_normalized"))), lambda x: x["text_normalized"]), " ").alias("t"))
-    both = table(spark, sf, "documents").join(found, "doc_id", "left")
-    chars = both.select("doc_id", F.length(text.strip(F.coalesce("t", F.lit("")))).alias("surya_chars"), F.length(text.strip(F.coalesce("text", F.lit("")))).alias("embedded_chars"))
-    return B.with_ratio(chars)
+    page = lambda df: df.withColumns({"issue_id": F.col("doc_id").cast("string"), "page_number": F.lit(1)})
+    sizes = page(table(spark, sf, "documents").select("doc_id", F.col("text").alias("embedded_text")))
+    found = B.coverage(page(_page_blocks(spark, sf).where("label <> 'PageFooter'")), sizes)
+    return found.select(F.col("issue_id").cast("long").alias("doc_id"), "surya_chars", "embedded_chars", "ratio", "low")
 
 
 def _issue_articles(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -279,8 +282,7 @@ def _corrections(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def export_corpus(spark: SparkSession, sf: str) -> DataFrame:
     index, articles, blocks = _issue_articles(spark, sf)
-    names = index.select("issue_id", F.upper("newspaper").alias("canonical"))
-    out = corpus.export_corpus(index, articles, blocks, corrections=_corrections(spark, sf), names=names)
+    out = corpus.export_corpus(index, articles, blocks, corrections=_corrections(spark, sf))
     return out.select("type", "issue_id", "article_id", "block_id", "newspaper", "newspaper_canonical", "city", "country", "date", "day_of_week", "date_precision", "page_number", "title", "label", "text_normalized", "word_count", "image", "source", "corrected")
 
 
@@ -304,7 +306,7 @@ def index_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def unprocessed_issues(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixture(spark, sf, "issues")
-    return rows.join(rows.where("newspaper_source = 'fallback'").select("issue_id"), "issue_id", "left_anti").select("issue_id")
+    return unprocessed(rows, rows.where("newspaper_source = 'fallback'")).select("issue_id")
 
 
 @query
@@ -346,8 +348,6 @@ def page_texts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rebuild_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The whole model-free plan from lines and boxes to issue rows."""
-    from pressline.plans.documents import rebuild
-
     page = lambda df: df.withColumns({"issue_id": F.col("doc_id").cast("string"), "page_number": F.lit(1)}).drop("doc_id")
     sizes = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.lit(1).alias("page_number"), F.lit(1600).alias("width"), F.lit(900).alias("height"), F.col("text").alias("embedded_text"))
     done = rebuild(page(_lines(spark, sf).drop("source")), page(_boxes(spark, sf)), sizes)

@@ -6,6 +6,7 @@ worker, and none is imported unless its provider is used.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
@@ -59,6 +60,37 @@ def detect(pages: DataFrame, make_ocr: Callable[[], ImageModel], make_layout: Ca
     return pages.select("issue_id", "page_number", "image").mapInPandas(run, f"issue_id string, page_number int, {S.LAYOUT_JSON}")
 
 
+def _rows(found: Any, fields: dict[str, Callable[[Any], Any]]) -> list[dict[str, Any]]:
+    """Objects or dicts as dicts of plain values; a field that is missing or None is given to its reader as None."""
+    read = lambda x, name: x.get(name) if isinstance(x, dict) else getattr(x, name, None)
+    return [{name: reader(read(x, name)) for name, reader in fields.items()} for x in found or []]
+
+
+def _number(v: Any) -> float:
+    return float(v or 0)
+
+
+def _numbers(v: Any) -> list[float]:
+    return [float(x) for x in (v if v is not None else (0, 0, 0, 0))]
+
+
+# The fields of a recognised line, its words, and a layout box.
+_WORD_FIELDS: dict[str, Callable[[Any], Any]] = {"text": lambda v: v or "", "bbox": _numbers, "confidence": lambda v: round(_number(v), 4)}
+_LINE_FIELDS: dict[str, Callable[[Any], Any]] = {"text": lambda v: v or "", "confidence": _number, "bbox": _numbers, "words": lambda v: _rows(v, _WORD_FIELDS)}
+_BOX_FIELDS: dict[str, Callable[[Any], Any]] = {"label": lambda v: v or "Text", "position": lambda v: int(v or 0), "confidence": _number, "bbox": _numbers, "polygon": lambda v: [_numbers(p) for p in (v if v is not None else [])]}
+
+
+def recognition(predict: Callable[[list[Any]], list[Any]], load: Callable[[str], Any]) -> ImageModel:
+    """S9, S10. A text recognition model as a plug-in. predict takes images and gives one result each with
+    `text_lines`; load opens the path of a page image."""
+    return lambda image: _rows(getattr(predict([load(image)])[0], "text_lines", None), _LINE_FIELDS)
+
+
+def layout(predict: Callable[[list[Any]], list[Any]], load: Callable[[str], Any]) -> ImageModel:
+    """S8, S10. A layout model as a plug-in, as recognition(); its results have `bboxes`."""
+    return lambda image: _rows(getattr(predict([load(image)])[0], "bboxes", None), _BOX_FIELDS)
+
+
 def fitz_parser(image_folder: str | None = None, dpi: int = 300) -> PageParser:
     """A parser on PyMuPDF, where it is installed; page images go to image_folder, a shared path."""
     import fitz
@@ -70,6 +102,7 @@ def fitz_parser(image_folder: str | None = None, dpi: int = 300) -> PageParser:
                 image = None
                 if image_folder:
                     image = f"{image_folder}/{issue_id}/pages/page_{i + 1:03d}/page.png"
+                    os.makedirs(os.path.dirname(image), exist_ok=True)
                     page.get_pixmap(dpi=dpi).save(image)
                 lines = [{"text": "".join(s["text"] for s in ln["spans"]), **dict(zip(S.SIDES, ln["bbox"], strict=True))} for b in page.get_text("dict")["blocks"] for ln in b.get("lines", [])]
                 rows.append({"issue_id": issue_id, "page_number": i + 1, "pt_width": page.rect.width, "pt_height": page.rect.height, "text": page.get_text("text"), "image": image, "lines": lines})

@@ -52,7 +52,8 @@ def embedded_lines(pdf_pages: DataFrame, scale: Column | None = None) -> DataFra
     """S5, S16. Non-blank lines of the text layer, scaled to pixels (points by default)."""
     scale = F.lit(1.0) if scale is None else scale
     rows = pdf_pages.withColumn("scale", scale).select(*S.PAGE_KEY, "scale", F.posexplode("lines").alias("line_no", "l")).where(strip(F.col("l.text")) != "")
-    return rows.select(*S.PAGE_KEY, "line_no", F.col("l.text").alias("text"), alpha_proxy(F.col("l.text")).alias("confidence"), *((F.col(f"l.{s}") * F.col("scale")).alias(s) for s in S.SIDES))
+    lines = rows.select(*S.PAGE_KEY, "line_no", F.col("l.text").alias("text"), alpha_proxy(F.col("l.text")).alias("confidence"), *(F.col(f"l.{s}").alias(s) for s in S.SIDES), "scale")
+    return scale_lines(lines, F.col("scale")).drop("scale")
 
 
 def scale_lines(lines: DataFrame, factor: Column) -> DataFrame:
@@ -68,8 +69,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """S13. Line-delimited JSON; blank lines are skipped. None where no file is there (Q20)."""
-    return spark.read.schema(schema).json(path) if _exists(spark, path) else None
+    """S13. Line-delimited JSON; blank lines are skipped, malformed ones fail. None where no file is there (Q20)."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path) if _exists(spark, path) else None
 
 
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:

@@ -38,6 +38,15 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_corpus(rows: DataFrame, stats: DataFrame, folder: str, mode: str = "overwrite") -> None:
+    """K8, K9. corpus.jsonl and manifest.json under folder, each as Spark writes JSON; stats is export_stats'
+    row, from one pass over the tables."""
+    write_json(rows, f"{folder}/corpus.jsonl", mode)
+    counts = F.struct(*[c for c in stats.columns if c != "row_count"]).alias("stats")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at")
+    write_json(stats.select(now, counts, "row_count").coalesce(1), f"{folder}/manifest.json", mode)
+
+
 def index_record(issues: DataFrame) -> DataFrame:
     """K7. The index projection of issues, with the parts of the date."""
     part = lambda start, n: F.when(F.col("date") == "unknown", "").otherwise(F.substring("date", start, n))

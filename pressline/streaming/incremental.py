@@ -30,26 +30,41 @@ def layout_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 def upsert_stream(records: DataFrame, index_path: str, checkpoint: str, reconcile: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """K6. Upsert a stream of index records into the index table at index_path.
 
-    Two versions of the table alternate, named by batch, so a batch that is run
-    again after a failure starts from the same version and gives the same result."""
+    Every batch writes a version of the table, numbered by batch, so a batch that is run
+    again after a failure starts from the same version and gives the same result. A new
+    checkpoint over an old index goes on from its newest version; which that was is kept
+    beside the checkpoint. A version that should be there and is not fails the query (Q22)."""
+    first = _first_version(records.sparkSession, index_path, checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = f"{index_path}/v{batch_id - 1}"
-        index = spark.read.schema(S.ISSUE_INDEX).parquet(before) if batch_id and readers._exists(spark, before) else spark.createDataFrame([], S.ISSUE_INDEX)
+        spark, version = batch.sparkSession, first + batch_id
+        index = spark.read.schema(S.ISSUE_INDEX).parquet(f"{index_path}/v{version - 1}") if version else spark.createDataFrame([], S.ISSUE_INDEX)
         merged = upsert_index(index, stored(batch, "batch"))
         if reconcile is not None:
             merged = reconcile(merged)
-        merged.write.mode("overwrite").parquet(f"{index_path}/v{batch_id}")
+        merged.write.mode("overwrite").parquet(f"{index_path}/v{version}")
 
     return records.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_index(spark: SparkSession, index_path: str) -> DataFrame:
-    """The newest version that upsert_stream wrote; empty before the first."""
+def _versions(spark: SparkSession, index_path: str) -> list[int]:
+    """Numbers of the versions that are complete."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{index_path}/v*")
     found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
-    versions = [int(f.getPath().getName()[1:]) for f in found if readers._exists(spark, f"{index_path}/{f.getPath().getName()}/_SUCCESS")]
+    return [int(f.getPath().getName()[1:]) for f in found if readers._exists(spark, f"{index_path}/{f.getPath().getName()}/_SUCCESS")]
+
+
+def _first_version(spark: SparkSession, index_path: str, checkpoint: str) -> int:
+    """Version of the checkpoint's batch 0: after the newest there was when the checkpoint was first used."""
+    kept = f"{checkpoint.rstrip('/')}-first-version"
+    if not readers._exists(spark, f"{kept}/_SUCCESS"):
+        spark.range(1).select(F.lit(max(_versions(spark, index_path), default=-1) + 1).cast("long").alias("first")).write.mode("overwrite").parquet(kept)
+    return spark.read.schema("first long").parquet(kept).first().first
+
+
+def latest_index(spark: SparkSession, index_path: str) -> DataFrame:
+    """The newest version that upsert_stream wrote; empty before the first."""
+    versions = _versions(spark, index_path)
     return spark.read.schema(S.ISSUE_INDEX).parquet(f"{index_path}/v{max(versions)}") if versions else spark.createDataFrame([], S.ISSUE_INDEX)
 
 

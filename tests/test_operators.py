@@ -1,6 +1,7 @@
 """Operators on small pages; expected values by hand."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from pressline.functions import headers, similarity
@@ -297,13 +298,104 @@ def test_providers_process(spark, tmp_path):
     assert providers.fitz_parser  # needs PyMuPDF only when it is called
 
 
+def test_model_objects_become_rows():
+    class Thing:
+        def __init__(self, **fields):
+            self.__dict__ |= fields
+
+    found = Thing(text_lines=[Thing(text="a line", confidence=None, bbox=(1, 2, 3, 4), words=[Thing(text="a", bbox=[1, 2, 3, 4], confidence=0.123456)]), Thing(text="b", confidence=0.5, bbox=[0, 0, 1, 1], words=None)], bboxes=[Thing(label="Text", position=2, confidence=None, bbox=(0, 0, 9, 9), polygon=[(0, 0), (9, 9)])])
+    asked = []
+
+    def predict(images):
+        asked.extend(images)
+        return [found]
+
+    assert providers.recognition(predict, str.upper)("page.png") == [
+        {"text": "a line", "confidence": 0.0, "bbox": [1.0, 2.0, 3.0, 4.0], "words": [{"text": "a", "bbox": [1.0, 2.0, 3.0, 4.0], "confidence": 0.1235}]},
+        {"text": "b", "confidence": 0.5, "bbox": [0.0, 0.0, 1.0, 1.0], "words": []},
+    ]
+    assert providers.layout(predict, str.upper)("p.png") == [{"label": "Text", "position": 2, "confidence": 0.0, "bbox": [0.0, 0.0, 9.0, 9.0], "polygon": [[0.0, 0.0], [9.0, 9.0]]}]
+    assert asked == ["PAGE.PNG", "P.PNG"]
+
+
+def test_embedded_lines_are_scaled(spark):
+    pages = spark.createDataFrame([("i", 1, 100.0, 100.0, "t", None, [("ab", 1.0, 2.0, 3.0, 4.0), (" ", 0.0, 0.0, 1.0, 1.0)])], S.PDF_PAGES)
+    got = [tuple(r) for r in readers.embedded_lines(pages, F.lit(2.0)).select("line_no", "text", *S.SIDES).collect()]
+    assert got == [(0, "ab", 2.0, 4.0, 6.0, 8.0)]
+
+
+def test_rebuild_with_text_layer_and_index_then_batch(spark):
+    """Fusion, blocks, a name from the index and a batch in one plan."""
+    from pressline.plans.documents import batch, rebuild
+
+    texts = [f"line number {k} of the text layer here" for k in range(12)]
+    layer = [(t, 10.0, 20.0 + 10 * k, 110.0, 28.0 + 10 * k) for k, t in enumerate(texts)]
+    pdf = spark.createDataFrame([("paper_19500102", 1, 200.0, 300.0, "\n".join(texts), None, layer)], S.PDF_PAGES)
+    ocr = spark.createDataFrame([("paper_19500102", 1, 0, "DAILY HERALD", 0.9, 20.0, 0.0, 220.0, 20.0, []), ("paper_19500102", 1, 1, "Read by the model", 0.9, 21.0, 61.0, 221.0, 77.0, [])], S.OCR_LINES)
+    boxes = spark.createDataFrame([("paper_19500102", 1, 0, "PageHeader", 0, 0.9, 0.0, 0.0, 400.0, 30.0, []), ("paper_19500102", 1, 1, "Text", 1, 0.9, 0.0, 30.0, 400.0, 600.0, [])], S.LAYOUT_BOXES)
+    sizes = spark.createDataFrame([("paper_19500102", 1, 400, 600, "")], S.PAGE_SIZES)
+    names = [c.split(" ")[0] for c in S.ISSUE_INDEX.split(", ")]
+    index = spark.createDataFrame([tuple({"issue_id": "old", "newspaper": "Daily Herald", "newspaper_source": "page_headers", "date": "1949-01-01", "city": "Boston", "province": "Mass."}.get(c) for c in names)], S.ISSUE_INDEX)
+    done = rebuild(ocr, boxes, sizes, pdf, index)
+    body = next(r for r in done.blocks.collect() if r.label == "Text")
+    assert body.source == "mixed" and "Read by the model" in body.text_original and texts[1] not in body.text_original and texts[2] in body.text_original
+    row = done.issues.first()
+    assert (row.newspaper, row.newspaper_source, row.date, row.coverage_min_ratio > 0.9) == ("Daily Herald", "cross_issue", "1950-01-02", True) and row.processed_at
+    after = {r.issue_id: r for r in batch(done, index).collect()}
+    assert set(after) == {"old", "paper_19500102"} and after["paper_19500102"].newspaper == "Daily Herald" and after["old"].city == "Boston"
+
+
+def test_corpus_and_manifest_are_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("article", "1", "words é", None)], "type string, issue_id string, text_normalized string, corrected boolean")
+    stats = spark.createDataFrame([(3, 1, 0, 2, 4, 1)], "issues long, articles long, blocks long, words long, skipped long, row_count long")
+    writers.write_corpus(rows, stats, f"file://{tmp_path}/out")
+    back = readers.read_ndjson(spark, f"file://{tmp_path}/out/corpus.jsonl", "type string, issue_id string, text_normalized string, corrected boolean")
+    assert [tuple(r) for r in back.collect()] == [("article", "1", "words é", None)]
+    manifest = spark.read.json(f"file://{tmp_path}/out/manifest.json").first()
+    assert manifest.row_count == 1 and manifest.stats.asDict() == {"issues": 3, "articles": 1, "blocks": 0, "words": 2, "skipped": 4} and manifest.generated_at
+    (tmp_path / "bad.ndjson").write_text('{"type": "a"}\n\n{"type": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_ndjson(spark, f"file://{tmp_path}/bad.ndjson", "type string").collect()
+
+
+def test_failed_corrections_are_reported(spark):
+    def make():
+        def ask(text, secondary):
+            if text.startswith("bad"):
+                raise TimeoutError("too slow")
+            return text
+
+        return ask
+
+    rows = art(spark, [("1", "a", "w " * 20, 20), ("1", "b", "bad " + "w " * 20, 21)])
+    with pytest.warns(UserWarning, match="1 articles stay uncorrected: TimeoutError"):
+        got = correct.correct(rows, make, "model")
+    assert [r.article_id for r in got.collect()] == ["a"]
+
+
+def test_streams_of_layouts_and_uncorrected_articles(spark, tmp_path):
+    from pressline.streaming.incremental import layout_stream, uncorrected_stream
+
+    folder = tmp_path / "in" / "1950" / "pages" / "page_002"
+    folder.mkdir(parents=True)
+    (folder / "layout.json").write_text('{"ocr": {"text_lines": [{"text": "a"}]}, "layout": {"bboxes": []}}')
+    out = lambda n: {"path": f"file://{tmp_path}/{n}", "checkpointLocation": f"file://{tmp_path}/{n}-point"}
+    layout_stream(spark, f"file://{tmp_path}/in/*/pages/*").writeStream.format("parquet").options(**out("layouts")).trigger(availableNow=True).start().awaitTermination()
+    assert [(r.issue_id, r.page_number) for r in spark.read.parquet(f"file://{tmp_path}/layouts").collect()] == [("1950", 2)]
+    art(spark, [("1", "a", "w " * 20, 20), ("1", "b", "w " * 20, 20)]).select("issue_id", "article_id", "text_normalized", "word_count").write.parquet(f"file://{tmp_path}/arts")
+    arriving = spark.readStream.schema("issue_id string, article_id string, text_normalized string, word_count int").parquet(f"file://{tmp_path}/arts")
+    done = spark.createDataFrame([("1", "b", "kept", "m", "t")], S.CORRECTIONS)
+    uncorrected_stream(arriving, done).writeStream.format("parquet").options(**out("todo")).trigger(availableNow=True).start().awaitTermination()
+    assert [r.article_id for r in spark.read.parquet(f"file://{tmp_path}/todo").collect()] == ["a"]
+
+
 def test_streaming_upsert(spark, tmp_path):
     from pressline.streaming.incremental import latest_index, upsert_stream
 
     src, index, point = (f"file://{tmp_path}/{x}" for x in ("src", "index", "point"))
     names = [c.split(" ")[0] for c in S.ISSUE_INDEX.split(", ")]
 
-    def put(rows):
+    def put(rows, point=point):
         data = [tuple({"issue_id": i, "newspaper": n, "processed_at": t}.get(c) for c in names) for i, n, t in rows]
         spark.createDataFrame(data, S.ISSUE_INDEX).coalesce(1).write.mode("append").parquet(src)
         upsert_stream(spark.readStream.schema(S.ISSUE_INDEX).parquet(src), index, point).awaitTermination()
@@ -311,3 +403,6 @@ def test_streaming_upsert(spark, tmp_path):
     put([("1", "A", "t1"), ("2", "B", "t1")])
     put([("2", "C", "t2"), ("3", "D", "t2")])
     assert {(r.issue_id, r.newspaper) for r in latest_index(spark, index).collect()} == {("1", "A"), ("2", "C"), ("3", "D")}
+    # a new checkpoint reads the source again, on top of the index that is there
+    put([("4", "E", "t3")], point + "-new")
+    assert {(r.issue_id, r.newspaper) for r in latest_index(spark, index).collect()} == {("1", "A"), ("2", "C"), ("3", "D"), ("4", "E")}

@@ -74,5 +74,20 @@ select s.doc_id, len(s.g)::bigint as n_shingles, case when len(s.g) = 0 then s.d
 from s left join c on c.g = list_sort(s.g) left join m on m.id = c.id left join k on k.id = c.id
 """
 
+# bytes as pairs of hexadecimal digits; windows are named by a 128-bit hash
+REPEATS_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+p as (select doc_id, h, unnest(range(greatest(0, length(h) // 2 - 99))) as i from d),
+w as (select doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) as m from p),
+r as (select doc_id, i from (select doc_id, i, row_number() over (partition by m order by doc_id, i) as n from w) where n > 1),
+g as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 100 then 0 else 1 end as new from r),
+k as (select doc_id, i, sum(new) over (partition by doc_id order by i) as island from g),
+s as (select doc_id, island, min(i) as a, max(i) + 100 as b from k group by doc_id, island),
+c as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from s),
+t as (select c.doc_id, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept from c join d using (doc_id) group by c.doc_id)
+select d.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join t using (doc_id)
+"""
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup)}
-ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL}
+ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL, "op10_suffix_dedup": REPEATS_SQL}

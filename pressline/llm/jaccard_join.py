@@ -14,10 +14,14 @@ A set with so many empty fragments that this could fail also emits its single
 n-grams, to meet its like. How frequent a segment is, bitmaps say in a few tiers:
 any order will do that is the same for all sets.
 
-Documents connected by equal segments form families. A family is dealt out in
-blocks of bounded size; for each pair of blocks the partial overlaps are
-counted fragment by fragment, as small matrix products, and summed per pair.
-Only the verified links leave a block, as a spanning forest and link counts.
+Documents connected by equal segments form families. A family that outgrows one
+block is measured against one pivot set: the n-grams of most of SAMPLE members that met
+the same hub (which sample decides the work, never the result). Jaccard distance obeys
+the triangle inequality, so members within half the distance of a link (the core) are
+all linked with each other and counted without being paired, and members beyond
+three halves of it are linked with none of the core. What is left is dealt out in blocks of bounded size; for each pair of blocks the partial
+overlaps are counted fragment by fragment, as small matrix products, and summed
+per pair. Only the verified links leave a block, as a spanning forest and link counts.
 
 Documents with equal sets are one class from the start and are never paired.
 """
@@ -27,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressline.functions.components import connected_components
@@ -45,6 +49,8 @@ FRAGMENT = 2048
 TIERS = (1, 8, 100)
 #: As many differing segments as a set has.
 ALL = 2**31 - 2
+#: The pivot of a large family is made of so many members.
+SAMPLE = 32
 #: Ids of family members (8 bytes each) are broadcast up to this many, else joined by shuffle.
 MAX_BROADCAST = 1_000_000
 
@@ -202,29 +208,50 @@ def _counted(hit: np.ndarray, ids: np.ndarray, others: np.ndarray, weight: np.nd
     return {int(rows[i]): int(links[i]) for i in np.flatnonzero(hit.any(axis=1))}
 
 
+def _common(table: pa.Table) -> pa.Table:
+    """The n-grams of more than half of a family's sample."""
+    sets = {(x, y): np.frombuffer(g.as_py(), np.uint64) for x, y, g in zip(table.column("d1").to_pylist(), table.column("d2").to_pylist(), table.column("grams"), strict=True)}
+    grams, seen = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    return table.select(["family"]).slice(0, 1).append_column("grams", pa.array([grams[2 * seen > len(sets)].tobytes()], pa.binary()))
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """For a part of a family and its pivot: (id, d1, d2, family, n-grams shared with the pivot, size of the pivot)."""
+    leads = table.column("lead").to_numpy()
+    grams = table.column("grams")
+    pivot = np.concatenate([np.zeros(0, np.uint64)] + [np.frombuffer(grams[int(i)].as_py(), np.uint64) for i in np.flatnonzero(leads)])
+    rows = np.flatnonzero(~leads)
+    both = [np.intersect1d(pivot, np.frombuffer(grams[int(i)].as_py(), np.uint64), assume_unique=True).size for i in rows]
+    out = table.select(["id", "d1", "d2", "family"]).take(pa.array(rows))
+    return out.append_column("both", pa.array(both, pa.int64())).append_column("of", pa.array(np.full(len(rows), len(pivot)), pa.int64()))
+
+
 def _links(num: int, den: int):
     """Function for a group of one or two blocks: (id, root, links) of every document with a link."""
 
     def linked(table: pa.Table) -> pa.Table:
         ids, d1, d2, sizes, sides = (table.column(c).to_pylist() for c in ("id", "d1", "d2", "copies", "side"))
+        alone = all(table.column(p)[0] == table.column(q)[0] for p, q in (("a", "b"), ("x", "y")))
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
         place = {}
         for i, key in enumerate(zip(sides, ids, d1, d2, strict=True)):
             place.setdefault(key, i)
         first = [i for (side, *_), i in place.items() if side == 0]
         second = [i for (side, *_), i in place.items() if side == 1]
+        if not first or not (alone or second):
+            # hashing left one of the two blocks empty
+            return table.select(["id"]).slice(0, 0).append_column("root", pa.array([], pa.int64())).append_column("links", pa.array([], pa.int64()))
         n = np.array([len(s) for s in sets])
-        count = overlaps([sets[i] for i in first], [sets[i] for i in second] if second else None) if first else np.zeros((0, 0))
-        other = second or first
-        with np.errstate(invalid="ignore"):
-            union = n[first][:, None] + n[other][None, :] - count
+        count = overlaps([sets[i] for i in first], None if alone else [sets[i] for i in second])
+        other = first if alone else second
+        union = n[first][:, None] + n[other][None, :] - count
         hit = (count > 0) & (den * count >= num * union)
         name = np.array(ids, np.int64)
         # the sets of one id are one node, not linked with itself
         hit &= name[first][:, None] != name[other][None, :]
         weight = np.array(sizes)
         found = _counted(hit, name[first], name[other], weight[other])
-        if second:
+        if not alone:
             found |= _counted(hit.T, name[second], name[first], weight[first])
         root: dict = {}
 
@@ -244,6 +271,74 @@ def _links(num: int, den: int):
     return linked
 
 
+def _sets(docs: DataFrame, ids: DataFrame, n_ids: int, words: int) -> DataFrame:
+    """(id, d1, d2, grams) of the rows with one of the ids; another text under the same id has another digest."""
+    texts = docs.join(F.broadcast(ids) if n_ids <= MAX_BROADCAST else ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", raw("text").alias("data"))
+
+    def cut(batches):
+        for batch in batches:
+            d1, d2, grams = [], [], []
+            for s in shingle_sets(texts_of(batch.column(1)), words):
+                data = s.tobytes()
+                digest = xxhash.xxh3_128_digest(data)
+                d1.append(int.from_bytes(digest[:8], "big", signed=True))
+                d2.append(int.from_bytes(digest[8:], "big", signed=True))
+                grams.append(data)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(grams, pa.binary())], ["id", "d1", "d2", "grams"])
+
+    return arrow_map(texts, cut, "id long, d1 long, d2 long, grams binary")
+
+
+def _banded(members: DataFrame, large: DataFrame, sampled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Members of large families and their band around the pivot:
+    0 up to half the distance of a link, 2 beyond three halves, 1 between. An id with several sets
+    is never in band 0, so its sets meet the others in one block and count as one document.
+
+    A family is measured in as many parts as it has blocks, each with a copy of the pivot."""
+    picked = sampled.join(large, "family").join(members.select("id", "d1", "d2"), "id").join(sets, ["id", "d1", "d2"])
+    leads = picked.groupBy("family").applyInArrow(_common, "family long, grams binary").join(large, "family")
+    leads = leads.select(*(F.lit(None).cast("long").alias(c) for c in ("id", "d1", "d2")), "family", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(True).alias("lead"), "grams")
+    part = F.pmod(F.xxhash64("id", "d1", "d2"), F.col("blocks")).cast("int").alias("part")
+    asked = members.select("id", "d1", "d2", "family", part, F.lit(False).alias("lead")).join(sets, ["id", "d1", "d2"])
+    both = asked.unionByName(leads).groupBy("family", "part").applyInArrow(_shared, "id long, d1 long, d2 long, family long, both long, of long").distinct()
+    own = members.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    apart = members.join(both, ["id", "d1", "d2", "family"]).join(own, "id")
+    union = F.col("n") + F.col("of") - F.col("both")
+    far = 2 * den * (union - F.col("both"))
+    band = F.when((far <= (den - num) * union) & (F.col("own") == 1), 0).when(far <= 3 * (den - num) * union, 1).otherwise(2)
+    return apart.select("id", "d1", "d2", "family", "copies", band.alias("band"))
+
+
+def _dealt(members: DataFrame, banded: DataFrame, blocks, num: int, den: int) -> DataFrame:
+    """(id, d1, d2, family, copies, spots): where each member is compared.
+
+    A spot (a, b, x, y, side) is a pair of blocks: block x of cell a beside block y of cell b. A cell
+    is a size class and band of a large family; a small family is one block. Linked sets are of the same or
+    neighbouring size classes; core beside core and core beside far need no comparison."""
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)))).cast("int")
+    placed = members.join(banded.select("id", "d1", "d2", "band"), ["id", "d1", "d2"], "left").withColumn("size_class", size_class)
+    placed = placed.withColumn("cell", F.col("size_class") * 3 + F.col("band"))
+    cells = placed.where("band is not null").groupBy("family", "cell").agg(blocks)
+    layout = cells.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("cell", "blocks"))).alias("layout"))
+    placed = placed.join(layout, "family", "left").withColumn("block", F.pmod(F.xxhash64("id"), F.col("layout")[F.col("cell")]).cast("int"))
+    beside = """filter(flatten(transform(array(-1, 0, 1), d ->
+        transform(CASE band WHEN 0 THEN array(1) WHEN 1 THEN array(0, 1, 2) ELSE array(1, 2) END, o -> (size_class + d) * 3 + o))),
+        t -> map_contains_key(layout, t))"""
+    spots = """flatten(transform(beside, t -> transform(sequence(0, layout[t] - 1), i ->
+        CASE WHEN t > cell OR (t = cell AND i >= block) THEN named_struct('a', cell, 'b', t, 'x', block, 'y', i, 'side', 0)
+        ELSE named_struct('a', t, 'b', cell, 'x', i, 'y', block, 'side', 1) END)))"""
+    one = "array(named_struct('a', -1, 'b', -1, 'x', 0, 'y', 0, 'side', 0))"
+    placed = placed.withColumn("beside", F.expr(beside)).withColumn("spots", F.expr(f"CASE WHEN layout IS NULL THEN {one} ELSE {spots} END"))
+    return placed.select("id", "d1", "d2", "family", "copies", "spots").where("size(spots) > 0")
+
+
+def _core_links(banded: DataFrame) -> DataFrame:
+    """(id, root, links) of the members of a core: each is linked with all the others."""
+    core = banded.where("band = 0")
+    whole = core.groupBy("family").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("docs"), F.min("id").alias("root"))
+    return core.join(whole.where("docs > 1"), "family").select("id", "root", (F.col("all") - F.col("copies")).alias("links"))
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, n_links.
 
@@ -279,54 +374,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hubs = meets.groupBy("key").agg(F.min("id").alias("hub"))
     edges = meets.join(hubs, "key").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     families = connected_components(edges).select("id", F.col("component").alias("family"))
+    met = edges.groupBy(F.col("b").alias("id")).agg(F.count(F.lit(1)).alias("met")).join(families, "id")
+    hot = met.groupBy("family").agg(F.min(F.struct((-F.col("met")).alias("fewer"), "id")).alias("most")).where(F.col("most.fewer") < -1)
+    of_hub = edges.join(hot.select("family", F.col("most.id").alias("b")), "b").select("family", F.col("a").alias("id"))
+    sampled = of_hub.withColumn("place", F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("id"), "id"))).where(F.col("place") <= SAMPLE)
+    sampled = stored(sampled.select("family", "id"), "sampled")
     discard(meets)
     release(spark)
 
     # (id, n, copies) of the family members; a repeated id keeps each of its sets
-    members = families.join(classes, "id").select("id", "family", "n", "copies", "d1", "d2")
-    members = members.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)))).cast("int"))
-    members = stored(members, "members")
-    parts = members.groupBy("family", "size_class").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams"))
-    whole = members.groupBy("family").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams"))
-    blocks = lambda: F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("grams") / BLOCK_GRAMS)).cast("int")
-    parts, whole = stored(parts.select("family", "size_class", blocks().alias("blocks")), "parts"), stored(whole.select("family", blocks().alias("all_blocks")), "whole")
-    near = lambda d, name: parts.select(F.col("family"), (F.col("size_class") + d).alias("size_class"), F.col("blocks").alias(name))
-    dealt = members.join(whole, "family").join(parts, ["family", "size_class"]).join(near(-1, "above"), ["family", "size_class"], "left").join(near(1, "below"), ["family", "size_class"], "left")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    spot = lambda kind, c, x, y, side: F.struct(F.lit(kind).alias("kind"), c.alias("c"), x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
-    zero, c, own = F.lit(0), F.col("size_class"), F.col("block")
-    some = lambda n, f: F.when(F.coalesce(n, F.lit(0)) > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array().cast("array<struct<kind:int,c:int,x:int,y:int,side:int>>"))
-    split = F.concat(
-        F.array(spot(1, c, own, own, 0)),
-        F.filter(some(F.col("blocks"), lambda i: spot(2, c, own, i, 0)), lambda s: s["y"] > s["x"]),
-        F.filter(some(F.col("blocks"), lambda i: spot(2, c, i, own, 1)), lambda s: s["y"] > s["x"]),
-        some(F.col("above"), lambda i: spot(3, c, own, i, 0)),
-        some(F.col("below"), lambda i: spot(3, c - 1, i, own, 1)),
-    )
-    dealt = dealt.withColumn("spots", F.when(F.col("all_blocks") <= 1, F.array(spot(0, zero, zero, zero, 0))).otherwise(split))
-    dealt = stored(dealt.select("id", "d1", "d2", "family", "copies", "spots"), "dealt")
-    discard(members, parts, whole)
-    n_members = dealt.count()
+    members = stored(families.join(classes, "id").select("id", "family", "n", "copies", "d1", "d2"), "members")
+    n_members = members.count()
     if n_members:
-        ids = dealt.select("id").distinct()
-        texts = docs.join(F.broadcast(ids) if n_members <= MAX_BROADCAST else ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", raw("text").alias("data"))
-
-        def cut(batches):
-            for batch in batches:
-                d1, d2, grams = [], [], []
-                for s in shingle_sets(texts_of(batch.column(1)), words):
-                    data = s.tobytes()
-                    digest = xxhash.xxh3_128_digest(data)
-                    d1.append(int.from_bytes(digest[:8], "big", signed=True))
-                    d2.append(int.from_bytes(digest[8:], "big", signed=True))
-                    grams.append(data)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(grams, pa.binary())], ["id", "d1", "d2", "grams"])
-
-        # another text under the same id is another member, hence the digest in the key
-        sets = arrow_map(texts, cut, "id long, d1 long, d2 long, grams binary").join(dealt, ["id", "d1", "d2"])
-        sets = sets.select("id", "family", "copies", "d1", "d2", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "d1", "d2", "spot.*", "grams")
-        links = stored(sets.groupBy("family", "kind", "c", "x", "y").applyInArrow(_links(num, den), "id long, root long, links long"), "links")
-        discard(dealt)
+        sets = stored(_sets(docs, members.select("id").distinct(), n_members, words), "sets")
+        blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
+        large = members.groupBy("family").agg(blocks).where("blocks > 1")
+        banded = stored(_banded(members.join(large, "family"), large, sampled, sets, num, den), "banded")
+        dealt = stored(_dealt(members, banded, blocks, num, den), "dealt")
+        discard(members, sampled)
+        paired = sets.join(dealt, ["id", "d1", "d2"]).select("id", "family", "copies", "d1", "d2", F.explode("spots").alias("spot"), "grams").select("id", "family", "copies", "d1", "d2", "spot.*", "grams")
+        paired = paired.groupBy("family", "a", "b", "x", "y").applyInArrow(_links(num, den), "id long, root long, links long")
+        links = stored(paired.unionByName(_core_links(banded)), "links")
+        discard(dealt, sets, banded)
         release(spark)
         groups = connected_components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
         counts = links.groupBy("id").agg(F.sum("links").alias("links"))

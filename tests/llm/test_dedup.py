@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressline.llm import exact_dedup, jaccard_join, substring_dedup
@@ -108,6 +109,72 @@ def test_near_in_many_blocks(spark, monkeypatch):
     check_near(spark, near_texts(3, 50, 50, 6), 3, 8, 10)
 
 
+def group_of_copies(seed, n, length, most):
+    r = random.Random(seed)
+    base = [r.choice("abcdefghijklmnopqrstuvwxyz") + str(r.randrange(500)) for _ in range(length)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(r.randint(0, most)):
+            own[r.randrange(length)] = f"x{r.randrange(50)}"
+        out.append(" ".join(own + [f"y{r.randrange(9)}"] * r.randint(0, 3)))
+    return out
+
+
+def bands_of(spark, monkeypatch):
+    """Counts of members by band, noted while jaccard_join runs."""
+    dealt, bands = jaccard_join._dealt, {}
+
+    def noted(members, banded, *rest):
+        bands.update({r.band: r["count"] for r in banded.groupBy("band").count().collect()})
+        return dealt(members, banded, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_dealt", noted)
+    return bands
+
+
+@pytest.mark.parametrize(("words", "num", "den", "most"), [(3, 90, 100, 3), (5, 8, 10, 8)])
+def test_near_group_larger_than_a_block(spark, monkeypatch, words, num, den, most):
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 8)
+    bands = bands_of(spark, monkeypatch)
+    check_near(spark, group_of_copies(most, 90, 150, most) + near_texts(4, 20, 60, 4)[:20], words, num, den)
+    assert bands[0] > 5 and bands[1] > 5
+
+
+def test_near_group_shares_of_the_work(spark, monkeypatch):
+    """Copies close to the pivot are counted, not paired: what is dealt grows with the table."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 16)
+    spots, dealt = [], jaccard_join._dealt
+
+    def noted(*args):
+        out = dealt(*args)
+        spots.append(sum(len(r.spots) for r in out.select("spots").collect()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_dealt", noted)
+    for n in (100, 400):
+        texts = [t + f" end{i}" for i, t in enumerate(group_of_copies(1, n, 200, 0))]
+        got = jaccard_join.jaccard_join(rows_of(spark, texts)).collect()
+        assert {(r.component_id, r.n_links) for r in got} == {(0, n - 1)}
+    assert spots[1] <= 4 * spots[0]
+
+
+def test_near_repeated_ids_in_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 8)
+    texts = group_of_copies(8, 40, 150, 3)
+    rows = [(i if i % 4 else i // 8, t, "n") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(spark.createDataFrame(rows, DOCS)).collect()}
+    plain = brute_jaccard(texts, 5, 8, 10)
+    root = {}
+    for i, (_, component, _) in plain.items():
+        root.setdefault(component, set()).add(rows[i][0])
+    groups = []
+    for own in root.values():
+        touching = [g for g in groups if g & own]
+        groups = [g for g in groups if not g & own] + [own.union(*touching)]
+    assert got == {i: min(g) for g in groups for i in g}
+
+
 def test_near_keep_one_nulls_and_empty(spark):
     text = "a b c d e f g h i j"
     df = spark.createDataFrame([(5, text, "a"), (3, text, "b"), (None, text, "c"), (7, None, "d"), (8, "", "e"), (9, "other words are here now", "f")], DOCS)

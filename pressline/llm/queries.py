@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressline.llm import chat_format, decontaminate, exact_dedup, jaccard_join, mixing, pii, secrets, substring_dedup, toxicity, url_filter
+from pressline.llm import chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, mixing, packing, pii, secrets, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(rows, dropped=rows["dropped"])
+
+
 DEDUP_SQL = """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window w as (partition by coalesce(text, ''))
@@ -89,5 +99,5 @@ select d.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bi
 from d left join t using (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup)}
-ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL, "op10_suffix_dedup": REPEATS_SQL}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup, op11_best_fit_packing, op13_conversation_repair)}
+ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL, "op10_suffix_dedup": REPEATS_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressline.llm import chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, mixing, packing, pii, secrets, substring_dedup, toxicity, url_filter
+from pressline.llm import chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, mixing, packing, pii, ranked_search, secrets, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
     return conversation_repair.repair_conversations(rows, dropped=rows["dropped"])
@@ -99,5 +103,5 @@ select d.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bi
 from d left join t using (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup, op11_best_fit_packing, op13_conversation_repair)}
-ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL, "op10_suffix_dedup": REPEATS_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secret_scan, op3_jaccard_join, op4_chat_formatting, op5_source_mixing, op6_toxicity, op7_url_filter, op8_decontamination, op9_exact_dedup, op10_suffix_dedup, op11_best_fit_packing, op12_ranked_search, op13_conversation_repair)}
+ORACLE = {"op3_jaccard_join": JACCARD_SQL, "op4_chat_formatting": chat_format.CHAT_SQL, "op5_source_mixing": mixing.MIX_SQL, "op7_url_filter": url_filter.URL_SQL, "op9_exact_dedup": DEDUP_SQL, "op10_suffix_dedup": REPEATS_SQL, "op12_ranked_search": ranked_search.SEARCH_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MIN_OVERLAP, TEXT_WINS, PICTURE_LEAD, OVERSHOOT = 0.15, 0.5, 0.1, 0.3
 COLUMN_OVERLAP, GAP_RATIO, MIN_GAP = 0.35, 0.5, 40.0
 PICTURES = ["Picture", "Figure"]
+#: Height of a band in pixels, and the last one: pages are joined band by band.
+BAND, LAST_BAND = 64.0, 1023
 
 Box = Callable[[str], Column]
 
@@ -53,9 +55,19 @@ def y_center(b: Box) -> Column:
     return (b("y0") + b("y1")) / 2
 
 
-def area_of(b: Box) -> Column:
-    """X6. Surface, 0 for an inverted box."""
-    return F.greatest(b("x1") - b("x0"), F.lit(0.0)) * F.greatest(b("y1") - b("y0"), F.lit(0.0))
+def bands(low: Column, high: Column) -> Column:
+    """The bands of BAND pixels that a stretch of the page meets, as an array; null of null or none.
+
+    Two stretches that meet share a band, so they can be joined on it. Positions beyond the
+    page are in its first or last band.
+    """
+    at = lambda y: F.least(F.greatest(F.floor(y / BAND), F.lit(0)), F.lit(LAST_BAND)).cast("int")
+    return F.when(low <= high, F.sequence(at(low), at(high)))
+
+
+def first_shared(a: Column, b: Column) -> Column:
+    """The first band that two arrays of bands share, so that a pair counts once."""
+    return F.greatest(F.get(a, F.lit(0)), F.get(b, F.lit(0)))
 
 
 def upper_median(values: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressline.functions.geometry import MIN_OVERLAP, PICTURE_LEAD, PICTURES, TEXT_WINS, bleeds, box, overlap_fraction
+from pressline.functions.geometry import MIN_OVERLAP, PICTURE_LEAD, PICTURES, TEXT_WINS, bands, bleeds, box, first_shared, overlap_fraction
 from pressline.functions.text import join_lines, normalize_line
 from pressline.sources import schemas as S
 
@@ -23,13 +23,17 @@ def numbered_boxes(boxes: DataFrame, key: list[str]) -> DataFrame:
 def assign_lines(lines: DataFrame, boxes: DataFrame, key: list[str]) -> DataFrame:
     """J3, J4. lines with box_seq and fraction of the box they go to; null where none takes them.
 
-    One equi join on the page; the best text box and the best picture of a line
-    come from one aggregation over its few candidates, the choice from a CASE.
+    An interval join on bands of the page, in which a pair counts where it first meets; the best
+    text box and the best picture of a line come from one aggregation over its few candidates,
+    the choice from a CASE.
     A line that bleeds out of its box goes to no other.
     """
     area = boxes.select(*key, "box_seq", "label", *(F.col(s).alias(f"b_{s}") for s in S.SIDES))
     fraction = overlap_fraction(box(), box("b_"))
-    near = lines.select(*key, "line_no", *S.SIDES).join(area, key).withColumn("fraction", fraction).where(F.col("fraction") >= MIN_OVERLAP)
+    by_band = lambda df, low, high, name: df.withColumn(name, bands(F.col(low), F.col(high))).withColumn("band", F.explode(name))
+    met = by_band(lines.select(*key, "line_no", *S.SIDES), "y0", "y1", "own").join(by_band(area, "b_y0", "b_y1", "other"), [*key, "band"])
+    met = met.where(F.col("band") == first_shared(F.col("own"), F.col("other"))).drop("own", "other", "band")
+    near = met.withColumn("fraction", fraction).where(F.col("fraction") >= MIN_OVERLAP)
     candidate = F.struct("fraction", (-F.col("box_seq")).alias("order"), *(f"b_{s}" for s in S.SIDES))
     picture = F.col("label").isin(PICTURES)
     best = near.groupBy(*key, "line_no").agg(F.max(F.when(~picture, candidate)).alias("text"), F.max(F.when(picture, candidate)).alias("picture"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressline.functions.geometry import box, x_center, y_center
+from pressline.functions.geometry import bands, box, x_center, y_center
 from pressline.functions.text import SPACE, split_lines, strip
 from pressline.sources import schemas as S
 from pressline.session import stored
@@ -34,13 +34,14 @@ def prune(corrections: DataFrame, articles: DataFrame, min_words: int = MIN_WORD
 
 def secondary_reading(articles: DataFrame, blocks: DataFrame, embedded: DataFrame) -> DataFrame:
     """J11. (issue_id, page_number, article_id, secondary): lines of the text layer whose centre lies in
-    one of the article's boxes, by position. embedded is in pixels of the page."""
+    one of the article's boxes, by position, as an interval join. embedded is in pixels of the page."""
     own = articles.select("issue_id", "page_number", "article_id", F.explode("block_ids").alias("block_id"))
     area = blocks.where("label <> 'Unassigned'").select(*S.PAGE_KEY, "block_id", *(F.col(s).alias(f"b_{s}") for s in S.SIDES))
     line = embedded.select(*S.PAGE_KEY, "line_no", "text", *S.SIDES)
     a, b = box(), box("b_")
     inside = x_center(a).between(b("x0") - MARGIN, b("x1") + MARGIN) & y_center(a).between(b("y0") - MARGIN, b("y1") + MARGIN)
-    hits = own.join(area, [*S.PAGE_KEY, "block_id"]).join(line, S.PAGE_KEY).where(inside)
+    boxes = own.join(area, [*S.PAGE_KEY, "block_id"]).withColumn("band", F.explode(bands(b("y0") - MARGIN, b("y1") + MARGIN)))
+    hits = boxes.join(line.withColumn("band", F.explode(bands(y_center(a), y_center(a)))), [*S.PAGE_KEY, "band"]).where(inside)
     lines = hits.select(*S.PAGE_KEY, "article_id", F.struct("y0", "x0", "line_no", "text").alias("l")).distinct()
     return lines.groupBy(*S.PAGE_KEY, "article_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["text"]), "\n").alias("secondary"))
 

@@ -13,7 +13,8 @@ from pressline.functions.components import connected_components
 from pressline.functions.dates import strip_dateline_suffix
 from pressline.functions.regions import with_country
 from pressline.functions.text import null_if_empty, strip, strip_urls
-from pressline.session import discard, stored
+from pressline.operators.names import matching_names
+from pressline.session import discard, discard_paths, noting, stored
 from pressline.sources import schemas as S
 
 # When a name is confirmed and when mastheads are alike.
@@ -72,12 +73,6 @@ def refine_newspaper(clusters: DataFrame) -> DataFrame:
     return best.select("issue_id", headers.name_case(F.col("phrase")).alias("newspaper"))
 
 
-def _name_pairs(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
-    """Pairs (a_name, b_name) that match as phrases: candidates by an equi join, the ratio on distinct pairs."""
-    pairs = left.join(right, on & similarity.may_match(F.col("a_name"), F.col("b_name"))).select("a_name", "b_name").distinct()
-    return pairs.where(similarity.phrases_match(F.col("a_name"), F.col("b_name")))
-
-
 def cross_issue_names(issues: DataFrame, clusters: DataFrame, index: DataFrame) -> DataFrame:
     """J8. (issue_id, newspaper): names of confirmed issues that fit the header phrases of others.
 
@@ -87,9 +82,9 @@ def cross_issue_names(issues: DataFrame, clusters: DataFrame, index: DataFrame)
     donors = index.where("newspaper_source = 'page_headers' and newspaper <> ''").select(F.col("newspaper").alias("name"), headers.place_key(F.col("city")).alias("c"), headers.place_key(F.col("province")).alias("p")).distinct()
     known = (F.coalesce("city", F.lit("")) != "") & (F.coalesce("province", F.lit("")) != "")
     asking = issues.select("issue_id", known.alias("known"), headers.place_key(F.col("city")).alias("c"), headers.place_key(F.col("province")).alias("p")).join(clusters, "issue_id")
-    placed = asking.where("known").join(donors, ["c", "p"]).where(similarity.may_match(F.col("phrase"), F.col("name")))
-    alike = placed.select("phrase", "name").distinct().where(similarity.phrases_match(F.col("phrase"), F.col("name")))
-    placed = placed.join(alike, ["phrase", "name"], "left_semi").select("issue_id", "votes", "rank", "name")
+    placed = asking.where(F.col("known") & F.col("c").isNotNull() & F.col("p").isNotNull())
+    alike = matching_names(placed.select("c", "p", F.col("phrase").alias("a_name")), donors.select("c", "p", F.col("name").alias("b_name")), ["c", "p"])
+    placed = placed.withColumnRenamed("phrase", "a_name").join(alike, ["c", "p", "a_name"]).select("issue_id", "votes", "rank", F.col("b_name").alias("name"))
     token = F.array_join(headers.header_tokens(F.col("name")), " ")
     exact = asking.where(~F.col("known") & (F.length("phrase") >= MIN_EXACT_NAME)).join(donors.select("name").distinct().withColumn("key", token), F.upper("phrase") == F.col("key")).select("issue_id", "votes", "rank", "name")
     return placed.unionByName(exact).groupBy("issue_id").agg(F.min(F.struct(-F.col("votes"), "rank", "name")).alias("best")).select("issue_id", F.col("best.name").alias("newspaper"))
@@ -124,14 +119,13 @@ def name_space(issues: DataFrame) -> Space:
     """J9. Issues by equal confirmed names; kinds whose names are alike.
 
     The ratio is not symmetric; two names are alike if either order says so (a decision).
-    Names of one word number meet if their lengths allow it: distinct names, a dictionary."""
+    Names are joined by names.matching_names, so only distinct words that share a signature are
+    ever compared."""
     named = issues.where(F.col("newspaper_source").isin(CONFIDENT)).select("issue_id", strip(F.coalesce("newspaper", F.lit(""))).alias("name")).where("name <> ''")
     named = stored(named, "named")
     kinds = stored(named.groupBy("name").agg(F.min("issue_id").alias("kind")), "kinds")
     members = stored(named.join(kinds, "name").select("issue_id", "kind"), "members")
-    words = lambda c: F.size(F.split(c, r"\s+"))
-    a, b = kinds.select(F.col("name").alias("a_name")), kinds.select(F.col("name").alias("b_name"))
-    alike = _name_pairs(a, b, (words(F.col("a_name")) == words(F.col("b_name"))) & (F.col("a_name") != F.col("b_name")))
+    alike = matching_names(kinds.select(F.col("name").alias("a_name")), kinds.select(F.col("name").alias("b_name"))).where("a_name <> b_name")
     left, right = (kinds.select(F.col("name").alias(f"{c}_name"), F.col("kind").alias(c)) for c in "ab")
     met = alike.join(left, "a_name").join(right, "b_name")
     links = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
@@ -269,17 +263,23 @@ def reconcile(issues: DataFrame, clusters: DataFrame, regions: DataFrame | None
     # a round changes no masthead and no confirmed name, so who belongs together stays
     spaces = publication_spaces(current)
     while True:
-        open_ = (F.col("newspaper_source") == "fallback") | F.coalesce(null_if_empty(F.col("city")), F.lit("")).eqNullSafe("")
-        cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, current).select("issue_id", F.col("newspaper").alias("__cross"))
-        named = current.withColumn("__open", open_).join(cross, "issue_id", "left")
-        named = named.withColumns({"newspaper": F.coalesce("__cross", "newspaper"), "newspaper_source": F.when(F.col("__cross").isNotNull(), "cross_issue").otherwise(F.col("newspaper_source")), "__changed": F.col("__cross").isNotNull()}).drop("__cross")
-        named = stored(named, "named")
-        full = backfill(named, regions=regions, spaces=spaces)
-        keep = [c for c in issues.columns]
-        closed = named.where(~F.col("__open"))
-        step = full.where("__open").withColumn("__changed", F.col("__changed") | (F.size("filled") > 0)).select(*keep, "__changed").unionByName(closed.select(*keep, "__changed"))
-        step = stored(step, "step")
-        discard(last, named)
+        with noting() as made:
+            step = _reconcile_round(current, clusters, spaces, regions, issues.columns)
+        discard_paths(current.sparkSession, [path for path in made if path != step._stored_at])
+        discard(last)
         current, last = step.drop("__changed"), step
         if step.where("__changed").isEmpty():
             return current
+
+
+def _reconcile_round(current: DataFrame, clusters: DataFrame, spaces: list[Space], regions: DataFrame | None, keep: list[str]) -> DataFrame:
+    """current after one look at the index, with __changed, written out."""
+    open_ = (F.col("newspaper_source") == "fallback") | F.coalesce(null_if_empty(F.col("city")), F.lit("")).eqNullSafe("")
+    cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, current).select("issue_id", F.col("newspaper").alias("__cross"))
+    named = current.withColumn("__open", open_).join(cross, "issue_id", "left")
+    named = named.withColumns({"newspaper": F.coalesce("__cross", "newspaper"), "newspaper_source": F.when(F.col("__cross").isNotNull(), "cross_issue").otherwise(F.col("newspaper_source")), "__changed": F.col("__cross").isNotNull()}).drop("__cross")
+    named = stored(named, "named")
+    full = backfill(named, regions=regions, spaces=spaces)
+    closed = named.where(~F.col("__open"))
+    step = full.where("__open").withColumn("__changed", F.col("__changed") | (F.size("filled") > 0)).select(*keep, "__changed").unionByName(closed.select(*keep, "__changed"))
+    return stored(step, "step")

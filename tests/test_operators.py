@@ -1,5 +1,7 @@
 """Operators on small pages; expected values by hand."""
 
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pressline.functions.components import connected_components
 from pressline.operators import articles as A
 from pressline.operators import blocks as B
 from pressline.operators import corpus, correct, fusion, identity, reports
+from pressline.operators.names import alike_words, matching_names, word_candidates
 from pressline.sources import providers, readers, writers
 from pressline.sources import schemas as S
 
@@ -406,3 +409,49 @@ def test_streaming_upsert(spark, tmp_path):
     # a new checkpoint reads the source again, on top of the index that is there
     put([("4", "E", "t3")], point + "-new")
     assert {(r.issue_id, r.newspaper) for r in latest_index(spark, index).collect()} == {("1", "A"), ("2", "C"), ("3", "D"), ("4", "E")}
+
+
+def misread(r: random.Random, word: str) -> str:
+    """word with one letter changed, lost or added."""
+    i, kind = r.randrange(len(word)), r.randrange(3)
+    return word[:i] + ("" if kind == 0 else r.choice("aeioqz")) + word[i + (kind != 2) :]
+
+
+def random_names(r: random.Random, n: int, words: int = 2) -> list[str]:
+    known = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k)) for k in (3, 4, 5, 7, 8, 9, 12, 15, 21, 30)]
+    return [" ".join(w.title() if r.random() < 0.5 else misread(r, w) for w in r.choices(known, k=words)) for _ in range(n)]
+
+
+def test_matching_names_equal_brute_force(spark):
+    r = random.Random(7)
+    left = [(r.choice("xy"), n) for k in (1, 2, 3) for n in random_names(r, 60, k)] + [("x", None), ("x", " "), (None, "Abc"), ("x", "The  Sun\t"), ("y", "ÉCLAIREUR de"), ("x", "a" * 80)]
+    right = [(r.choice("xy"), n) for k in (1, 2, 3) for n in random_names(random.Random(7), 60, k)] + left[-5:] + [("x", "the sun"), ("y", "éclaireur du"), ("x", "a" * 79 + "b")]
+    asking, answering = spark.createDataFrame(left, "p string, a_name string"), spark.createDataFrame(right, "p string, b_name string")
+    want = {(p, a, b) for p, a in left for q, b in right if p == q and p and a and b and a.strip() and similarity.words_match(a, b)}
+    assert {tuple(x) for x in matching_names(asking, answering, ["p"]).collect()} == want and len(want) > 100
+    assert matching_names(asking.limit(0), answering, ["p"]).count() == 0
+    everywhere = {(a, b) for _, a in left for _, b in right if a and b and a.strip() and similarity.words_match(a, b)}
+    assert {tuple(x) for x in matching_names(asking, answering).collect()} == everywhere
+
+
+def test_many_names_share_few_candidates(spark):
+    """10 000 distinct names of two words, all of one first word: fewer than 20 pairs of words a name are compared."""
+    r = random.Random(3)
+    second = list({"".join(r.choice("etaoinshrdlucm") for _ in range(r.randint(4, 12))) for _ in range(11_000)})[:10_000]
+    words = spark.createDataFrame([(w,) for w in [*second, "evening"]], "word string")
+    assert word_candidates(words).count() < 20 * len(second)
+    names = spark.createDataFrame([(f"Evening {w}", w) for w in second], "a_name string, w string")
+    asked = matching_names(names, names.select(F.col("a_name").alias("b_name")))
+    want = {(a, b) for a, b in ((r.word, r.other) for r in alike_words(words).collect()) if "evening" not in (a, b)}
+    assert {(x.a_name[8:], x.b_name[8:]) for x in asked.collect()} == want
+
+
+def test_hot_place_is_spread_over_words(spark):
+    """One city that holds all phrases and donors: rows meet by word, so no key holds many of them."""
+    r = random.Random(4)
+    donors = random_names(r, 200)
+    rows = [("x", f"Daily {d}") for d in donors for _ in range(5)]
+    asking = spark.createDataFrame(rows, "p string, a_name string").distinct()
+    got = matching_names(asking, asking.withColumnRenamed("a_name", "b_name"), ["p"])
+    names = sorted({n for _, n in rows})
+    assert {(a, b) for _, a, b in got.collect()} == {(a, b) for a in names for b in names if similarity.words_match(a, b)}

@@ -37,10 +37,8 @@ def rebuild(ocr: DataFrame, boxes: DataFrame, sizes: DataFrame, pdf_pages: DataF
     where the PDF is not there (Q3). index: issues seen before, donors of names and places.
     honor_override keeps a given name, which header votes would replace (Q2).
     """
-    spark = ocr.sparkSession
     if pdf_pages is None:
-        lines = fuse_lines(ocr, spark.createDataFrame([], S.EMBEDDED_LINES))
-        embedded = None
+        lines, embedded = fuse_lines(ocr), None
     else:
         scaled = pdf_pages.join(sizes.select(*S.PAGE_KEY, "width"), S.PAGE_KEY)
         factor = F.when((F.col("pt_width") > 0) & (F.col("width") > 0), F.col("width") / F.col("pt_width")).otherwise(F.lit(1.0))

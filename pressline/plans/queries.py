@@ -128,7 +128,7 @@ def upper_median_region(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def slot_candidates(spark: SparkSession, sf: str) -> DataFrame:
     pairs = fusion.slot_candidates(_lines(spark, sf), fixture(spark, sf, "emb"), DOC)
-    return pairs.withColumn("width_ratio", F.round("width_ratio", 6))
+    return pairs.select("doc_id", "o_line_no", "e_line_no", F.round("width_ratio", 6).alias("width_ratio"))
 
 
 @query

@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,14 +82,73 @@ def test_j6_continuations(spark):
     assert got[("i", "p3a001")] == (None, None) and got[("j", "p2a001")] == (None, None)
 
 
-def test_fusion_is_greedy_and_sees_earlier_appends():
-    cols = ["issue_id", "page_number", "line_no", "text", "confidence", "x0", "y0", "x1", "y1"]
-    slots = pd.DataFrame([("i", 1, n, f"slot {n}", 0.9, 0.0, 40.0 * n, 200.0, 40.0 * n + 20) for n in range(10)], columns=cols).assign(left=-40.0, right=240.0)
-    ocr = pd.DataFrame([("i", 1, 0, "first", 0.9, 0.0, 0.0, 200.0, 20.0), ("i", 1, 1, "second", 0.8, 0.0, 2.0, 150.0, 22.0), ("i", 1, 2, "free one", 0.9, 0.0, 500.0, 100.0, 520.0), ("i", 1, 3, "free two", 0.9, 0.0, 510.0, 100.0, 530.0)], columns=cols).assign(words=[[]] * 4, garbage=False)
-    out = fusion.fuse_page(slots, ocr)
-    assert list(out["text"])[:2] == ["first", "slot 1"]  # one slot, one line; the second overlaps it
-    assert list(out["text"])[-1] == "free one" and len(out) == 11
-    assert list(fusion.fuse_page(slots.head(9), ocr)["text"]) == ["first", "second", "free one", "free two"]  # too few slots
+def fused_by_loops(slots, read, region):
+    """Fusion of one page, line by line and slot by slot. Boxes are the last four of each (line_no, text, confidence, box)."""
+    middle = lambda b, i: (b[i] + b[i + 2]) / 2
+    upper = lambda v: sorted(v)[len(v) // 2]
+    meet = lambda a, b: min(a[2], b[2]) > max(a[0], b[0]) and min(a[3], b[3]) > max(a[1], b[1])
+    if len(slots) < 10:
+        return [(t, "surya", *b) for _, t, _, b in sorted(read)]
+    cap = max(1.5 * upper([b[3] - b[1] for *_, b in slots]), 30.0)
+    wide = upper([b[2] - b[0] for *_, b in slots])
+    slots = sorted(slots, key=lambda s: (s[3][1], s[3][0], s[0]))
+    owner, kept = {}, []
+    for _, text, _, b in sorted(read):
+        best = None
+        for i, (*_, e) in enumerate(slots):
+            height, width = max(min(e[3] - e[1], cap), 20.0), max(e[2] - e[0], 30.0)
+            if i not in owner and abs(middle(b, 1) - middle(e, 1)) <= 0.6 * height and abs(middle(b, 0) - middle(e, 0)) <= 0.5 * width and b[2] - b[0] <= 1.5 * width:
+                best = min(best or (9e9, 0), ((b[2] - b[0]) / max(e[2] - e[0], 1.0), i))
+        if best:
+            owner[best[1]] = text
+        if b[2] - b[0] <= 1.5 * wide and region[0] <= middle(b, 0) <= region[1] and not any(meet(b, s[3]) for s in slots) and not any(meet(b, k[1]) for k in kept):
+            kept.append((text, b))
+    rows = [(owner.get(i, t), "surya" if i in owner else "embedded", *b) for i, (_, t, _, b) in enumerate(slots)] + [(t, "surya", *b) for t, b in kept]
+    return sorted(rows, key=lambda r: (r[3], r[2]))
+
+
+def test_fusion_equals_loops(spark):
+    r = random.Random(11)
+    slots, read, want = [], [], {}
+    for p in range(1, 13):
+        n = 4 if p == 1 else r.randint(12, 40)
+        columns = lambda: (r.choice((0, 220, 440)) + r.randint(-9, 9), r.randint(0, 40) * 12 + r.choice((0, 0, 3)))  # noqa: B023, E731
+        there, own = [], []
+        for into, count, word in ((there, n, "slot"), (own, r.randint(10, 60), "read")):
+            for i in range(count):
+                x, y = columns()
+                into.append((i, f"{word} of {p} number {i} here", 0.9, (float(x), float(y), float(x + r.choice((60, 180, 200, 210, 420))), float(y + r.choice((8, 11, 20, 70))))))
+        slots += [("i", p, i, t, c, *b) for i, t, c, b in there]
+        read += [("i", p, i, t, c, *b, []) for i, t, c, b in own]
+        widths = sorted(b[2] - b[0] for *_, b in there)
+        long = [b for *_, b in there if b[2] - b[0] > 0.5 * widths[len(widths) // 2]]
+        region = (min(b[0] for b in long) - 40, max(b[2] for b in long) + 40)
+        inside = [s for s in there if region[0] <= (s[3][0] + s[3][2]) / 2 <= region[1]]
+        want[p] = fused_by_loops(inside, own, region)
+    read.append(("i", 99, 0, "a page of its own", 0.9, 0.0, 0.0, 100.0, 10.0, []))
+    want[99] = [("a page of its own", "surya", 0.0, 0.0, 100.0, 10.0)]
+    ocr, embedded = spark.createDataFrame(read, S.OCR_LINES), spark.createDataFrame(slots, S.EMBEDDED_LINES)
+    got: dict = {}
+    for x in fusion.fuse_lines(ocr, embedded).orderBy("page_number", "line_no").collect():
+        got.setdefault(x.page_number, []).append((x.text, x.source, x.x0, x.y0, x.x1, x.y1))
+    assert got == want and {s for rows in want.values() for _, s, *_ in rows} == {"surya", "embedded"}
+
+
+def test_fusion_is_greedy_and_sees_earlier_appends(spark):
+    slots = [("i", 1, n, f"slot number {n} here", 0.9, 0.0, 40.0 * n, 200.0, 40.0 * n + 20) for n in range(10)]
+    read = [("i", 1, 0, "first one", 0.9, 0.0, 0.0, 200.0, 20.0, []), ("i", 1, 1, "second one", 0.8, 0.0, 2.0, 150.0, 22.0, []), ("i", 1, 2, "free one", 0.9, 0.0, 500.0, 100.0, 520.0, []), ("i", 1, 3, "free two", 0.9, 0.0, 510.0, 100.0, 530.0, [])]
+    ocr, embedded = spark.createDataFrame(read, S.OCR_LINES), spark.createDataFrame(slots, S.EMBEDDED_LINES)
+    out = [r.text for r in fusion.fuse_lines(ocr, embedded).orderBy("line_no").collect()]
+    assert out[:2] == ["first one", "slot number 1 here"]  # one slot, one line, in order of lines; the second overlaps it
+    assert out[-1] == "free one" and len(out) == 11
+    assert [r.text for r in fusion.fuse_lines(ocr, embedded.where("line_no < 9")).orderBy("line_no").collect()] == ["first one", "second one", "free one", "free two"]  # too few slots
+
+
+def test_fusion_without_text_layer_has_no_python(spark):
+    ocr = spark.createDataFrame([("i", 1, 4, "some words", 0.9, 0.0, 0.0, 9.0, 9.0, [])], S.OCR_LINES)
+    plan = fusion.fuse_lines(ocr)
+    assert [(r.line_no, r.source) for r in plan.collect()] == [(0, "surya")]
+    assert not any(word in plan._jdf.queryExecution().toString() for word in ("Arrow", "Pandas", "Python"))
 
 
 def test_a1_a2_median_region(spark):

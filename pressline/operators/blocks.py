@@ -52,7 +52,7 @@ def _rollup(key: list[str]) -> list:
     return [
         F.array_sort(F.collect_list(entry)).alias("own"),
         F.avg("confidence").alias("mean"),
-        F.when(F.count_distinct("source") > 1, "mixed").when(F.max("source") == "embedded", "embedded").otherwise("surya").alias("source"),
+        F.when(F.min("source") < F.max("source"), "mixed").when(F.max("source") == "embedded", "embedded").otherwise("surya").alias("source"),
         *(F.min(s).alias(f"u_{s}") for s in S.SIDES[:2]),
         *(F.max(s).alias(f"u_{s}") for s in S.SIDES[2:]),
     ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,28 +42,37 @@ def header_votes(blocks: DataFrame, fallback: DataFrame | None = None) -> DataFr
     return rows.groupBy("issue_id", "phrase").agg(F.count(F.lit(1)).alias("votes"), F.min(F.struct("page_number", "block_seq")).alias("seq"))
 
 
+def _merged(phrases: list[dict]) -> list[dict]:
+    """Phrases of one issue, most votes first: each joins the first cluster whose longest phrase it matches."""
+    found: list[list] = []
+    for phrase, n in ((p["phrase"], p["votes"]) for p in phrases):
+        for c in found:
+            if similarity.words_match(phrase, c[0]):
+                c[1] += n
+                c[0] = phrase if len(phrase) > len(c[0]) else c[0]
+                break
+        else:
+            found.append([phrase, n])
+    # clusters that grew to one phrase: the votes of the last, at the place of the first
+    return [{"phrase": phrase, "votes": n} for phrase, n in dict(found).items()]
+
+
 def cluster_phrases(votes: DataFrame) -> DataFrame:
     """A9. (issue_id, phrase, votes, rank): phrases of an issue that differ by misreadings as one.
 
-    Greedy in order of votes, so it runs per issue; an issue has few phrases."""
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: list[list] = []
-        for phrase, n in pdf.sort_values(["votes", "page", "block"], ascending=[False, True, True], kind="stable")[["phrase", "votes"]].itertuples(index=False):
-            for c in found:
-                if similarity.words_match(phrase, c[0]):
-                    c[1] += n
-                    c[0] = phrase if len(phrase) > len(c[0]) else c[0]
-                    break
-            else:
-                found.append([phrase, n])
-        merged: dict[str, int] = {}
-        for phrase, n in found:
-            merged[phrase] = n
-        return pd.DataFrame({"issue_id": pdf["issue_id"].iloc[0], "phrase": list(merged), "votes": list(merged.values()), "rank": range(len(merged))})
-
-    flat = votes.select("issue_id", "phrase", "votes", F.col("seq.page_number").alias("page"), F.col("seq.block_seq").alias("block"))
-    return flat.groupBy("issue_id").applyInPandas(cluster, "issue_id string, phrase string, votes long, rank int")
+    Greedy in order of votes, so an issue's distinct phrases meet in one row; only issues with
+    several go to a worker, many in a batch."""
+    order = F.struct((-F.col("votes")).alias("order"), F.col("seq.page_number").alias("page"), F.col("seq.block_seq").alias("block"), "phrase", "votes")
+    issues = votes.groupBy("issue_id").agg(F.array_sort(F.collect_list(order)).alias("own")).select("issue_id", F.transform("own", lambda p: F.struct(p["phrase"].alias("phrase"), p["votes"].alias("votes"))).alias("own"))
+
+    def cluster(batches):
+        for batch in batches:
+            merged = pa.array([_merged(own) for own in batch.column("own").to_pylist()], batch.schema.field("own").type)
+            yield pa.RecordBatch.from_arrays([batch.column("issue_id"), merged], names=["issue_id", "own"])
+
+    several = issues.where(F.size("own") > 1).mapInArrow(cluster, issues.schema)
+    rows = several.unionByName(issues.where(F.size("own") == 1))
+    return rows.select("issue_id", F.posexplode("own").alias("rank", "p")).select("issue_id", "p.phrase", "p.votes", "rank")
 
 
 def refine_newspaper(clusters: DataFrame) -> DataFrame:

@@ -46,16 +46,16 @@ def rebuild(ocr: DataFrame, boxes: DataFrame, sizes: DataFrame, pdf_pages: DataF
         embedded = issues.embedded_top_band(pdf_pages)
         text = pdf_pages.select(*S.PAGE_KEY, F.col("text").alias("__text"))
         sizes = sizes.join(text, S.PAGE_KEY, "left").withColumn("embedded_text", F.coalesce("__text", "embedded_text")).drop("__text")
-    blocks = stored(B.build_blocks(lines, boxes), "blocks")
-    segmented = A.segment_blocks(blocks)
+    plain = stored(B.build_blocks(lines, boxes), "blocks")
+    segmented = A.segment_blocks(plain)
     articles = stored(A.link_continuations(A.article_rollup(segmented)), "articles")
-    blocks = A.annotate_blocks(blocks, segmented, articles)
-    coverage = B.coverage(blocks, sizes)
-    pages = stored(issues.page_texts(blocks, sizes), "page_texts")
+    blocks = A.annotate_blocks(plain, segmented, articles)
+    coverage = B.coverage(plain, sizes)
+    pages = stored(issues.page_texts(plain, sizes), "page_texts")
     meta = issues.issue_metadata(pages, articles, embedded, newspaper)
-    clusters = stored(identity.cluster_phrases(identity.header_votes(blocks, pages.select(*S.PAGE_KEY, "fallback"))), "clusters")
+    clusters = stored(identity.cluster_phrases(identity.header_votes(plain, pages.select(*S.PAGE_KEY, "fallback"))), "clusters")
     named = _name(stored(meta, "meta"), clusters, index, honor_override and newspaper is not None)
-    return Documents(blocks, articles, coverage, issues.issue_rollup(named, sizes, blocks, articles, coverage), clusters)
+    return Documents(blocks, articles, coverage, issues.issue_rollup(named, sizes, plain, articles, coverage), clusters)
 
 
 def _name(meta: DataFrame, clusters: DataFrame, index: DataFrame | None, keep: bool) -> DataFrame:

@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressline.llm.words import sampled_texts
 from pressline.session import discard, stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -31,47 +32,84 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_AT = r"(?:\x20?(?:@|[(\[{](?:at|@)[)\]}])\x20?|\x20at\x20)"
+_DOT = r"(?:\.|\x20\.\x20|\x20?[(\[{](?:dot|\.)[)\]}]\x20?|\x20dot\x20)"
 #: Looser forms of each kind, all scored by the trees.
 LOOSE = {
-    "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\.)[0-9]{1,3}+){3}(?![0-9])",
+    "email": rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:\x20dot\x20[A-Za-z0-9_%+-]{{1,64}}+){{0,3}}+{_AT}[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+){{1,8}}+",
+    "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\{\.\}|\.)[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\([0-9]{2,4}+\)[\x20.-]?|[0-9]{2,4}+[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+.,])(?:\(\+?[0-9]{2,5}+\)\x20?|\+?[0-9]{1,5}+[\x20./-]{1,2}+(?:\(0\)\x20?)?)[0-9]{2,8}+(?:[\x20./-]{1,2}+[0-9]{2,8}+){0,4}+(?![0-9]|[.,][0-9])",
 }
-#: Labelled forms: words before a span and its format. # is a digit, ? a letter, % a number up to 255.
+#: Written forms of personal data. # is a digit, $ one from 2 to 9, ? a letter, % a number up to 255.
 PLANTED = {
-    "email": ["mail |??????.##@?????.com", "|???@????????.org", "write to |?????? (at) ???????.com", "contact |????.????? [at] ?????.net", "|?????##(at)?????? (dot) org", "reach me: |????? @ ???????.com", "e-mail |???????[at]?????[dot]co", "|??????_????(at)????.edu"],
-    "ip": ["|%.%.%.%", "host |%.%.%.%", "ip |%[.]%[.]%[.]%", "from |%(.)%(.)%(.)%", "server at |1##.1##.##.2#", "|1##.2#.1##.##", "|%[.]%[.]%[.]%"],
-    "card": ["card |4### #### #### ####", "|5###-####-####-####", "visa |4###.####.####.####", "paid with card |4###############", "|3###.####.####.####", "|#### #### #### ####", "account card: |5###############", "|####-####-####-####"],
-    "phone": ["call |(###) ###-####", "|###-###-####", "phone: |###.###.####", "tel |### ### ####", "|(0##) ###-####", "fax |0###-###-####", "mobile |#### ### ####", "|(###)###-####", "|###.###.####"],
-    "": [
-        "version |#.#.##.#", "v|##.#.#.##", "section |#.##.#.#", "chapter |#.#.#.#", "release |#.#.#.##", "see @|??????? (at) noon", "follow |@???????", "we met |(at) ????????", "price |##.## ### ####", "order |############", "|################",
-        "isbn |978-#-####-####-#", "isbn |978##########", "invoice no. |################", "tracking |##################", "serial |####.####.####.####.###", "on |20##-##-## ###", "|##/##/20##", "|1,###,###.##", "|#### - ####", "id |###-###-####-###", "order no. |### ### #### ##",
-        "item |##-###-####-##", "part |###.###.####.##", "at |##:##:##", "sum |#.###.###,##", "lines |####-####", "number |##############", "|?????? (at) the ????", "|@ ??? ????", "meet |?????? @ ####",
+    "email": [
+        "????.##@?????.com", "???@????????.org", "?????? (at) ???????.com", "????.????? [at] ?????.net", "?????##(at)?????? (dot) org", "????? @ ???????.com", "???????[at]?????[dot]co", "??????_????(at)????.edu",
+        "???? dot ????? at ?????? dot com", "?????{at}??????{dot}net", "????? AT ?????? DOT de", "????.????? at ?????.org", "???? at ??????? dot fr", "?????(@)????????.uk", "??? [at] ???? [dot] ????? [dot] org", "?????? at ???? dot co dot uk",
     ],
+    "ip": ["%.%.%.%", "%[.]%[.]%[.]%", "%(.)%(.)%(.)%", "1##.1##.##.2#", "1##.2#.1##.##", "#[.]#[.]#[.]#", "1#[.]#[.]#[.]$", "%[.]%.%.%", "%.%.%[.]%", "#(.)##(.)#(.)1##", "%{.}%{.}%{.}%", "$#.$#.##.#"],
+    "card": ["4### #### #### ####", "5###-####-####-####", "4###.####.####.####", "4###############", "3###.####.####.####", "#### #### #### ####", "5###############", "####-####-####-####", "3### ###### #####", "6### #### #### ####"],
+    "phone": [
+        "($##) $##-####", "$##-$##-####", "$##.$##.####", "$## $## ####", "(0##) ###-####", "0###-###-####", "#### ### ####", "($##)$##-####", "0## #### ####", "0#### ### ###", "0#### ######", "0###/#######", "00## ## ######", "00## # ## ## ## ##",
+        "0# ## ## ## ##", "(0##) ### ## ##", "+## (0)## ### ####", "0##-#######", "1-$##-$##-####", "($##) $##.####", "0### ######", "+## ### ### ###", "0##.###.####", "00##-###-#######",
+    ],
+}
+#: What looks like the above and is none. UNCLEAR forms are none only behind a word of AGAINST or before one of UNITS.
+DECOYS = [
+    "??????? (at) noon", "@???????", "(at) ????????", "?????? (at) the ????", "@ ??? ????", "?????? @ ####", "????? (at) noon (dot) ?", "?????? at ## dot ##", "???? at ?????. ??? ?????", "????? at ####.##", "??? dot ??? at ??????", "???? @ ##.##", "?????? at ?????.#",
+    "20##-##-## ###", "##/##/20##", "1,###,###.##", "#### - ####", "##:##:##", "#.###.###,##", "####-####", "978-#-####-####-#", "978##########", "1## 2## 3###", "#00-#00-#000", "1##.2##.3###", "1## #0# ####", "101 ### ####", "##.##.20##", "20##/20##", "1### 1###", "## ## ##",
+    "############", "#.#.##", "19## - 19##", "#00 #00", "##-##", "3##.4##.5##.6##", "9##[.]9##[.]#[.]#", "0.### ###", "##.##.##.####", "0.#.#.#",
+]
+UNCLEAR = [
+    "#.#.##.#", "##.#.#.##", "#.##.#.#", "#.#.#.#", "################", "############", "##################", "####.####.####.####.###", "###-###-####-###", "### ### #### ##", "##-###-####-##", "###.###.####.##", "#### #### #### ####", "##############",
+    "### ### ####", "###-###-####", "$##-$##-####", "###.###.####", "####-###-###", "## ### ####", "0###-####", "### ####", "$## $## ####", "(###) ###-####", "0## ### ####", "[#.#.##.#]", "### #### ####",
+]
+#: Words of which one before a candidate speaks for its kind, and those before or behind it that speak against any.
+CUES = {
+    "email": "mail e-mail email contact write send reach inbox reply",
+    "ip": "ip host server address ping node gateway client router",
+    "card": "card visa mastercard amex debit credit charged paid account",
+    "phone": "call phone tel telephone fax mobile cell ring dial sms whatsapp reach",
 }
+AGAINST = (
+    "version v ver section chapter release build order isbn issn invoice tracking serial id item part number no nr line lines sum price prices total row rows page pages code ref reference model sku lot batch ticket case article figure table score points size range volume edition"
+    " book catalogue weight length count years between of about over under"
+)
+UNITS = "total points units rows items pages km kg m cm mm votes euros dollars pounds times pieces percent copies words lines entries eur usd gbp meters miles"
 #: Documents whose text surrounds the planted spans.
 SAMPLE_DOCS = 150
 #: Where none of these occurs, no generator can match.
-TRIGGER = r"[0-9@]|(?i)[(\[]at[)\]]"
-CUES = r"(?i)(?:mail|contact|write to|reach me|call|phone|tel|fax|mobile|ip|host|server|server at|from|card|visa|account)[^A-Za-z0-9]{0,3}$"
-AGAINST = r"(?i)(?:version|v|section|chapter|release|order|order no|isbn|invoice|invoice no|tracking|serial|id|item|part|number|lines|sum|price|number|no)[^A-Za-z0-9]{0,3}$"
+TRIGGER = r"[0-9@]|(?i)[(\[{]at[)\]}]|\x20at\x20"
+_NEAR = r"(?:\x20(?:is|at|me|us|on|to|no|nr|number|address))?[^A-Za-z0-9]{0,3}$"
+_WORD = r"(?i)(?<![A-Za-z])(?:%s)"
+CUE = {kind: _WORD % own.replace(" ", "|") + _NEAR for kind, own in CUES.items()}
+BEFORE_AGAINST = _WORD % AGAINST.replace(" ", "|") + r"[^A-Za-z0-9]{0,3}$|[$€£#§]\x20?$"
+AFTER_AGAINST = r"(?i)^(?:\x20?(?:%s)(?![A-Za-z])|\x20?[%%€$£])" % UNITS.replace(" ", "|")
+KNOWN_TLD = "com|org|net|edu|gov|info|biz|io|co|uk|de|fr|es|it|nl|ch|at|ca|us|eu"
 #: Characters of context kept on either side of a candidate.
 CONTEXT = 24
-ROUNDS, RATE, MIN_PRECISION = 24, 0.4, 0.95
+ROUNDS, RATE, MIN_PRECISION = 40, 0.4, 0.9
 
 #: Feature -> number of bins. Their product bounds the table that the trees are fitted to.
-BINS = {"digits": 10, "letters": 3, "groups": 6, "space": 2, "dash": 2, "dot": 2, "plus": 2, "paren": 2, "at": 2, "cue": 2, "against": 2, "before": 3, "after": 3, "even": 2}
+BINS = {
+    "digits": 10, "letters": 3, "groups": 6, "space": 2, "dash": 2, "dot": 2, "slash": 2, "plus": 2, "paren": 2, "at": 4, "spelled": 4, "tld": 4, "octets": 2, "bracket": 2, "shape": 7, "first": 4,
+    "cue": 2, "against": 2, "unit": 2, "before": 3, "after": 3, "even": 2,
+}
 
 
 def _count(text: Column, keep: str) -> Column:
     return F.length(F.regexp_replace(text, keep, ""))
 
 
-def features(hit: Column, before: Column, after: Column) -> dict[str, Column]:
+def features(hit: Column, before: Column, after: Column, kind: Column | None = None) -> dict[str, Column]:
     digits, letters = _count(hit, "[^0-9]"), _count(hit, "[^A-Za-z]")
     edge = lambda c: F.when(c == "", 0).when(c.rlike("[A-Za-z0-9]"), 2).when(c.rlike(r"\s"), 0).otherwise(1)
     has = lambda s: F.contains(hit, F.lit(s)).cast("int")
+    last = F.regexp_extract(hit, r"([A-Za-z0-9-]*)$", 1)
+    own = F.lit(False)
+    for name, pattern in CUE.items():
+        own = F.when(F.lit(True) if kind is None else kind == name, own | before.rlike(pattern)).otherwise(own)
+    cue = F.coalesce(own, F.lit(False))
     binned = F.lit(9)
     for i, top in reversed(list(enumerate((0, 4, 6, 8, 9, 10, 12, 15, 19)))):
         binned = F.when(digits <= top, i).otherwise(binned)
@@ -82,11 +120,20 @@ def features(hit: Column, before: Column, after: Column) -> dict[str, Column]:
         "space": has(" "),
         "dash": has("-"),
         "dot": has("."),
+        "slash": has("/"),
         "plus": has("+"),
         "paren": has("("),
-        "at": F.when(hit.rlike(r"(?i)@|[(\[]at[)\]]"), 1).otherwise(0),
-        "cue": before.rlike(CUES).cast("int"),
-        "against": before.rlike(AGAINST).cast("int"),
+        "at": F.when(hit.rlike(r"[(\[{](?i:at|@)[)\]}]"), 2).when(F.contains(hit, F.lit("@")), 1).when(hit.rlike(r"(?i)\x20at\x20"), 3).otherwise(0),
+        "spelled": F.when(hit.rlike(r"[(\[{](?i:dot|\.)[)\]}]"), 2).when(hit.rlike(r"(?i)\x20dot\x20"), 3).when(hit.rlike(r"[A-Za-z0-9]\.[A-Za-z0-9]"), 1).otherwise(0),
+        "tld": F.when(~last.rlike(r"^[A-Za-z]{2,}$"), 0).when(last.rlike(rf"^(?i:{KNOWN_TLD})$"), 3).when(F.length(last) == 2, 2).otherwise(1),
+        "octets": hit.rlike(rf"^{OCTET}(?:[^0-9]+{OCTET}){{3}}$").cast("int"),
+        "bracket": hit.rlike(r"[0-9][(\[{]\.[)\]}][0-9]").cast("int"),
+        # 3-3-4 as North America writes it, or nearly; trunk, international and plus prefixes; the rest
+        "shape": F.when(hit.rlike(r"^\+"), 6).when(hit.rlike(r"^00[1-9]"), 5).when(hit.rlike(r"^\(?0[1-9]"), 4).when(hit.rlike(r"^(?:1[\x20.-])?\(?[2-9][0-9]{2}\)?[\x20.-]{0,2}[2-9][0-9]{2}[\x20.-][0-9]{4}$"), 3).when(hit.rlike(r"^\(?[0-9]{3}\)?[\x20.-]{0,2}[0-9]{3}[\x20.-][0-9]{4}$"), 2).when(hit.rlike(r"^(?:19|20)[0-9]{2}"), 1).otherwise(0),
+        "first": F.when(hit.rlike("^[3-6]"), 1).when(hit.rlike("^[01]"), 2).when(hit.rlike("^97[89]"), 3).otherwise(0),
+        "cue": cue.cast("int"),
+        "against": before.rlike(BEFORE_AGAINST).cast("int"),
+        "unit": after.rlike(AFTER_AGAINST).cast("int"),
         "before": edge(F.right(before, F.lit(1))),
         "after": edge(F.left(after, F.lit(1))),
         "even": hit.rlike(r"^[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$").cast("int"),
@@ -99,13 +146,15 @@ def luhn(hit: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, d: a + F.when(d > 9, d - 9).otherwise(d)) % 10 == 0
 
 
+OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+
+
 def valid(kind: Column, hit: Column) -> Column:
     """The base rules: what a match of a BASE pattern must also meet."""
     digits = _count(hit, "[^0-9]")
-    octet = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
     return (
         F.when(kind == "email", F.lit(True))
-        .when(kind == "ip", hit.rlike(rf"^{octet}(?:\.{octet}){{3}}$"))
+        .when(kind == "ip", hit.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"))
         .when(kind == "card", digits.between(13, 19) & F.when(digits.between(13, 19), luhn(hit)))
         .otherwise(digits.between(9, 15))
     )
@@ -145,7 +194,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # rules and features see the whole hit: dots, blanks and leading zeros can make a valid one long
     spans = spans.withColumn("ok", F.coalesce(valid(F.col("kind"), F.col("hit")), F.lit(False)))
     spans = spans.withColumn("base", (F.col("generator") == "base") & F.col("ok"))
-    spans = spans.withColumns(features(F.col("hit"), F.col("before"), F.col("after")))
+    spans = spans.withColumns(features(F.col("hit"), F.col("before"), F.col("after"), F.col("kind")))
     spans = stored(spans.select("row_id", "generator", "kind", "start", "end", "base", *BINS), "spans")
     ids = stored(rows.select("row_id", "id"), "rows")
     discard(rows)
@@ -153,37 +202,47 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def planted(docs: DataFrame, text_col: str = "text", most: int = SAMPLE_DOCS) -> DataFrame:
-    """Labelled rows: id (place, seed, kind, start, end) and text with one planted span.
+    """Labelled rows: id (place, seed, kind, form, start, end) and text with one planted span.
 
-    Every form of PLANTED stands once in the text of each of `most` documents at most, those of
-    smallest text hash, and once alone; kind is empty where the span is no personal data."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.select(text.alias("t")).withColumn("h", F.xxhash64("t", F.lit(11)))
-    # a hash bound that some twice `most` rows meet, so no partition offers more than a few rows to the sort
-    share = min(1.0, 2 * most / max(1, docs.count()))
-    sample = hashed.where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**12))).orderBy("h", "t").limit(most)
+    Every form stands once in each of `most` distinct texts at most, those of smallest hash, and in
+    eight texts of its own; kind is empty where the span is no personal data. Half of the personal
+    spans follow a cue of their kind. Of the decoys a third stands bare and the others behind a word of AGAINST or
+    before one of UNITS, as those of UNCLEAR always do."""
+    sample = sampled_texts(docs, most, 11, text_col)
     at = F.pmod("h", F.greatest(F.length("t") - 2 * CONTEXT, F.lit(1))).cast("int")
     around = sample.select("h", F.substring("t", at + 1, F.lit(CONTEXT)).alias("left"), F.substring("t", at + CONTEXT + 1, F.lit(CONTEXT)).alias("right"))
     around = around.unionByName(docs.sparkSession.range(8).select(F.xxhash64("id").alias("h"), F.lit("").alias("left"), F.lit("").alias("right")))
-    forms = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("form"), F.lit(form.split("|")[0]).alias("lead"), F.lit(form.split("|")[1]).alias("format")) for kind, own in PLANTED.items() for i, form in enumerate(own)))
+    listed = [(kind, i, form, cues) for kind, forms in PLANTED.items() for i, (form, cues) in enumerate((f, CUES[kind]) for f in forms)]
+    listed += [("", i, form, "bare") for i, form in enumerate(DECOYS)] + [("", len(DECOYS) + i, form, "marked") for i, form in enumerate(UNCLEAR)]
+    forms = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("form"), F.lit(form).alias("format"), F.lit(cues).alias("cues")) for kind, i, form, cues in listed))
     rows = around.select("*", F.explode(forms).alias("f")).select("h", "left", "right", "f.*")
     seed = F.xxhash64("h", "kind", "form")
-    digits = F.translate(F.sha2(seed.cast("string").cast("binary"), 512), "abcdef", "012345")
-    rows = rows.withColumns({"seed": seed, "digits": digits})
-    drawn = lambda c, i: F.when(c == "#", F.substring("digits", i + 1, F.lit(1))).when(c == "?", F.translate(F.substring("digits", i + 1, F.lit(1)), "0123456789", "aeinorstlm")).when(c == "%", (F.substring("digits", 2 * i + 1, F.lit(3)).cast("int") % 256).cast("string")).otherwise(c)
+    rows = rows.withColumn("seed", seed).withColumn("digits", F.translate(F.sha2(F.col("seed").cast("string").cast("binary"), 512), "abcdef", "012345"))
+    draw = lambda words, salt: F.get(F.split(words, " "), F.pmod(F.xxhash64("seed", F.lit(salt)), F.size(F.split(words, " "))).cast("int"))
+    way = F.pmod(F.xxhash64("seed", F.lit(1)), F.lit(6))
+    joint = F.get(F.array(*map(F.lit, [" ", ": ", " is ", " number ", " - ", " "])), F.pmod(F.xxhash64("seed", F.lit(2)), F.lit(6)).cast("int"))
+    against = F.concat(draw(F.lit(AGAINST), 3), F.get(F.array(*map(F.lit, [" ", ": ", ". "])), F.pmod(F.xxhash64("seed", F.lit(4)), F.lit(3)).cast("int")))
+    decoy = F.col("kind") == ""
+    lead = F.when(~decoy & (way < 3), F.concat(draw(F.col("cues"), 5), joint)).when(decoy & (way > 3), against).when(decoy & (F.col("cues") == "marked") & (way > 1), against).otherwise("")
+    unit = F.when(decoy & (way <= 3) & ((way > 1) | (F.col("cues") == "marked")) & (lead == ""), F.concat(F.lit(" "), draw(F.lit(UNITS), 6))).otherwise("")
+    drawn = lambda c, i: (
+        F.when(c == "#", F.substring("digits", i + 1, F.lit(1))).when(c == "$", F.translate(F.substring("digits", i + 1, F.lit(1)), "01", "73")).when(c == "?", F.translate(F.substring("digits", i + 1, F.lit(1)), "0123456789", "aeinorstlm")).when(c == "%", (F.substring("digits", 2 * i + 1, F.lit(3)).cast("int") % 256).cast("string")).otherwise(c)
+    )
     span = F.array_join(F.transform(F.split("format", ""), drawn), "")
     gap = lambda c: F.when(c == "", "").otherwise(" ")
-    rows = rows.withColumns({"span": span, "head": F.concat("left", gap(F.col("left")), "lead")})
+    rows = rows.withColumns({"span": span, "head": F.concat("left", gap(F.col("left")), lead), "unit": unit})
     rows = rows.withColumns({"start": F.length("head"), "end": F.length("head") + F.length("span")})
-    return rows.select(F.struct("h", "seed", "kind", "form", "start", "end").alias("id"), F.concat("head", "span", gap(F.col("right")), "right").alias("text"))
+    return rows.select(F.struct("h", "seed", "kind", "form", "start", "end").alias("id"), F.concat("head", "span", "unit", gap(F.col("right")), "right").alias("text"))
 
 
-def labelled(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def labelled(docs: DataFrame, text_col: str = "text", fold: int | None = None, folds: int = 5) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): the planted rows with kind, and their loose candidates that overlap the planted span, with label y.
 
-    A quarter of the rows is `held` back for calibration, an eighth as a `test` that neither fits nor calibrates."""
+    A quarter of the rows is `held` back for calibration. With a fold, all rows of every fifth form are
+    a `test` that neither fits nor calibrates: forms that the trees have never seen."""
     rows, spans = candidates(planted(docs, text_col), "id", "text")
-    rows = rows.select("row_id", F.col("id.kind").alias("truth"), F.col("id.start").alias("from"), F.col("id.end").alias("to"), (F.pmod("id.seed", F.lit(8)) < 2).alias("held"), (F.pmod("id.seed", F.lit(8)) == 2).alias("test"))
+    test = F.lit(False) if fold is None else F.pmod("id.form", F.lit(folds)) == fold
+    rows = rows.select("row_id", F.col("id.kind").alias("truth"), F.col("id.start").alias("from"), F.col("id.end").alias("to"), (F.pmod("id.seed", F.lit(8)) < 2).alias("held"), test.alias("test"))
     over = spans.where("generator = 'loose'").join(rows, "row_id").where("start < to and end > from")
     return rows, over.withColumn("y", (F.col("kind") == F.col("truth")).cast("int"))
 

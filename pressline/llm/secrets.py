@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressline.llm.words import arrow_map, raw, texts_of
+from pressline.llm.words import arrow_map, raw, sampled_texts, texts_of
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -107,12 +107,8 @@ def trained(words: list[str]) -> tuple[np.ndarray, float]:
 
 
 def ordinary_words(docs: DataFrame, text_col: str = "text", most: int = SAMPLE_DOCS) -> list[str]:
-    """Distinct lower-case words of the `most` documents of smallest text hash, sorted."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.select(text.alias("t")).withColumn("h", F.xxhash64("t", F.lit(3)))
-    # a hash bound that some twice `most` rows meet, so no partition offers more than a few rows to the sort
-    share = min(1.0, 2 * most / max(1, docs.count()))
-    sample = hashed.where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**12))).orderBy("h").limit(most)
+    """Distinct lower-case words of the `most` distinct texts of smallest hash, sorted."""
+    sample = sampled_texts(docs, most, 3, text_col)
     words = sample.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit("[a-z]{3,}"), 0))).alias("w"))
     return sorted(r.w for r in words.distinct().orderBy(F.xxhash64("w"), "w").limit(SAMPLES).collect())
 

@@ -5,7 +5,7 @@ to 2**BITS. Training follows per-coordinate FTRL-proximal (McMahan et al. 2013):
 each weight has its own learning rate, and L1 keeps most weights at exactly 0.
 The weights that are left go to the executors in the closure; their number is
 bounded by 2**BITS (4 MB). Training reads at most MAX_TRAIN labelled rows, those
-of smallest id hash; scoring reads every whole text, in one narrow pass.
+of smallest id hash, and MAX_TRAIN_BYTES of them; scoring reads every whole text, in one narrow pass.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from pressline.llm.words import arrow_map, mixed, raw, texts_of, word_hashes
 BITS = 20
 #: Most labelled rows that training reads (a documented sample; all of them where there are fewer).
 MAX_TRAIN = 10_000
+#: Bytes of text that are learned from at most.
+MAX_TRAIN_BYTES = 64_000_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
 #: Bias of a model that saw no label: nothing is known against any text.
@@ -81,10 +84,12 @@ def train(rows: DataFrame):
     """Model (indices, weights, bias) from rows of (order, text bytes, label); one task over a bounded sample."""
 
     def fit(batches):
-        data = []
+        data, size = [], 0
         for batch in batches:
-            labels = batch.column(1).to_pylist()
-            for first, n, doc, index in distinct_features(texts_of(batch.column(0))):
+            labels, upto = batch.column(1).to_pylist(), size + np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False), dtype=np.int64)
+            few = int(np.searchsorted(upto, MAX_TRAIN_BYTES, "right"))
+            size = int(upto[-1]) if len(upto) else size
+            for first, n, doc, index in distinct_features(texts_of(batch.column(0)[:few])):
                 ends = np.searchsorted(doc, np.arange(n + 1))
                 data += [(index[ends[i] : ends[i + 1]].astype(np.int32), float(labels[first + i])) for i in range(n)]
         model = Ftrl()
@@ -103,14 +108,16 @@ def train(rows: DataFrame):
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
     """The labelled rows to learn from: crc32(id) mod 5 is not 0, smallest id hash first, `most` at most.
 
-    An id labelled twice counts as toxic if one of its labels is 1.
+    An id labelled twice counts as toxic if one of its labels is 1; of several texts of one id the
+    least is learned from. train() stops where the texts exceed MAX_TRAIN_BYTES.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("label"))
     known = known.where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
     known = known.withColumn("order", F.xxhash64("id", F.lit(7))).orderBy("order", "id").limit(most)
     texts = docs.select(F.col("doc_id").alias("id"), raw("text").alias("data"))
     # `most` rows of 20 bytes: a proven bound for the broadcast
-    return texts.join(F.broadcast(known), "id").select("order", "data", "label")
+    rows = texts.join(F.broadcast(known), "id")
+    return rows.groupBy("id", "order", "label").agg(F.min("data").alias("data")).select("order", "data", "label")
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -60,6 +60,16 @@ def raw(text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit("")).cast("binary")
 
 
+def sampled_texts(docs: DataFrame, most: int, seed: int, text_col: str = "text") -> DataFrame:
+    """(t, h): about `most` distinct texts, those of smallest hash h; null counts as empty.
+
+    How often a text occurs changes nothing: distinct hashes are counted by a sketch, and a hash
+    bound that some twice `most` distinct texts meet keeps the sort small in every partition."""
+    hashed = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t", F.lit(seed)))
+    share = min(1.0, 2 * most / max(1, hashed.agg(F.approx_count_distinct("h", 0.02)).first()[0]))
+    return hashed.where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**12))).distinct().orderBy("h", "t").limit(most)
+
+
 def texts_of(column: pa.Array):
     """Bytes of each value without a Python list of them all."""
     for value in column:

@@ -58,15 +58,22 @@ def qgram_hashes(data: np.ndarray) -> np.ndarray:
 _WORD = np.array([chr(c).isalnum() and c < 128 or c == 95 or c >= 128 for c in range(256)])
 
 
+#: Stands for a null id among the ids of short items.
+NO_ID = -(1 << 63)
+#: What an item takes besides its bytes, on the driver and in what is sent.
+ITEM_BYTES = 48
+
+
 class Index:
     """Every Q-th q-gram of some items, sorted, with the place where it occurs; items under Q bytes as they are."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
         """items: (id, normalised text), none empty"""
-        self.short: dict[int, dict[bytes, int]] = {}
-        for i, t in items:
-            if len(t) < Q:
-                self.short.setdefault(len(t), {})[t] = i
+        # items under Q bytes by length: sorted, with their ids
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in {len(t) for _, t in items if len(t) < Q}:
+            own = sorted((t, NO_ID if i is None else i) for i, t in items if len(t) == n)
+            self.short[n] = np.array([t for t, _ in own], f"S{n}"), np.array([i for _, i in own], np.int64)
         items = [(i, t) for i, t in items if len(t) >= Q]
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
@@ -87,7 +94,7 @@ class Index:
 
     def nbytes(self) -> int:
         """Of the arrays and texts that are sent."""
-        return sum(a.nbytes for a in (self.grams, self.item, self.offset, self.length, self.edits, self.bound, self.width, self.bloom)) + sum(map(len, self.texts))
+        return sum(a.nbytes for a in (self.grams, self.item, self.offset, self.length, self.edits, self.bound, self.width, self.bloom, *(a for pair in self.short.values() for a in pair))) + sum(map(len, self.texts))
 
     def hits(self, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(position, item, offset) of every shared q-gram, some HITS at a time."""
@@ -141,10 +148,17 @@ class Index:
         word = _WORD[np.frombuffer(text, np.uint8)]
         inside = word[1:] & word[:-1]
         begins, ends = np.append(True, ~inside), np.append(~inside, True)
-        for n, items in self.short.items():
-            for at in np.flatnonzero(begins[: len(text) - n + 1] & ends[n - 1 :]).tolist() if n <= len(text) else ():
-                if (i := items.get(text[at : at + n], self)) is not self:
-                    yield i, at, at + n
+        for n, (items, ids) in self.short.items():
+            if n > len(text):
+                continue
+            every = np.flatnonzero(begins[: len(text) - n + 1] & ends[n - 1 :])
+            windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), n)
+            for k in range(0, len(every), PIECE):
+                places = every[k : k + PIECE]
+                words = np.ascontiguousarray(windows[places]).view(f"S{n}").ravel()
+                at = np.minimum(np.searchsorted(items, words), len(items) - 1)
+                for i, start in zip(ids[at[hit := items[at] == words]].tolist(), places[hit].tolist(), strict=True):
+                    yield None if i == NO_ID else i, start, start + n
 
     def search(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits) of every region of each item in the normalised text.
@@ -229,10 +243,10 @@ def align(item: bytes, text: bytes, low: int, high: int, most: int):
 
 
 def _parts(benchmark: DataFrame, id_col: str, text_col: str, least: int = 1) -> Iterator:
-    """Broadcast Index of each part of at most about PART_BYTES; duplicates of a text once, smallest id."""
+    """Broadcast Index of each part of at most about PART_BYTES, ITEM_BYTES an item included; duplicates of a text once, smallest id."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), raw(text_col).alias("data")).groupBy("data").agg(F.min("item_id").alias("item_id"))
-    total = items.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    total = items.agg(F.sum(F.octet_length("data") + ITEM_BYTES)).first()[0] or 0
     n = max(1, math.ceil(total / PART_BYTES))
     for part in range(n):
         # one part at a time is on the driver

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pressline.llm import decontaminate, exact_dedup, jaccard_join, mixing, toxicity
-from pressline.session import release, stored, visible
+from pressline.session import discard_paths, noting, release, stored, visible
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,10 +74,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(visible(spark), sf_dir, "documents")
+    docs, behind = _table(visible(spark), sf_dir, "documents"), []
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, name)
-            release(spark)
+        with noting() as made:
+            docs = stage(spark, docs, sf_dir)
+            if i + 1 < len(STAGES):
+                docs = stored(docs, name)
+                # what the stage wrote on its way, and its predecessor, nothing reads any more
+                discard_paths(spark, [*behind, *(path for path in made if path != docs._stored_at)])
+                behind = [docs._stored_at]
+                release(spark)
     return docs

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no spark.checkpoint.dir (tests, laptops).
 LOCAL_SCRATCH = "file:///tmp/checkpoints"
-ARROW_BATCH, ARROW_DEFAULT, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "512"
+#: Texts are long: an Arrow batch holds so many bytes, not a number of rows.
+ARROW_BYTES, ARROW_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share, from spark.checkpoint.dir."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return (shared or LOCAL_SCRATCH).rstrip("/")
 
@@ -81,12 +83,13 @@ def release(spark: SparkSession) -> None:
 
 
 def lean(spark: SparkSession) -> SparkSession:
-    """Arrow batches of ARROW_ROWS rows where the session has Spark's default.
+    """Arrow batches of ARROW_BATCH_BYTES unless the session has a bound of its own.
 
-    10 000 whole texts are tens of MB in the JVM, and again in each Python worker.
+    Spark's default of 64 MB is held in the JVM, and again in each Python worker. The bound on rows is
+    left alone.
     """
-    if spark.conf.get(ARROW_BATCH) == ARROW_DEFAULT:
-        spark.conf.set(ARROW_BATCH, ARROW_ROWS)
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, ARROW_BATCH_BYTES)
     return spark
 
 

@@ -31,6 +31,17 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
    from blocks cross join ks where k < (i+doc_id)%7)""",
     ),
     "emb": (["ln"], "emb as (select doc_id, line_no, 'embedded reading of '||text as text, x0+4 as x0, y0+3 as y0, x1+4 as x1, y1+3 as y1 from ln where line_no%5<>0)"),
+    # the same with lines that the rules reject, long ones, and some that lie apart in pairs
+    "read2": (
+        ["ln"],
+        """read2 as (select doc_id, line_no, case when line_no%10=4 then repeat('same words here ', 6) when line_no%17=9 then '##%%' else text end as text, confidence, x0, y0 + case when line_no%7=2 then 3000+line_no%3 else 0 end as y0,
+   x1 + case when line_no%19=3 then 900 else 0 end as x1, y1 + case when line_no%7=2 then 3000+line_no%3 else 0 end as y1 from ln)""",
+    ),
+    "emb2": (
+        ["emb"],
+        """emb2 as (select doc_id, line_no, case when line_no%11=3 then '. . 7 .' when line_no%11=7 then repeat('the same words again ', 5) when line_no%23=6 then '&&&&&&&& of it' else text end as text,
+   x0 + case when line_no%13=6 then 4000 else 0 end as x0, y0, x1 + case when line_no%13=6 then 4000 when line_no%29=11 then 300 else 0 end as x1, y1 + case when line_no%31=4 then 90 else 0 end as y1 from emb)""",
+    ),
     "breaks": (
         [],
         """breaks as (select doc_id, n, case n when 0 then substr(text,1,20)||'-' when 1 then lower(substr(text,21,20)) when 2 then case when doc_id%2=0 then '   ' else '|' end when 3 then lower(substr(text,41,15))||'.' else 'X'||substr(text,56) end as line

@@ -188,6 +188,40 @@ _TOP = "lower(header_text)"
 _MONTH = "list_position([" + ", ".join(map(q, STEMS)) + "], {})"
 
 
+_GARBAGE = f"(length(s) < 4 or {share('s', chr(92) + 'p{L}')} < 0.25 or not regexp_matches(s, '[A-Za-z]{{3,}}') or length({_SPECIAL}) > 0.3 * length(s) or {_RS})"
+
+
+def _fused_sql(lines: str, slots: str) -> str:
+    """Fusion line by line: two recursions walk the lines of a page and carry what earlier ones took."""
+    judged = lambda name, table: f"{name} as (select * exclude (s, most), {_GARBAGE} as garbage, {_RS} as repeats from (select *, {_MOSTS} most from (select *, {_S.replace('line', 'text')} s from {table}) {name}_s) {name}_m)"
+    raw = lambda name, table: f"{name} as (select * exclude (s, most), {_RS} as repeats from (select *, {_MOSTS} most from (select *, text s from {table}) {name}_s) {name}_m)"
+    region = lambda name, table: f"{name} as (select t.doc_id, any_value(med) med, min(t.x0) filter (med > 0 and t.x1 - t.x0 > 0.5 * med) - 40 lo, max(t.x1) filter (med > 0 and t.x1 - t.x0 > 0.5 * med) + 40 hi from {table} t join (select doc_id, list_sort(list(x1 - x0))[count(*) // 2 + 1] med from {table} group by doc_id) m using (doc_id) group by t.doc_id)"
+    return (
+        ctes("duckdb", lines, slots).replace("with ", "with recursive ", 1)
+        + f""",
+{raw('oq', lines)}, {judged('og', f'(select * exclude (repeats) from oq where confidence >= 0.35 and not repeats)')}, {judged('eg', slots)}, {region('er', slots)},
+ec as (select eg.* from eg join er using (doc_id) where not garbage and (x0 + x1) / 2 between lo and hi),
+pg as (select doc_id, greatest(1.5 * list_sort(list(y1 - y0))[count(*) // 2 + 1], 30.0) cap from ec group by doc_id having count(*) >= 10), {region('r2', 'ec')},
+sl as (select ec.*, cap, row_number() over (partition by doc_id order by y0, x0, line_no) sn from ec join pg using (doc_id)),
+rd as (select og.*, row_number() over (partition by doc_id order by line_no) rn from og join pg using (doc_id)),
+cd as (select o.doc_id, o.rn, list(e.sn order by (o.x1 - o.x0) / greatest(e.x1 - e.x0, 1.0), e.sn) cl from rd o join sl e on o.doc_id = e.doc_id and abs((o.y0+o.y1)/2 - (e.y0+e.y1)/2) <= 0.6*greatest(least(e.y1-e.y0, cap), 20.0) and abs((o.x0+o.x1)/2 - (e.x0+e.x1)/2) <= 0.5*greatest(e.x1-e.x0, 30.0) and o.x1-o.x0 <= 1.5*greatest(e.x1-e.x0, 30.0) group by o.doc_id, o.rn),
+wk(doc_id, k, used, own) as (select doc_id, 0::bigint, []::bigint[], []::bigint[] from pg union all
+ select doc_id, k + 1, case when pick is null then used else list_append(used, pick) end, list_append(own, pick)
+ from (select w.*, list_filter(coalesce(cl, []), lambda c: not list_contains(used, c))[1] pick from wk w join rd on rd.doc_id = w.doc_id and rd.rn = w.k + 1 left join cd on cd.doc_id = w.doc_id and cd.rn = w.k + 1) z),
+ow as (select doc_id, unnest(range(1, len(own) + 1)) rn, unnest(own) sn from (select doc_id, arg_max(own, k) own from wk group by doc_id) z),
+lo as (select rd.*, row_number() over (partition by doc_id order by rn) n from rd join r2 using (doc_id) where x1 - x0 <= 1.5 * med and (lo is null or (x0 + x1) / 2 between lo and hi) and not garbage
+ and not exists (select 1 from sl where sl.doc_id = rd.doc_id and least(sl.x1, rd.x1) > greatest(sl.x0, rd.x0) and least(sl.y1, rd.y1) > greatest(sl.y0, rd.y0))),
+mt as (select b.doc_id, b.n, list(a.n) es from lo a join lo b on a.doc_id = b.doc_id and a.n < b.n and least(a.x1, b.x1) > greatest(a.x0, b.x0) and least(a.y1, b.y1) > greatest(a.y0, b.y0) group by b.doc_id, b.n),
+kp(doc_id, k, kept) as (select distinct doc_id, 0::bigint, []::bigint[] from lo union all
+ select p.doc_id, k + 1, case when list_has_any(coalesce(es, []), kept) then kept else list_append(kept, k + 1) end from kp p join lo on lo.doc_id = p.doc_id and lo.n = p.k + 1 left join mt on mt.doc_id = p.doc_id and mt.n = p.k + 1),
+kz as (select doc_id, unnest(kept) n from (select doc_id, arg_max(kept, k) kept from kp group by doc_id) z),
+fu as (select sl.doc_id, coalesce(rd.text, sl.text) text, case when ow.rn is null then 'embedded' else 'surya' end source, sl.x0, sl.y0, sl.x1, sl.y1, 0 late, sl.sn nth from sl left join ow on ow.doc_id = sl.doc_id and ow.sn = sl.sn left join rd on rd.doc_id = sl.doc_id and rd.rn = ow.rn
+ union all select doc_id, text, 'surya', x0, y0, x1, y1, 1, rn from lo join kz using (doc_id, n)
+ union all select doc_id, text, 'surya', x0, y0, x1, y1, 2, line_no from og where doc_id not in (select doc_id from pg))
+select doc_id::varchar as issue_id, (row_number() over (partition by doc_id order by case when late < 2 then y0 end, case when late < 2 then x0 end, late, nth) - 1)::int as line_no, text, source, x0, y0, x1, y1 from fu"""
+    )
+
+
 def _volume(group: int) -> str:
     return "case " + " ".join(f"when regexp_matches(header_text, {q(p)}) then regexp_extract(header_text, {q(p)}, {(v, i)[group]})" for p, v, i in VOLUME) + " end"
 
@@ -264,6 +298,8 @@ select doc_id, row_number() over (partition by doc_id order by reading_order, y0
     + ", m as (select doc_id, list_sort(list(x1 - x0))[count(*) // 2 + 1] med from blocks group by doc_id) select b.doc_id, any_value(med) as med, min(b.x0) filter (x1 - x0 > 0.5 * med and med > 0) - 40 as region_left, max(b.x1) filter (x1 - x0 > 0.5 * med and med > 0) + 40 as region_right from blocks b join m using (doc_id) group by b.doc_id",
     "slot_candidates": ctes("duckdb", "emb")
     + " select o.doc_id, o.line_no as o_line_no, e.line_no as e_line_no, round((o.x1 - o.x0) / greatest(e.x1 - e.x0, 1.0), 6) as width_ratio from ln o join emb e on o.doc_id = e.doc_id and abs((o.y0+o.y1)/2 - (e.y0+e.y1)/2) <= 0.6*greatest(least(e.y1-e.y0, 60.0), 20.0) and abs((o.x0+o.x1)/2 - (e.x0+e.x1)/2) <= 0.5*greatest(e.x1-e.x0, 30.0) and o.x1-o.x0 <= 1.5*greatest(e.x1-e.x0, 30.0)",
+    "fuse_lines": _fused_sql("ln", "emb"),
+    "fuse_noisy_lines": _fused_sql("read2", "emb2"),
     "article_text_sources": SEG.replace(ctes("duckdb", "blocks"), ctes("duckdb", "blocks", "emb"))
     + ", h as (select distinct s.doc_id, s.article_seq, e.y0, e.x0, e.line_no, e.text from s join emb e on e.doc_id = s.doc_id and (e.x0+e.x1)/2 between s.x0-10 and s.x1+10 and (e.y0+e.y1)/2 between s.y0-10 and s.y1+10) select doc_id::varchar as issue_id, printf('p1a%03d', article_seq) as article_id, string_agg(text, chr(10) order by y0, x0, line_no) as secondary from h group by doc_id, article_seq",
     "dateline": _dateline_sql(),

@@ -131,12 +131,20 @@ def slot_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("doc_id", "o_line_no", "e_line_no", F.round("width_ratio", 6).alias("width_ratio"))
 
 
+def _fused(ocr: DataFrame, embedded: DataFrame) -> DataFrame:
+    page = lambda df: df.select(F.col("doc_id").cast("string").alias("issue_id"), F.lit(1).alias("page_number"), *[c for c in df.columns if c != "doc_id"])
+    return fusion.fuse_lines(page(ocr), page(embedded).withColumn("confidence", text.alpha_proxy(F.col("text")))).select("issue_id", "line_no", "text", "source", *S.SIDES)
+
+
 @query
 def fuse_lines(spark: SparkSession, sf: str) -> DataFrame:
-    page = lambda df: df.select(F.col("doc_id").cast("string").alias("issue_id"), F.lit(1).alias("page_number"), *[c for c in df.columns if c != "doc_id"])
-    ocr = page(_lines(spark, sf).drop("source"))
-    emb = page(fixture(spark, sf, "emb")).withColumn("confidence", text.alpha_proxy(F.col("text")))
-    return fusion.fuse_lines(ocr, emb).select("issue_id", "line_no", "text", "source", *S.SIDES)
+    return _fused(_lines(spark, sf).drop("source"), fixture(spark, sf, "emb"))
+
+
+@query
+def fuse_noisy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Fusion of lines of which the rules reject some, with long, loose and meeting ones."""
+    return _fused(fixture(spark, sf, "read2").withColumn("words", F.lit(None).cast(f"array<{S.WORD}>")), fixture(spark, sf, "emb2"))
 
 
 @query

@@ -83,6 +83,39 @@ FIXTURES: dict[str, tuple[list[str], str]] = {
  '19'||cast(50+doc_id%40 as varchar(4))||'-0'||cast(1+doc_id%9 as varchar(1))||case when doc_id%6=0 then '' else '-15' end as date,
  4 + doc_id%5 as page_count, 40 + doc_id%11 as block_count, 10 + doc_id%7 as article_count, cast(doc_id%8 as double)/8 as coverage_min_ratio, cast(null as varchar(9)) as place_source, 't'||cast(doc_id%3 as varchar(9)) as processed_at
  from (select doc_id, case when floor(doc_id/40)%3=0 then '0' else cast(cast(floor(doc_id/40) as bigint) as varchar(9)) end g from documents) x)""",
+    ),
+    # three pages an issue, on which each source of each field is there or not: file name, header, text layer, bands, inner pages, body
+    "flags": (
+        [],
+        """flags as (select doc_id, 'Coast_Daily_'||cast(doc_id as varchar(9))||case when doc_id%2=0 then '_19100615' else '' end as issue_id, doc_id%2=0 as f0,
+ floor(doc_id/2)%2=0 as f1, floor(doc_id/4)%2=0 as f2, floor(doc_id/8)%2=0 as f3, floor(doc_id/16)%2=0 as f4, floor(doc_id/32)%2=0 as f5, floor(doc_id/64)%2=0 as f6,
+ doc_id%3=0 as i1, doc_id%5<2 as i2, doc_id%7<3 as i3, doc_id%9<3 as v1, doc_id%10<4 as v2, doc_id%11<5 as v3, doc_id%13<6 as v4,
+ doc_id%17<5 as m1, doc_id%19<6 as m2, doc_id%37<12 as n1, doc_id%23<9 as m3, doc_id%25<8 as r3, doc_id%27<10 as m4, doc_id%29<12 as m5, doc_id%31<15 as t1 from documents)""",
+    ),
+    "fronts": (
+        ["flags"],
+        """fronts as (select issue_id, 1 as page_number, 10 as y, 'PageHeader' as label, 'THE MORNING HERALD AND NEWS' as text from flags where m1
+ union all select issue_id, 1, 30, 'PageHeader', '12 Main St. -- Lowell, MA 01850 -- * * * *' from flags where i1
+ union all select issue_id, 1, 50, 'PageHeader', 'BOSTON, Mass., Monday, Jan 2, 1911' from flags where f1
+ union all select issue_id, 1, 150, 'Text', 'Fish and Farm Journal' from flags where m3
+ union all select issue_id, 1, 200, 'Text', 'TORONTO, Ont., Wednesday, Apr 9, 1913' from flags where f3
+ union all select issue_id, 1, 230, 'Text', '9 Dock St. -- Salem, OR 97301 -- * * * *' from flags where i2
+ union all select issue_id, 1, 400, 'SectionHeader', 'Fish and Farm Journals' from flags where r3
+ union all select issue_id, 1, 450, 'SectionHeader', 'Council will meet again tonight' from flags where t1
+ union all select issue_id, 1, 600, 'Text', 'Read on may 5, 1931' from flags where f6
+ union all select issue_id, 1, 620, 'Text', 'VOL. 5 NO. 12' from flags where v3
+ union all select issue_id, 1, 640, 'Text', 'HARBOUR AND RIVER NEWS' from flags where m5
+ union all select issue_id, 1, 700, 'Text', 'Every first page says this' from flags
+ union all select issue_id, 2, 10, 'PageHeader', 'EASTERN GAZETTE WEEKLY' from flags where m2
+ union all select issue_id, 2, 30, 'PageHeader', 'VOL. 6 NO. 13' from flags where v4
+ union all select issue_id, 2, 50, 'PageHeader', 'MONTREAL, Que., Friday, Mar 6, 1914' from flags where f4
+ union all select issue_id, 3, 10, 'PageHeader', 'EASTERN GAZETTE WEEKLY' from flags where n1
+ union all select issue_id, 1, 40, 'Layer', 'HALIFAX, N.S., Wednesday, Feb 7, 1912' from flags where f2
+ union all select issue_id, 1, 60, 'Layer', '7 King St. -- Truro, NS B2N 5Y1 -- * * * *' from flags where i3
+ union all select issue_id, 1, 80, 'Layer', 'VOL. 3 NO. 10' from flags where v1
+ union all select issue_id, 1, 400, 'Layer', 'Printed on april 11, 1921' from flags where f5
+ union all select issue_id, 1, 420, 'Layer', 'VOL. 4 NO. 11' from flags where v2
+ union all select issue_id, 1, 440, 'Layer', 'ATLANTIC SHIPPING LIST' from flags where m4)""",
     ),
     "stories": (
         [],

@@ -272,7 +272,26 @@ VOTES = (
     + f", t as (select issue_id, {_TOKENS.format(collapse(rep('text_normalized', URL, ' ')).replace('{', '{{').replace('}', '}}')).replace('{{', '{').replace('}}', '}')} as phrase from heads6), votes as (select issue_id, phrase, count(*) as votes from t where phrase <> '' and lower(phrase) not in ({', '.join(map(q, ARCHIVAL + POSTAL))}) and not regexp_matches(phrase, {q(SECTION)}) group by issue_id, phrase)"
 )
 
+#: What each issue of the fixture must say, from its flags: for every field the first source that is there.
+FRONTS = (
+    ctes("duckdb", "fronts")
+    + f""", {REGION},
+g as (select *, (m2::int + n1::int) as votes, case when f1 then 'BOSTON' when f2 then 'HALIFAX' when f3 then 'TORONTO' when f4 then 'MONTREAL' end as dc, case when f1 then 'Mass.' when f2 then 'N.S.' when f3 then 'Ont.' when f4 then 'Que.' end as dp,
+ case when f1 then '1911-01-02' when f2 then '1912-02-07' when f3 then '1913-04-09' when f4 then '1914-03-06' end as dd, case when i1 then 'Lowell' when i2 then 'Salem' when i3 then 'Truro' end as ic, case when i1 then 'MA' when i2 then 'OR' when i3 then 'NS' end as ip from flags),
+h as (select *, coalesce(dc, ic) as city, coalesce(dp, ip) as province, case when f0 then '1910-06-15' when dd is not null then dd when f5 then '1921-04-11' when f6 then '1931-05-05' else 'unknown' end as date from g),
+n as (select *, case when votes = 2 then 'page_headers' when city = 'BOSTON' and m1 or city = 'MONTREAL' and votes = 1 or city is null and m1 then 'cross_issue' else 'fallback' end as source from h),
+c as (select issue_id, count(*) filter (label <> 'Layer') as block_count, length(coalesce(string_agg(text, ' ' order by y) filter (label <> 'Layer' and page_number = 1), '')) as a, length(coalesce(string_agg(text, chr(10) order by y) filter (label = 'Layer'), '')) as b from fronts group by issue_id)
+select issue_id, case when votes = 2 then 'Eastern Gazette Weekly' when source = 'cross_issue' and city = 'MONTREAL' then 'Eastern Gazete Weekly' when source = 'cross_issue' then 'The Morning Herald News' else 'Coast Daily ' || doc_id end as newspaper, source as newspaper_source,
+ date, case when f0 then 'filename' when dd is not null then 'dateline' else 'text' end as date_source, case when date <> 'unknown' then 'day' end as date_precision, strftime(try_strptime(date, '%Y-%m-%d'), '%A') as day_of_week,
+ case when m1 then 'THE MORNING HERALD AND NEWS' when votes > 0 then 'EASTERN GAZETTE WEEKLY' when m3 and not r3 then 'Fish and Farm Journal' when m4 then 'ATLANTIC SHIPPING LIST' when m5 then 'HARBOUR AND RIVER NEWS' else '' end as masthead,
+ case when v1 then '3' when v2 then '4' when v3 then '5' when v4 then '6' else '' end as volume, case when v1 then '10' when v2 then '11' when v3 then '12' when v4 then '13' else '' end as issue,
+ case when r3 then 'Fish and Farm Journals' when t1 then 'Council will meet again tonight' when f2 then 'HALIFAX, N.S., Wednesday, Feb 7, 1912' when i3 then '7 King St. -- Truro, NS B2N 5Y1 -- * * * *' when v1 then 'VOL. 3 NO. 10' when f5 then 'Printed on april 11, 1921' when v2 then 'VOL. 4 NO. 11' when m4 then 'ATLANTIC SHIPPING LIST' else '' end as title,
+ city, province, case when dd is not null then 'dateline' when ic is not null then 'imprint' end as place_source, country, 3::bigint as page_count, block_count, round(least(1.0, case when b > 0 then a::double / b else 1.0 end), 3) as coverage_min_ratio
+from n join c using (issue_id) left join rg on rkey = upper(regexp_replace(coalesce(province, ''), '[^A-Za-z]', '', 'g'))"""
+)
+
 ORACLE: dict[str, str] = {
+    "issue_fronts": FRONTS,
     "segment_articles": SEG + f" select doc_id, article_seq, article_id, title, text_normalized, len({words('text_normalized')})::int as word_count, n_blocks from a",
     "article_label_counts": SEG + " select doc_id, printf('p1a%03d', article_seq) as article_id, label, count(*)::int as n from s group by all",
     "article_bbox_and_order": SEG + " select doc_id, article_id, reading_order_start, reading_order_end, x0, y0, x1, y1 from a",

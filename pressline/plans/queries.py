@@ -362,6 +362,26 @@ def rebuild_documents(spark: SparkSession, sf: str) -> DataFrame:
     return done.issues.select("issue_id", "newspaper", "newspaper_source", "date", "masthead", "title", "block_count", "article_count", "coverage_min_ratio")
 
 
+@query
+def issue_fronts(spark: SparkSession, sf: str) -> DataFrame:
+    """The model-free plan with a text layer and an index: each field from the first of its sources."""
+    pieces, ids = fixture(spark, sf, "fronts"), fixture(spark, sf, "flags").select("issue_id", "doc_id")
+    sides = [F.lit(0.0).alias("x0"), F.col("y").cast("double").alias("y0"), F.lit(600.0).alias("x1"), (F.col("y") + 12).cast("double").alias("y1")]
+    read, layer = pieces.where("label <> 'Layer'"), pieces.where("label = 'Layer'")
+    lines = read.select("issue_id", "page_number", F.col("y").alias("line_no"), "text", F.lit(0.9).alias("confidence"), *sides, F.lit(None).cast(f"array<{S.WORD}>").alias("words"))
+    boxes = read.select("issue_id", "page_number", F.col("y").alias("box_no"), "label", F.col("y").alias("position"), F.lit(0.5).alias("confidence"), *sides, F.array().cast("array<array<double>>").alias("polygon"))
+    pages = ids.select("issue_id", F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("page_number"))
+    sizes = pages.select("*", F.lit(1000).alias("width"), F.lit(1000).alias("height"), F.lit("").alias("embedded_text"))
+    own = layer.groupBy("issue_id", "page_number").agg(F.array_sort(F.collect_list(F.struct("y", F.struct("text", *sides).alias("line")))).alias("own"))
+    held = F.coalesce(F.transform("own", lambda x: x["line"]), F.array().cast("array<struct<text:string,x0:double,y0:double,x1:double,y1:double>>"))
+    layers = pages.join(own, ["issue_id", "page_number"], "left").select("issue_id", "page_number", F.lit(1000.0).alias("pt_width"), F.lit(1000.0).alias("pt_height"), F.array_join(F.transform(held, lambda x: x["text"]), "\n").alias("text"), F.lit("").alias("image"), held.alias("lines"))
+    old = ids.where("doc_id % 50 = 0").select(F.concat(F.lit("old_"), "issue_id").alias("issue_id"), (F.col("doc_id") % 100 == 0).alias("first"))
+    either = lambda a, b, name: F.when(F.col("first"), a).otherwise(b).alias(name)
+    index = old.select("issue_id", either("The Morning Herald News", "Eastern Gazete Weekly", "newspaper"), F.lit("page_headers").alias("newspaper_source"), either("Boston", "Montreal", "city"), either("Mass.", "Que.", "province"), F.lit(None).cast("string").alias("masthead"))
+    done = rebuild(lines, boxes, sizes, layers, index)
+    return done.issues.select("issue_id", "newspaper", "newspaper_source", "date", "date_source", "date_precision", "day_of_week", "masthead", "volume", "issue", "title", "city", "province", "place_source", "country", "page_count", "block_count", "coverage_min_ratio")
+
+
 @query
 def components(spark: SparkSession, sf: str) -> DataFrame:
     members, links = identity.masthead_space(fixture(spark, sf, "issues"))

@@ -1,9 +1,9 @@
 """Incremental runs on Structured Streaming.
 
 Layout files arrive in a folder; a checkpoint remembers which were read, so a restart
-goes on where it stopped. Each micro-batch is a batch plan, and the index is
-re-read and rewritten whole: a late sibling can resolve an issue of any age, so no
-watermark applies and nothing expires.
+goes on where it stopped. Each micro-batch is a batch plan. The index is a table in hash
+buckets (index_table): a batch rewrites those it touches. A late sibling can resolve an issue
+of any age, so no watermark applies and no issue expires.
 """
 
 from __future__ import annotations
@@ -14,10 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pressline.session import stored
-from pressline.sources import readers
 from pressline.sources import schemas as S
-from pressline.sources.writers import upsert_index
+from pressline.streaming.index_table import BUCKETS, IndexTable, first_version
 
 
 def layout_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -27,45 +25,25 @@ def layout_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
     return raw.select(F.regexp_extract(at, r"([^/]+)/pages/page_(\d+)/", 1).alias("issue_id"), F.regexp_extract(at, r"/page_(\d+)/", 1).cast("int").alias("page_number"), "ocr", "layout")
 
 
-def upsert_stream(records: DataFrame, index_path: str, checkpoint: str, reconcile: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def upsert_stream(records: DataFrame, index_path: str, checkpoint: str, reconcile: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """K6. Upsert a stream of index records into the index table at index_path.
 
     Every batch writes a version of the table, numbered by batch, so a batch that is run
-    again after a failure starts from the same version and gives the same result. A new
-    checkpoint over an old index goes on from its newest version; which that was is kept
-    beside the checkpoint. A version that should be there and is not fails the query (Q22)."""
-    first = _first_version(records.sparkSession, index_path, checkpoint)
+    again after a failure starts from the same version and gives the same result; it rewrites
+    only the buckets it touches. A new checkpoint over an old index goes on from its newest
+    version; which that was is kept beside the checkpoint. A version that should be there and is
+    not fails the query (Q22)."""
+    first = first_version(IndexTable(records.sparkSession, index_path, buckets), checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark, version = batch.sparkSession, first + batch_id
-        index = spark.read.schema(S.ISSUE_INDEX).parquet(f"{index_path}/v{version - 1}") if version else spark.createDataFrame([], S.ISSUE_INDEX)
-        merged = upsert_index(index, stored(batch, "batch"))
-        if reconcile is not None:
-            merged = reconcile(merged)
-        merged.write.mode("overwrite").parquet(f"{index_path}/v{version}")
+        IndexTable(batch.sparkSession, index_path, buckets).upsert(batch, first + batch_id, reconcile)
 
     return records.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _versions(spark: SparkSession, index_path: str) -> list[int]:
-    """Numbers of the versions that are complete."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{index_path}/v*")
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
-    return [int(f.getPath().getName()[1:]) for f in found if readers._exists(spark, f"{index_path}/{f.getPath().getName()}/_SUCCESS")]
-
-
-def _first_version(spark: SparkSession, index_path: str, checkpoint: str) -> int:
-    """Version of the checkpoint's batch 0: after the newest there was when the checkpoint was first used."""
-    kept = f"{checkpoint.rstrip('/')}-first-version"
-    if not readers._exists(spark, f"{kept}/_SUCCESS"):
-        spark.range(1).select(F.lit(max(_versions(spark, index_path), default=-1) + 1).cast("long").alias("first")).write.mode("overwrite").parquet(kept)
-    return spark.read.schema("first long").parquet(kept).first().first
-
-
 def latest_index(spark: SparkSession, index_path: str) -> DataFrame:
     """The newest version that upsert_stream wrote; empty before the first."""
-    versions = _versions(spark, index_path)
-    return spark.read.schema(S.ISSUE_INDEX).parquet(f"{index_path}/v{max(versions)}") if versions else spark.createDataFrame([], S.ISSUE_INDEX)
+    return IndexTable(spark, index_path).read()
 
 
 def uncorrected_stream(articles: DataFrame, corrections: DataFrame, min_words: int = 15) -> DataFrame:

@@ -13,6 +13,7 @@ from pressline.operators import corpus, correct, fusion, identity, reports
 from pressline.operators.names import alike_words, matching_names, word_candidates
 from pressline.sources import providers, readers, writers
 from pressline.sources import schemas as S
+from pressline.streaming.index_table import IndexTable
 
 WORDS = f"array<{S.WORD}>"
 
@@ -469,6 +470,45 @@ def test_streaming_upsert(spark, tmp_path):
     assert {(r.issue_id, r.newspaper) for r in latest_index(spark, index).collect()} == {("1", "A"), ("2", "C"), ("3", "D"), ("4", "E")}
 
 
+def index_rows(spark, rows):
+    names = [c.split(" ")[0] for c in S.ISSUE_INDEX.split(", ")]
+    return spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], S.ISSUE_INDEX)
+
+
+def test_index_table_rewrites_touched_buckets_only(spark, tmp_path):
+    names = [c.split(" ") for c in S.ISSUE_INDEX.split(", ")]
+    table = IndexTable(spark, f"file://{tmp_path}/index", buckets=64, keep=2)
+    many = spark.range(200_000).select(*(F.col("id").cast("string").alias(c) if c == "issue_id" else F.lit(None).cast(t).alias(c) for c, t in names))
+    assert len(table.upsert(many, 0)) == 64
+    new = index_rows(spark, [{"issue_id": str(199_995 + i), "newspaper": "New", "processed_at": "t"} for i in range(10)])
+    for _ in range(2):  # the second time stands for a batch that is run again
+        touched = IndexTable(spark, f"file://{tmp_path}/index").upsert(new, 1)
+        assert 0 < len(touched) <= 10 and {int(p.name[7:]) for p in (tmp_path / "index/data/v1").glob("bucket=*")} == touched
+        rows = table.read()
+        assert rows.count() == 200_005 and rows.where("newspaper = 'New'").count() == 10 and table.buckets == IndexTable(spark, f"file://{tmp_path}/index").buckets == 64
+    assert table.read(0).count() == 200_000  # the version before stays
+    for version in (2, 3):
+        table.upsert(new.withColumn("newspaper", F.lit(f"New {version}")), version)
+    assert sorted(table.versions()) == [2, 3]
+    held = {(int(p.name[7:]), p.parent.name) for p in (tmp_path / "index/data").glob("v*/bucket=*")}
+    assert held == {(b, f"v{v}") for n in (2, 3) for b, v in table.manifest(n).items()}
+    assert table.read().where("newspaper = 'New 3'").count() == 10 and table.read().count() == 200_005
+
+
+def test_index_table_with_reconcile_and_empty_batches(spark, tmp_path):
+    table = IndexTable(spark, f"file://{tmp_path}/index", buckets=32)
+    table.upsert(index_rows(spark, []), 0)
+    assert table.read().count() == 0 and IndexTable(spark, f"file://{tmp_path}/index").buckets == 32
+    rows = [{"issue_id": str(i), "newspaper": f"Paper {i % 3}", "newspaper_source": "page_headers", "processed_at": "t"} for i in range(30)]
+    table.upsert(index_rows(spark, rows), 1)
+    fill = lambda df: df.withColumn("city", F.when(F.col("newspaper") == "Paper 1", F.lit("Truro")).otherwise(F.col("city")))
+    touched = table.upsert(index_rows(spark, [{"issue_id": "99", "newspaper": "Paper 2", "processed_at": "t"}]), 2, fill)
+    got = {r.issue_id: r.city for r in table.read().collect()}
+    assert len(got) == 31 and all((c == "Truro") == (i != "99" and int(i) % 3 == 1) for i, c in got.items())
+    assert len(touched) <= 11
+    assert table.upsert(index_rows(spark, []), 3, fill) == set()  # nothing changes, nothing is written
+
+
 def misread(r: random.Random, word: str) -> str:
     """word with one letter changed, lost or added."""
     i, kind = r.randrange(len(word)), r.randrange(3)

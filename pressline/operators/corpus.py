@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pressline.functions.text import word_count
@@ -21,10 +21,16 @@ def _image() -> F.Column:
     return F.format_string("pages/page_%03d/page.png", "page_number")
 
 
-def article_rows(articles: DataFrame, issues: DataFrame, corrections: DataFrame | None = None, min_words: int = MIN_WORDS) -> DataFrame:
+def _long(rows: DataFrame, count: F.Column, min_words: int, counted: bool) -> DataFrame:
+    """F11. The rows with enough words; with `counted` all of them, and whether they are long in `__kept`."""
+    kept = F.coalesce(count, F.lit(0)) >= min_words
+    return rows.withColumn("__kept", kept) if counted else rows.where(kept)
+
+
+def article_rows(articles: DataFrame, issues: DataFrame, corrections: DataFrame | None = None, min_words: int = MIN_WORDS, counted: bool = False) -> DataFrame:
     """X30, J12, J13, F11. Corpus rows of articles; the word limit looks at the text before correction."""
     meta = issues.select("issue_id", *_META)
-    rows = articles.where(F.coalesce("word_count", F.lit(0)) >= min_words).join(meta, "issue_id")
+    rows = _long(articles, F.col("word_count"), min_words, counted).join(meta, "issue_id")
     if corrections is not None:
         fixed = corrections.select("issue_id", "article_id", "corrected_text").dropDuplicates(["issue_id", "article_id"])
         rows = rows.join(fixed, ["issue_id", "article_id"], "left").withColumn("corrected", F.when(F.col("corrected_text").isNotNull(), F.lit(True)))
@@ -33,17 +39,17 @@ def article_rows(articles: DataFrame, issues: DataFrame, corrections: DataFrame
         rows = rows.withColumn("corrected", F.lit(None).cast("boolean"))
     return rows.select(
         F.lit("article").alias("type"), "article_id", "issue_id", "newspaper", "newspaper_canonical", "city", "province", F.coalesce("country", F.lit("")).alias("country"), "date", "day_of_week", "date_precision", "page_number",
-        "title", "text_normalized", "word_count", "block_ids", "bbox", _image().alias("image"), F.lit("surya").alias("source"), "continues_in_article_id", "continues_from_article_id", "continued_on_page", "continued_from_page", "corrected",
+        "title", "text_normalized", "word_count", "block_ids", "bbox", _image().alias("image"), F.lit("surya").alias("source"), "continues_in_article_id", "continues_from_article_id", "continued_on_page", "continued_from_page", "corrected", *(["__kept"] if counted else []),
     )
 
 
-def block_rows(blocks: DataFrame, issues: DataFrame, article_issues: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def block_rows(blocks: DataFrame, issues: DataFrame, article_issues: DataFrame, min_words: int = MIN_WORDS, counted: bool = False) -> DataFrame:
     """X30, F11. Corpus rows of the blocks of issues that have no article file (Q20)."""
     meta = issues.select("issue_id", "newspaper_canonical", "city", "province", "country")
     rows = blocks.join(article_issues.select("issue_id"), "issue_id", "left_anti").join(meta, "issue_id").withColumn("word_count", word_count(F.coalesce("text_normalized", F.lit(""))))
-    return rows.where(F.col("word_count") >= min_words).select(
+    return _long(rows, F.col("word_count"), min_words, counted).select(
         F.lit("block").alias("type"), "block_id", "issue_id", "newspaper", "newspaper_canonical", "city", "province", F.coalesce("country", F.lit("")).alias("country"), F.col("issue_date").alias("date"), "page_number",
-        F.col("article_title").alias("title"), "label", "text_normalized", "word_count", "bbox", _image().alias("image"), F.coalesce("source", F.lit("surya")).alias("source"),
+        F.col("article_title").alias("title"), "label", "text_normalized", "word_count", "bbox", _image().alias("image"), F.coalesce("source", F.lit("surya")).alias("source"), *(["__kept"] if counted else []),
     )
 
 
@@ -56,6 +62,24 @@ def export_corpus(issues: DataFrame, articles: DataFrame, blocks: DataFrame, art
     return article_rows(articles, issues, corrections, min_words).unionByName(block_rows(blocks, issues, present, min_words), allowMissingColumns=True)
 
 
+def observed_corpus(issues: DataFrame, articles: DataFrame, blocks: DataFrame, article_issues: DataFrame | None = None, corrections: DataFrame | None = None, min_words: int = MIN_WORDS, names: DataFrame | None = None) -> tuple[DataFrame, Observation]:
+    """C5, A12, K8, K9. export_corpus' rows, and an observation that holds export_stats' counts once they are written.
+
+    What is too short, and a mark for each issue, goes through the same plan as far as the count and is
+    dropped behind it, so the manifest costs no second pass over the texts."""
+    known = with_canonical(issues, names)
+    present = articles.select("issue_id").distinct() if article_issues is None else article_issues.select("issue_id").distinct()
+    there = present.unionByName(blocks.select("issue_id")).distinct()
+    marks = issues.select("issue_id").distinct().join(there, "issue_id", "left_semi").select("issue_id", F.lit("issue").alias("type"), F.lit(False).alias("__kept"))
+    rows = article_rows(articles, known, corrections, min_words, True).unionByName(block_rows(blocks, known, present, min_words, True), allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
+    kept, kind, seen = F.col("__kept"), F.col("type"), Observation()
+    rows = rows.observe(
+        seen, F.count_if(kind == "issue").alias("issues"), F.count_if(kept & (kind == "article")).alias("articles"), F.count_if(kept & (kind == "block")).alias("blocks"),
+        F.coalesce(F.sum(F.when(kept, F.col("word_count"))), F.lit(0)).cast("long").alias("words"), F.count_if(~kept & (kind != "issue")).alias("skipped"), F.count_if(kept).alias("row_count"),
+    )
+    return rows.where(kept).drop("__kept"), seen
+
+
 def export_stats(issues: DataFrame, articles: DataFrame, blocks: DataFrame, article_issues: DataFrame | None = None, corrections: DataFrame | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """A12, K9. One row: issues, articles, blocks, words, skipped, row_count.
 

@@ -281,10 +281,11 @@ def reconcile(issues: DataFrame, clusters: DataFrame, regions: DataFrame | None
             return current
 
 
-def _reconcile_round(current: DataFrame, clusters: DataFrame, spaces: list[Space], regions: DataFrame | None, keep: list[str]) -> DataFrame:
-    """current after one look at the index, with __changed, written out."""
+def _reconcile_round(current: DataFrame, clusters: DataFrame, spaces: list[Space], regions: DataFrame | None, keep: list[str], donors: DataFrame | None = None) -> DataFrame:
+    """current after one look at the index, with __changed, written out. donors: issues beside current that lend names."""
+    index = current if donors is None else current.select("newspaper_source", "newspaper", "city", "province").unionByName(donors)
     open_ = (F.col("newspaper_source") == "fallback") | F.coalesce(null_if_empty(F.col("city")), F.lit("")).eqNullSafe("")
-    cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, current).select("issue_id", F.col("newspaper").alias("__cross"))
+    cross = cross_issue_names(current.where("newspaper_source = 'fallback'"), clusters, index).select("issue_id", F.col("newspaper").alias("__cross"))
     named = current.withColumn("__open", open_).join(cross, "issue_id", "left")
     named = named.withColumns({"newspaper": F.coalesce("__cross", "newspaper"), "newspaper_source": F.when(F.col("__cross").isNotNull(), "cross_issue").otherwise(F.col("newspaper_source")), "__changed": F.col("__cross").isNotNull()}).drop("__cross")
     named = stored(named, "named")

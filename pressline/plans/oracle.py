@@ -392,6 +392,8 @@ select a.issue_id, a.page_number, a.article_seq, a.article_id, a.continued_on_pa
     + ", st as (select (select count(*) from ke where type = 'article') as articles, (select count(*) from ke where type = 'block') as blocks, (select coalesce(sum(word_count), 0) from ke)::bigint as words, (select count(*) from ar where wc < 15) + (select count(*) from bl where wc < 15) as skipped) select (select count(distinct iid) from (select iid from ar union all select b.doc_id::varchar from blocks b)) as issues, articles, blocks, words, skipped, articles + blocks as row_count from st",
     "index_upsert": ctes("duckdb", "issues")
     + ", n as (select * replace ('New ' || newspaper as newspaper) from issues where issue_id::int % 2 = 1 or issue_id::int % 3 = 0), u as (select * from issues where issue_id::int % 2 = 0 and issue_id not in (select issue_id from n) union all select * from n) select issue_id, newspaper, date, substr(date, 1, 4) as year, substr(date, 6, 2) as month, substr(date, 9, 2) as day, coalesce(masthead, '') as masthead, processed_at from u",
+    "page_files": SEG
+    + f", k as (select doc_id, count(*) n, sum(length(text_normalized)) + count(*) - 1 c from blocks group by doc_id), w as (select doc_id, count(*) n, sum(len({words('text_normalized')})) w, arg_min(title, article_seq) t from a group by doc_id) select d.doc_id::varchar as issue_id, coalesce(k.n, 0)::int as n_blocks, coalesce(c, 0)::int as chars, coalesce(w.n, 0)::int as nested, w.n as n_articles, w.w::bigint as words, t as first_title from documents d left join k using (doc_id) left join w using (doc_id)",
     "unprocessed_issues": ctes("duckdb", "issues") + " select issue_id from issues where newspaper_source <> 'fallback'",
     "group_report": ctes("duckdb", "issues")
     + ", t as (select *, case when newspaper <> '' then array_to_string(list_transform(string_split(lower(newspaper), ' '), lambda w: upper(w[1]) || w[2:]), ' ') else '' end as publication from issues), c as (select publication, count(*) as issues from t group by publication) select publication, c.issues, date, issue_id, case when length(issue_id) <= 44 then issue_id else substr(issue_id, 1, 43) || '…' end as shown_id, coalesce(city, '') || coalesce(', ' || nullif(province, ''), '') as place, case when newspaper = publication then '' else '  [read as: ' || newspaper || ']' end as read_as from t join c using (publication)",
@@ -406,3 +408,5 @@ select conv_id, turn, case when length(s) >= greatest(5, length(text) // 3) and
     "name_keys": ctes("duckdb", "issues")
     + f", t as (select *, newspaper || ' o''brien 3rd st-john' nm from issues) select issue_id, {_VARIANT} as variant_key, lower({rep('coalesce(province, ' + q('') + ')', '[.' + SP + ']+')}) as place_key, {_TITLE('nm')} as title_case, case when length(masthead) <= 20 then masthead else substr(masthead, 1, 19) || '…' end as shown from t",
 }
+ORACLE["index_buckets"] = ORACLE["index_upsert"]
+ORACLE["corpus_files"] = f"select s.*, s.row_count as rows_read, words as words_read, (select sum(length(text_normalized)) from ({ORACLE['export_corpus']}) e)::bigint as chars_read from ({ORACLE['export_stats']}) s"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pressline.operators import blocks as B
 from pressline.operators import corpus, correct, fusion, identity, issues, reports
 from pressline.plans.documents import rebuild, unprocessed
 from pressline.plans.fixtures import fixture
+from pressline.session import scratch_root
 from pressline.sources import schemas as S
 from pressline.sources import writers
+from pressline.streaming.index_table import IndexTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DOC = ["doc_id"]
@@ -300,14 +303,68 @@ def export_stats(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.export_stats(index, articles, blocks, corrections=_corrections(spark, sf))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared scratch, gone when the driver ends."""
+    path = f"{scratch_root(spark)}/pressline-{uuid.uuid4().hex}/{name}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return path
+
+
 @query
-def index_upsert(spark: SparkSession, sf: str) -> DataFrame:
+def corpus_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest that is counted while the corpus is written, read back beside the rows of the files."""
+    index, articles, blocks = _issue_articles(spark, sf)
+    folder = _scratch(spark, "corpus")
+    writers.write_corpus(*corpus.observed_corpus(index, articles, blocks, corrections=_corrections(spark, sf)), folder)
+    manifest = spark.read.schema("stats struct<issues:long,articles:long,blocks:long,words:long,skipped:long>, row_count long").json(f"{folder}/manifest.json").select("stats.*", "row_count")
+    rows = spark.read.schema("type string, word_count long, text_normalized string").json(f"{folder}/corpus.jsonl")
+    read = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("word_count").alias("words_read"), F.sum(F.length("text_normalized")).alias("chars_read"))
+    # one row each; without a partner the counts would differ, and the row be missing
+    return manifest.join(read, "row_count").withColumn("rows_read", F.col("row_count"))
+
+
+@query
+def page_files(spark: SparkSession, sf: str) -> DataFrame:
+    """articles.ndjson and the nested page documents, written and read back."""
+    page = lambda df: df.withColumns({"issue_id": F.col("doc_id").cast("string"), "page_number": F.lit(1)}).drop("doc_id")
+    articles, blocks, folder = page(_articles(spark, sf)), page(_page_blocks(spark, sf)), _scratch(spark, "pages")
+    sizes = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.lit(1).alias("page_number"), F.lit(1600).alias("width"))
+    writers.write_json(articles, f"{folder}/articles.ndjson")
+    writers.write_table(writers.page_json(sizes, blocks, articles), f"{folder}/pages")
+    shape = "schema_version int, page_number int, blocks array<struct<block_seq:int,text_normalized:string>>, articles array<struct<article_seq:int,title:string>>"
+    pages = spark.read.parquet(f"{folder}/pages").select("issue_id", F.from_json("json", shape).alias("p"))
+    own = spark.read.schema("issue_id string, article_id string, title string, word_count int").json(f"{folder}/articles.ndjson")
+    own = own.groupBy("issue_id").agg(F.count(F.lit(1)).alias("n_articles"), F.sum("word_count").alias("words"), F.min_by("title", "article_id").alias("first_title"))
+    text = F.array_join(F.transform("p.blocks", lambda b: b["text_normalized"]), "\n")
+    found = pages.select("issue_id", F.coalesce(F.size("p.blocks"), F.lit(0)).alias("n_blocks"), F.coalesce(F.length(text), F.lit(0)).alias("chars"), F.coalesce(F.size("p.articles"), F.lit(0)).alias("nested"))
+    return found.join(own, "issue_id", "left").select("issue_id", "n_blocks", "chars", "nested", "n_articles", "words", "first_title")
+
+
+@query
+def index_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The index in hash buckets after a first batch and an upsert."""
+    records, new = _index_batches(spark, sf)
+    held = IndexTable(spark, _scratch(spark, "index"), buckets=32)
+    held.upsert(records, 0)
+    held.upsert(new, 1)
+    return held.read().select("issue_id", "newspaper", "date", "year", "month", "day", "masthead", "processed_at")
+
+
+def _index_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(index, new): what the old index lacks, and some of what it has."""
     rows = fixture(spark, sf, "issues").withColumns({c: F.lit(None).cast("string") for c in ("source_pdf", "output_dir", "day_of_week", "date_precision")})
     records = writers.index_record(rows)
     number = F.col("issue_id").cast("int")
-    # what the old index lacks, and some of what it has
     new = records.where((number % 2 == 1) | (number % 3 == 0)).withColumn("newspaper", F.concat(F.lit("New "), "newspaper"))
-    out = writers.upsert_index(records.where(number % 2 == 0), new)
+    return records.where(number % 2 == 0), new
+
+
+@query
+def index_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    out = writers.upsert_index(*_index_batches(spark, sf))
     return out.select("issue_id", "newspaper", "date", "year", "month", "day", "masthead", "processed_at")
 
 

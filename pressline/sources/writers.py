@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pressline.sources import schemas as S
@@ -38,10 +38,14 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_corpus(rows: DataFrame, stats: DataFrame, folder: str, mode: str = "overwrite") -> None:
-    """K8, K9. corpus.jsonl and manifest.json under folder, each as Spark writes JSON; stats is export_stats'
-    row, from one pass over the tables."""
+def write_corpus(rows: DataFrame, stats: DataFrame | Observation, folder: str, mode: str = "overwrite") -> None:
+    """K8, K9. corpus.jsonl and manifest.json under folder, each as Spark writes JSON.
+
+    stats: what corpus.observed_corpus counts while rows are written, or export_stats' row from a plan of its own."""
     write_json(rows, f"{folder}/corpus.jsonl", mode)
+    if isinstance(stats, Observation):
+        names = ["issues", "articles", "blocks", "words", "skipped", "row_count"]
+        stats = rows.sparkSession.createDataFrame([tuple(int(stats.get[c]) for c in names)], ", ".join(f"{c} long" for c in names))
     counts = F.struct(*[c for c in stats.columns if c != "row_count"]).alias("stats")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at")
     write_json(stats.select(now, counts, "row_count").coalesce(1), f"{folder}/manifest.json", mode)

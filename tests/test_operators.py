@@ -9,7 +9,7 @@ from pressline.functions import headers, similarity
 from pressline.functions.components import connected_components
 from pressline.operators import articles as A
 from pressline.operators import blocks as B
-from pressline.operators import corpus, correct, fusion, identity, reports
+from pressline.operators import arrivals, corpus, correct, fusion, identity, reports
 from pressline.operators.names import alike_words, matching_names, word_candidates
 from pressline.sources import providers, readers, writers
 from pressline.sources import schemas as S
@@ -553,3 +553,32 @@ def test_hot_place_is_spread_over_words(spark):
     got = matching_names(asking, asking.withColumnRenamed("a_name", "b_name"), ["p"])
     names = sorted({n for _, n in rows})
     assert {(a, b) for _, a, b in got.collect()} == {(a, b) for a in names for b in names if similarity.words_match(a, b)}
+
+
+def test_reconcile_as_issues_arrive(spark):
+    """Random issues in random batches, some read again: after each batch what a run over the whole index says."""
+    r = random.Random(17)
+    names = ["Evening Telegraph", "Evening Telegraqh", "Daily Gleaner", "Morning Herald", "Morning Heralds Weekly", ""]
+    places = [("Truro", "N.S."), ("Boston", "Mass."), (None, None), (None, None), ("Truro", None)]
+    words = ["incorporated", "morning", "journal", "founded", "weekly", "review", "shipping", "gazette"]
+    rows = []
+    for i in range(60):
+        source = r.choice(["page_headers", "fallback", "fallback", "cross_issue"])
+        masthead = " ".join(r.sample(words, r.choice((2, 4, 5)))) + (f" alone{i} apart{i} single{i} lonely{i}" if r.random() < 0.5 else "")
+        rows.append({"issue_id": f"{i:02d}", "newspaper": r.choice(names) if source != "fallback" else f"File {i}", "newspaper_source": source, "city": (p := r.choice(places))[0], "province": p[1], "masthead": masthead, "processed_at": "t1"})
+    phrases = [(f"{i:02d}", r.choice(["EVENING TELEGRAPH", "DAILY GLEANFR", "MORNING HERALD", "NOTHING KNOWN"]), 2, 0) for i in range(60)]
+    clusters = spark.createDataFrame(phrases, "issue_id string, phrase string, votes long, rank int")
+    r.shuffle(rows)
+    batches = [rows[:35], [{**rows[3], "newspaper": "Daily Gleaner", "newspaper_source": "page_headers", "city": "Boston", "province": "Mass.", "processed_at": "t2"}, *rows[35:]]]
+    index, whole, kept = index_rows(spark, []), index_rows(spark, []), arrivals.no_publications(spark)
+    shown = lambda df: sorted(((x.issue_id, x.newspaper, x.newspaper_source, x.city, x.province, x.country) for x in df.collect()), key=repr)
+    for batch in batches:
+        new = index_rows(spark, batch)
+        index, kept = arrivals.reconcile_arrivals(index, new, kept, clusters)
+        whole = identity.reconcile(writers.upsert_index(whole, new), clusters)
+        assert shown(index) == shown(whole)
+    given = {x["issue_id"]: x["newspaper_source"] for x in rows}
+    assert sum(given[i] == "fallback" and s == "cross_issue" for i, _, s, *_ in shown(index)) > 3
+    alone = index_rows(spark, [{"issue_id": "99", "newspaper": "Quite Alone", "newspaper_source": "page_headers", "masthead": "", "processed_at": "t"}])
+    grown = arrivals.with_arrivals(kept, alone)
+    assert [x.issue_id for x in arrivals.hanging_together(grown, alone).collect()] == ["99"]  # a stranger moves no other issue

@@ -16,24 +16,27 @@ from pyspark.sql import functions as F
 
 from pressline.functions import headers
 from pressline.functions.text import strip
-from pressline.operators.identity import CONFIDENT, FINGERPRINT_SHARE, Space, _reconcile_round, cross_issue_names
+from pressline.operators.identity import CONFIDENT, FINGERPRINT_SHARE, STAR_WORDS, Space, _reconcile_round, cross_issue_names, subset_keys
 from pressline.operators.names import matching_names
 from pressline.session import discard_paths, noting, stored
 from pressline.sources.writers import upsert_index
 
 _SIDE = "kind string, label array<string>"
+_STARS = "kind string, key string, asks boolean"
 
 
 @dataclass
 class Side:
-    """One way to belong together: kinds (kind, label), members (issue_id, kind), links (a, b) of kinds, once a pair."""
+    """One way to belong together: kinds (kind, label), members (issue_id, kind), links (a, b) of kinds, once a pair,
+    and stars (kind, key, asks): kinds that meet under a key (identity.Space)."""
 
     kinds: DataFrame
     members: DataFrame
     links: DataFrame
+    stars: DataFrame
 
     def tables(self) -> list[DataFrame]:
-        return [self.kinds, self.members, self.links]
+        return [self.kinds, self.members, self.links, self.stars]
 
 
 @dataclass
@@ -50,17 +53,24 @@ class Publications:
 
 def no_publications(spark) -> Publications:
     empty = lambda ddl: stored(spark.createDataFrame([], ddl), "none")
-    side = lambda: Side(empty(_SIDE), empty("issue_id string, kind string"), empty("a string, b string"))
+    side = lambda: Side(empty(_SIDE), empty("issue_id string, kind string"), empty("a string, b string"), empty(_STARS))
     return Publications(side(), side())
 
 
 def _overlaps(fresh: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(a, b): masthead kinds, a fresh, that share half of the smaller set's words."""
+    """(a, b): masthead kinds, a fresh, that share half of the smaller set's words, one of them too long for stars."""
+    long = F.size("label") > STAR_WORDS
     words = lambda df, c: df.select(F.col("kind").alias(c), F.size("label").alias(f"n_{c}"), F.explode("label").alias("word"))
-    met = words(fresh, "a").join(words(kinds, "b"), "word").where("a <> b").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    both = words(fresh.where(long), "a").join(words(kinds, "b"), "word").unionByName(words(fresh.where(~long), "a").join(words(kinds.where(long), "b"), "word"))
+    met = both.where("a <> b").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     return met.where(F.col("shared") >= FINGERPRINT_SHARE * F.least("n_a", "n_b")).select("a", "b")
 
 
+def _subsets(fresh: DataFrame) -> DataFrame:
+    short = fresh.where(F.size("label") <= STAR_WORDS)
+    return subset_keys(short.select("kind", F.size("label").alias("n"), F.col("label").alias("words")))
+
+
 def _alike(fresh: DataFrame, kinds: DataFrame) -> DataFrame:
     """(a, b): name kinds, a fresh, whose names match in either order."""
     name = lambda df, c: df.select(F.get("label", F.lit(0)).alias(f"{c}_name"))
@@ -73,7 +83,7 @@ def _kind(label) -> F.Column:
     return F.sha2(F.to_json(label), 256)
 
 
-def _grown(side: Side, labels: DataFrame, gone: DataFrame, links_of) -> Side:
+def _grown(side: Side, labels: DataFrame, gone: DataFrame, links_of, stars_of=None) -> Side:
     """side with the issues of `gone` taken out and those of labels (issue_id, label) put in."""
     own = stored(labels.withColumn("kind", _kind(F.col("label"))), "labels")
     members = stored(side.members.join(gone, "issue_id", "left_anti").unionByName(own.select("issue_id", "kind")), "members")
@@ -83,7 +93,10 @@ def _grown(side: Side, labels: DataFrame, gone: DataFrame, links_of) -> Side:
     pairs = links_of(fresh, kinds).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     # a kind without members left links nobody
     old = reduce(lambda df, c: df.join(live.withColumnRenamed("kind", c), c, "left_semi"), "ab", side.links)
-    return Side(kinds, members, stored(old.unionByName(pairs), "links"))
+    stars = side.stars.join(live, "kind", "left_semi")
+    if stars_of:
+        stars = stars.unionByName(stars_of(fresh))
+    return Side(kinds, members, stored(old.unionByName(pairs), "links"), stored(stars, "stars"))
 
 
 def with_arrivals(publications: Publications, new: DataFrame) -> Publications:
@@ -91,7 +104,7 @@ def with_arrivals(publications: Publications, new: DataFrame) -> Publications:
     gone = new.select("issue_id")
     prints = new.select("issue_id", headers.fingerprint(F.col("masthead")).alias("label")).where(F.size("label") > 0)
     named = new.where(F.col("newspaper_source").isin(CONFIDENT)).select("issue_id", F.array(strip(F.coalesce("newspaper", F.lit("")))).alias("label")).where("label[0] <> ''")
-    return Publications(_grown(publications.mastheads, prints, gone, _overlaps), _grown(publications.names, named, gone, _alike))
+    return Publications(_grown(publications.mastheads, prints, gone, _overlaps, _subsets), _grown(publications.names, named, gone, _alike))
 
 
 def hanging_together(publications: Publications, ids: DataFrame) -> DataFrame:
@@ -104,7 +117,9 @@ def hanging_together(publications: Publications, ids: DataFrame) -> DataFrame:
         for side in publications.sides():
             kinds = side.members.join(edge, "issue_id", "left_semi").select("kind").distinct()
             linked = [side.links.join(kinds.withColumnRenamed("kind", c), c, "left_semi").select(F.col(d).alias("kind")) for c, d in ("ab", "ba")]
-            every = reduce(DataFrame.unionByName, [kinds, *linked]).distinct()
+            at = side.stars.join(kinds, "kind", "left_semi").groupBy("key").agg(F.max("asks").alias("asked"))
+            starred = side.stars.join(at, "key").where(F.col("asks") | F.col("asked")).select("kind")
+            every = reduce(DataFrame.unionByName, [kinds, *linked, starred]).distinct()
             near.append(side.members.join(every, "kind", "left_semi").select("issue_id"))
         edge = stored(reduce(DataFrame.unionByName, near).distinct().join(reached, "issue_id", "left_anti"), "edge")
         if edge.isEmpty():
@@ -112,6 +127,11 @@ def hanging_together(publications: Publications, ids: DataFrame) -> DataFrame:
         reached = stored(reached.unionByName(edge), "reached")
 
 
+def _within(side: Side, ids: DataFrame) -> Space:
+    members = stored(side.members.join(ids, "issue_id", "left_semi"), "within")
+    return Space(members, side.links, stored(side.stars.join(members.select("kind").distinct(), "kind", "left_semi"), "stars"))
+
+
 def reconcile_arrivals(index: DataFrame, new: DataFrame, publications: Publications, clusters: DataFrame, regions: DataFrame | None = None) -> tuple[DataFrame, Publications]:
     """C3. (index, publications) after a batch: what reconcile(upsert_index(index, new), clusters) says.
 
@@ -126,7 +146,7 @@ def reconcile_arrivals(index: DataFrame, new: DataFrame, publications: Publicati
         current = last = stored(merged.join(ids, "issue_id", "left_semi"), "current")
         beside = stored(merged.join(ids, "issue_id", "left_anti"), "beside")
         donors = beside.where("newspaper_source = 'page_headers'").select("newspaper_source", "newspaper", "city", "province")
-        spaces: list[Space] = [(side.members.join(ids, "issue_id", "left_semi"), side.links) for side in grown.sides()]
+        spaces = [_within(side, ids) for side in grown.sides()]
         asking, named = beside.where("newspaper_source = 'fallback'"), None
         while True:
             # the fallback issues beside: a name of a changed donor may fit them

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ from pressline.sources import schemas as S
 MIN_VOTES, MIN_PHRASE, MIN_EXACT_NAME = 2, 4, 6
 FINGERPRINT_SHARE = 0.5
 CONFIDENT = ["page_headers", "override"]
+#: Mastheads of at most so many shared words meet at subsets of them (162 for eight), longer ones in pairs.
+STAR_WORDS = 8
 
 
 def header_phrase(text: Column) -> Column:
@@ -99,29 +102,72 @@ def cross_issue_names(issues: DataFrame, clusters: DataFrame, index: DataFrame)
     return placed.unionByName(exact).groupBy("issue_id").agg(F.min(F.struct(-F.col("votes"), "rank", "name")).alias("best")).select("issue_id", F.col("best.name").alias("newspaper"))
 
 
-#: (members, links): issues with the kind they belong to, named after its smallest issue, and the pairs of
-#: different kinds a, b that are alike.
-Space = tuple[DataFrame, DataFrame]
+class Space(NamedTuple):
+    """One way for issues to belong together.
 
+    members (issue_id, kind): a kind is named after its smallest issue. links (a, b): different kinds that are alike.
+    stars (kind, key, asks): more likeness, without pairs; under one key a kind that asks is like every other one."""
+
+    members: DataFrame
+    links: DataFrame
+    stars: DataFrame | None = None
+
+
+def subset_keys(kinds: DataFrame) -> DataFrame:
+    """(kind, key, asks) of kinds (kind, n, words), words sorted and at most STAR_WORDS of a masthead's n.
+
+    Two mastheads overlap by half of the smaller one exactly if a subset of so many of its words lies in the
+    other. So each is put under its subsets of up to half its own size, and asks at those of half. Who asks at a
+    key is at most as large as whoever else is there: those that do not ask have more words."""
+    need = F.ceil(F.col("n") * FINGERPRINT_SHARE).cast("int")
+    picked = kinds.select("kind", "words", need.alias("need"), F.expr("explode(sequence(1, shiftleft(1, size(words)) - 1))").alias("mask")).where("size(words) > 0 and bit_count(mask) <= need")
+    return picked.select("kind", F.expr("array_join(filter(words, (w, i) -> getbit(mask, i) = 1), ' ')").alias("key"), (F.bit_count("mask") == F.col("need")).alias("asks"))
+
+
+def _overlapping(asked: DataFrame, posted: DataFrame) -> DataFrame:
+    met = asked.join(posted, "word").where((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("kind"))))
+    return met.select("a", F.col("kind").alias("b"))
 
-def masthead_space(issues: DataFrame) -> Space:
-    """J9. Issues by equal masthead words; kinds whose words overlap by half of the smaller set, with `shared`.
 
-    Of a set of n words any n - ceil(n/2) + 1 hold one that such a partner shares, so the
-    smaller set asks with its rarest words only, and a word that many mastheads use brings no
-    pairs together. Kinds are compared, never issues."""
+def _masthead_kinds(issues: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """members (issue_id, kind, n) and kinds (kind, n, print, words, ranked): the words that other kinds use, and all from the rarest on."""
     prints = stored(issues.select("issue_id", headers.fingerprint(F.col("masthead")).alias("print")).where(F.size("print") > 0), "prints")
-    kinds = stored(prints.groupBy("print").agg(F.min("issue_id").alias("kind")).withColumn("n", F.size("print")), "kinds")
-    members = stored(prints.join(kinds, "print").select("issue_id", "kind", "n"), "members")
-    posted = kinds.select("kind", "n", F.explode("print").alias("word"))
-    ranked = posted.join(posted.groupBy("word").agg(F.count(F.lit(1)).alias("uses")), "word").groupBy("kind", "n").agg(F.array_sort(F.collect_list(F.struct("uses", "word"))).alias("words"))
-    asking = ranked.select(F.col("kind").alias("a"), F.col("n").alias("n_a"), F.explode(F.slice("words", F.lit(1), F.col("n") - F.ceil(F.col("n") * FINGERPRINT_SHARE).cast("int") + 1)).alias("w")).select("a", "n_a", "w.word")
-    met = asking.join(posted, "word").where((F.col("n_a") < F.col("n")) | ((F.col("n_a") == F.col("n")) & (F.col("a") < F.col("kind")))).select("a", F.col("kind").alias("b")).distinct()
+    named = stored(prints.groupBy("print").agg(F.min("issue_id").alias("kind")).withColumn("n", F.size("print")), "kinds")
+    members = stored(prints.join(named, "print").select("issue_id", "kind", "n"), "members")
+    posted = named.select("kind", F.explode("print").alias("word"))
+    ranked = posted.join(posted.groupBy("word").agg(F.count(F.lit(1)).alias("uses")), "word").groupBy("kind").agg(F.array_sort(F.collect_list(F.struct("uses", "word"))).alias("ranked"))
+    words = F.array_sort(F.filter("ranked", lambda w: w["uses"] > 1)["word"])
+    kinds = stored(named.join(ranked, "kind").select("kind", "n", "print", words.alias("words"), F.col("ranked.word").alias("ranked")), "ranked")
+    discard(prints, named)
+    return members, kinds
+
+
+def _masthead_links(kinds: DataFrame, longer_than: int = 0) -> DataFrame:
+    """(a, b, shared): kinds whose words overlap by half of the smaller set, at least one of more than so many shared words.
+
+    Of a set of n words any n - ceil(n/2) + 1 hold one that such a partner shares, so the smaller set
+    asks with its rarest words only."""
+    asking = kinds.select(F.col("kind").alias("a"), F.col("n").alias("n_a"), F.size("words").alias("many"), F.explode(F.slice("ranked", F.lit(1), F.col("n") - F.ceil(F.col("n") * FINGERPRINT_SHARE).cast("int") + 1)).alias("word"))
+    posted = kinds.select("kind", "n", F.size("words").alias("many"), F.explode("words").alias("word"))
+    long, short = F.col("many") > longer_than, F.col("many") <= longer_than
+    met = _overlapping(asking.where(long).drop("many"), posted.drop("many")).unionByName(_overlapping(asking.where(short).drop("many"), posted.where(long).drop("many"))).distinct()
     left, right = (kinds.select(F.col("kind").alias(c), F.col("print").alias(f"print_{c}")) for c in "ab")
     both = met.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("print_a", "print_b")))
-    links = stored(both.where(F.col("shared") >= FINGERPRINT_SHARE * F.size("print_a")).select("a", "b", "shared"), "links")
-    discard(prints, kinds)
-    return members, links
+    return both.where(F.col("shared") >= FINGERPRINT_SHARE * F.size("print_a")).select("a", "b", "shared")
+
+
+def masthead_space(issues: DataFrame) -> Space:
+    """J9. Issues by equal masthead words; kinds whose words overlap by half of the smaller set.
+
+    Kinds meet at subsets of the words that several use, so ten thousand misread variants of one masthead
+    are as many stars, not their pairs. Mastheads of more than STAR_WORDS such words are linked in pairs."""
+    members, kinds = _masthead_kinds(issues)
+    keys = subset_keys(kinds.where(F.size("words") <= STAR_WORDS))
+    useful = keys.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.max("asks").alias("asked")).where("held > 1 and asked").select("key")
+    stars = stored(keys.join(useful, "key").select("kind", "key", "asks"), "stars")
+    links = stored(_masthead_links(kinds, STAR_WORDS), "links")
+    discard(kinds)
+    return Space(members, links, stars)
 
 
 def name_space(issues: DataFrame) -> Space:
@@ -139,7 +185,7 @@ def name_space(issues: DataFrame) -> Space:
     met = alike.join(left, "a_name").join(right, "b_name")
     links = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     discard(named, kinds)
-    return members, links
+    return Space(members, links)
 
 
 def publication_spaces(issues: DataFrame) -> list[Space]:
@@ -147,8 +193,12 @@ def publication_spaces(issues: DataFrame) -> list[Space]:
 
 
 def publication_edges(spaces: list[Space]) -> DataFrame:
-    """(a, b): as many edges as issues and links of kinds; their components are those of same_publication."""
-    edges = [e for members, links in spaces for e in (members.select(F.col("issue_id").alias("a"), F.col("kind").alias("b")), links.select("a", "b"))]
+    """(a, b): as many edges as issues, links and stars of kinds; their components are those of same_publication."""
+    edges = [e for space in spaces for e in (space.members.select(F.col("issue_id").alias("a"), F.col("kind").alias("b")), space.links.select("a", "b"))]
+    for space in spaces:
+        if space.stars is not None:
+            hubs = space.stars.where("asks").groupBy("key").agg(F.min("kind").alias("b"))
+            edges.append(space.stars.join(hubs, "key").select(F.col("kind").alias("a"), "b").where("a <> b").distinct())
     return reduce(DataFrame.unionByName, edges)
 
 
@@ -160,7 +210,8 @@ def masthead_pairs(issues: DataFrame) -> DataFrame:
     """J9, U5. (a, b, shared) for a < b: issues whose masthead words overlap by half of the smaller set.
 
     A report of all pairs, so its size is that of the answer; other operators use masthead_space."""
-    members, links = masthead_space(issues)
+    members, kinds = _masthead_kinds(issues)
+    links = _masthead_links(kinds)
     same = members.select(F.col("kind").alias("a"), F.col("kind").alias("b"), F.col("n").alias("shared")).distinct()
     return _pairs(members, _both_ways(links).unionByName(same))
 
@@ -174,7 +225,7 @@ def _pairs(members: DataFrame, linked: DataFrame) -> DataFrame:
 
 def name_pairs(issues: DataFrame) -> DataFrame:
     """J9. (a, b) for a < b: issues with confirmed names that are equal or alike."""
-    members, links = name_space(issues)
+    members, links, _ = name_space(issues)
     return _pairs(members, _both_ways(links).unionByName(members.select(F.col("kind").alias("a"), F.col("kind").alias("b")).distinct()))
 
 
@@ -206,18 +257,27 @@ def sibling_values(issues: DataFrame, pairs: DataFrame) -> DataFrame:
     return _agreed(rows.select("issue_id", *(F.col(c).alias(f"{side}_{c}") for c in FIELDS for side in ("low", "high"))))
 
 
+def _from_stars(stars: DataFrame, own: DataFrame) -> DataFrame:
+    """Extremes that kinds get under their keys: who asks those of all kinds there, the others those of the kinds that ask."""
+    sides = [(f, f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
+    met = stars.join(own, "kind").groupBy("key").agg(*(f(c).alias(f"all_{c}") for f, c in sides), *(f(F.when(F.col("asks"), F.col(c))).alias(f"ask_{c}") for f, c in sides))
+    return stars.join(met, "key").select("kind", *(F.when(F.col("asks"), F.col(f"all_{c}")).otherwise(F.col(f"ask_{c}")).alias(c) for _, c in sides))
+
+
 def sibling_values_by_kind(issues: DataFrame, spaces: list[Space]) -> DataFrame:
     """sibling_values for the fields that an issue lacks, without pairs of issues.
 
-    A kind's extremes are combined with those of its alike kinds; every issue of the kind gets
+    A kind's extremes are combined with those of its alike kinds, linked or under a common key; every issue of the kind gets
     them. An issue is thus among its own siblings, but a field that it lacks gets nothing from it."""
     ends = [f(c).alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
     again = [f(f"{side}_{c}").alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
     found = []
-    for members, links in spaces:
+    for members, links, stars in spaces:
         own = members.select("issue_id", "kind").join(issues.select("issue_id", *_donated(issues)), "issue_id").groupBy("kind").agg(*ends)
-        near = _both_ways(links.select("a", "b")).join(own, F.col("b") == F.col("kind")).drop("b", "kind").withColumnRenamed("a", "kind")
-        found.append(members.select("issue_id", "kind").join(own.unionByName(near).groupBy("kind").agg(*again), "kind").drop("kind"))
+        every = own.unionByName(_both_ways(links.select("a", "b")).join(own, F.col("b") == F.col("kind")).drop("b", "kind").withColumnRenamed("a", "kind"))
+        if stars is not None:
+            every = every.unionByName(_from_stars(stars, own))
+        found.append(members.select("issue_id", "kind").join(every.groupBy("kind").agg(*again), "kind").drop("kind"))
     return _agreed(reduce(DataFrame.unionByName, found))
 
 

@@ -441,5 +441,4 @@ def issue_fronts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def components(spark: SparkSession, sf: str) -> DataFrame:
-    members, links = identity.masthead_space(fixture(spark, sf, "issues"))
-    return connected_components(identity.publication_edges([(members, links)]))
+    return connected_components(identity.publication_edges([identity.masthead_space(fixture(spark, sf, "issues"))]))

@@ -265,6 +265,36 @@ def test_pairs_equal_brute_force_on_a_hot_masthead(spark):
     assert {r.id: r.component for r in connected_components(identity.masthead_pairs(df).select("a", "b")).collect()} == {i: root[i] for i in paired}
 
 
+def test_masthead_stars_equal_pairs(spark):
+    """Components and sibling values by stars are those of all pairs; short and long mastheads, each size beside each."""
+    r = random.Random(11)
+    words = [f"{a}{b}word" for a in "abcdefgh" for b in "xy"]
+    mastheads = [" ".join(r.sample(words, r.choice((2, 3, 4, 5, 7, 8)))) + " ".join(f" alone{k}n{j}" for j in range(r.choice((0, 0, 3, 6)))) for k in range(60)]
+    mastheads += [" ".join(r.sample(words, n)) for n in (9, 10, 12, 14, 16, 16)]
+    rows = [issue(f"i{k:03d}", f"Paper {k % 3}", "page_headers" if k % 3 else "fallback", *r.choice([("Truro", "N.S."), ("Boston", "Mass."), (None, None)]), m) for k, m in enumerate(mastheads)]
+    df = spark.createDataFrame(rows, ISSUE)
+    space = identity.masthead_space(df)
+    pairs = identity.masthead_pairs(df).select("a", "b")
+    parts = lambda edges: {(x.id, x.component) for x in connected_components(edges).collect()}
+    assert parts(identity.publication_edges([space])) == parts(pairs)
+    lacks = {x[0] for x in rows if x[3] is None}
+    values = lambda got: {x.issue_id: (x.sibling_city, x.sibling_province) for x in got.collect() if x.issue_id in lacks and (x.sibling_city or x.sibling_province)}
+    # few siblings each: values agree only where an issue has hardly any
+    for low in range(0, 66, 11):
+        some = df.where(F.col("issue_id").between(f"i{low:03d}", f"i{low + 10:03d}"))
+        assert values(identity.sibling_values_by_kind(some, [identity.masthead_space(some)])) == values(identity.sibling_values(some, identity.masthead_pairs(some).select("a", "b")))
+
+
+def test_misread_variants_of_one_masthead_are_stars(spark):
+    """Variants of one masthead with a misread word each: some rows a variant, no links, one component."""
+    for n in (200, 2000):
+        rows = [issue(f"i{k:05d}", "x", "fallback", None, None, f"incorporated morning journal estab{k} weekly review") for k in range(n)]
+        space = identity.masthead_space(spark.createDataFrame(rows, ISSUE))
+        assert space.links.count() == 0 and space.stars.count() <= 32 * n
+        edges = identity.publication_edges([space])
+        assert edges.count() <= 3 * n and {x.component for x in connected_components(edges).collect()} == {"i00000"}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -280,7 +280,7 @@ def test_masthead_stars_equal_pairs(spark):
     lacks = {x[0] for x in rows if x[3] is None}
     values = lambda got: {x.issue_id: (x.sibling_city, x.sibling_province) for x in got.collect() if x.issue_id in lacks and (x.sibling_city or x.sibling_province)}
     # few siblings each: values agree only where an issue has hardly any
-    for low in range(0, 66, 11):
+    for low in (0, 55):
         some = df.where(F.col("issue_id").between(f"i{low:03d}", f"i{low + 10:03d}"))
         assert values(identity.sibling_values_by_kind(some, [identity.masthead_space(some)])) == values(identity.sibling_values(some, identity.masthead_pairs(some).select("a", "b")))
 

@@ -273,7 +273,8 @@ def sibling_values_by_kind(issues: DataFrame, spaces: list[Space]) -> DataFrame:
     again = [f(f"{side}_{c}").alias(f"{side}_{c}") for c in FIELDS for f, side in ((F.min, "low"), (F.max, "high"))]
     found = []
     for members, links, stars in spaces:
-        own = members.select("issue_id", "kind").join(issues.select("issue_id", *_donated(issues)), "issue_id").groupBy("kind").agg(*ends)
+        # read up to three times below
+        own = stored(members.select("issue_id", "kind").join(issues.select("issue_id", *_donated(issues)), "issue_id").groupBy("kind").agg(*ends), "own")
         every = own.unionByName(_both_ways(links.select("a", "b")).join(own, F.col("b") == F.col("kind")).drop("b", "kind").withColumnRenamed("a", "kind"))
         if stars is not None:
             every = every.unionByName(_from_stars(stars, own))

@@ -209,6 +209,20 @@ def test_j8_place_and_exact(spark):
     assert {tuple(r) for r in identity.cross_issue_names(asking, clusters, index).collect()} == {("a", "Evening Telegraph"), ("b", "Evening Telegraph")}
 
 
+def test_j8_of_alike_names_the_one_nearest_in_length(spark):
+    index = spark.createDataFrame([issue(n, f"Evening Telegraph {n}", "page_headers", "Saint John", "N.B.") for n in ("1256", "256")], ISSUE)
+    asking = spark.createDataFrame([issue("a", "x", "fallback", "Saint John", "N.B.")], ISSUE)
+    clusters = spark.createDataFrame([("a", "EVENING TELEGRAPM 256", 1, 0)], "issue_id string, phrase string, votes long, rank int")
+    assert all(similarity.words_match("EVENING TELEGRAPM 256", f"Evening Telegraph {n}") for n in ("1256", "256"))
+    assert [tuple(r) for r in identity.cross_issue_names(asking, clusters, index).collect()] == [("a", "Evening Telegraph 256")]
+
+
+def test_j9_numbers_that_gain_a_digit_are_alike(spark):
+    """The ratio of 128 and 1281 is 6/7, so papers past the thousandth are alike by the reference's rule."""
+    rows = spark.createDataFrame([issue(n, f"Evening Telegraph {n}", "page_headers") for n in ("128", "1281", "12")], ISSUE)
+    assert [tuple(r) for r in identity.same_publication(rows).collect()] == [("128", "1281")]
+
+
 def test_c3_reconcile_and_unrelated_issue(spark):
     rows = [issue("1", "x", "fallback", "Saint John", "N.B."), issue("2", "Evening Telegraph", "page_headers", "Saint John", "N.B.")]
     clusters = spark.createDataFrame([("1", "EVENING TELEGRAPH", 1, 0)], "issue_id string, phrase string, votes long, rank int")

@@ -279,6 +279,16 @@ def test_pairs_equal_brute_force_on_a_hot_masthead(spark):
     assert {r.id: r.component for r in connected_components(identity.masthead_pairs(df).select("a", "b")).collect()} == {i: root[i] for i in paired}
 
 
+def test_pairs_of_a_hot_kind_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(identity, "PAIR_BLOCK", 16)
+    members = spark.createDataFrame([(f"i{k:03d}", "a" if k < 120 else "b") for k in range(160)], "issue_id string, kind string").coalesce(1)
+    linked = spark.createDataFrame([("a", "a"), ("b", "b"), ("b", "a")], "a string, b string")
+    rows = identity._pairs(members, linked).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.a, r.b) for r in rows) == [(f"i{i:03d}", f"i{j:03d}") for i in range(160) for j in range(i + 1, 160)]
+    tasks = [r.task for r in rows]
+    assert max(map(tasks.count, set(tasks))) < len(rows) / 2
+
+
 def test_masthead_stars_equal_pairs(spark):
     """Components and sibling values by stars are those of all pairs; short and long mastheads, each size beside each."""
     r = random.Random(11)

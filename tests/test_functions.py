@@ -126,3 +126,14 @@ def test_similarity(spark):
     assert not similarity.words_match("tide", "diet")
     rows = spark.createDataFrame([("Daily Gleaner", "DAILY GLEANFR"), ("a b", "a")], "a string, b string")
     assert [r.v for r in rows.select(similarity.phrases_match(F.col("a"), F.col("b")).alias("v")).collect()] == [True, False]
+
+
+def test_an_item_occurs_k_times_by_few_probes(spark):
+    import random
+
+    from pressline.functions.text import _occurs
+
+    r = random.Random(3)
+    rows = [([r.choice("abcd") for _ in range(r.randint(4, 12))], r.randint(2, 4)) for _ in range(400)]
+    got = [x.o for x in spark.createDataFrame(rows, "w array<string>, k int").select(_occurs(F.col("w"), F.col("k")).alias("o")).collect()]
+    assert got == [max(map(w.count, w)) >= k for w, k in rows] and len(set(got)) == 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressline.functions.geometry import GAP_RATIO, MIN_GAP, box, gap_ok, same_column
 from pressline.functions.headers import continuation
-from pressline.functions.text import strip, word_count
+from pressline.functions.text import let, strip, word_count
 from pressline.sources import schemas as S
 
 # Page furniture that is part of no article.
@@ -36,10 +36,10 @@ def article_rollup(segmented: DataFrame, key: list[str] | None = None) -> DataFr
     key = key or S.PAGE_KEY
     entry = F.struct("reading_order", "y0", "x0", "block_seq", "block_id", "label", "text_normalized")
     a = segmented.groupBy(*key, "article_seq").agg(
-        F.array_sort(F.collect_list(entry)).alias("own"), F.min("reading_order").alias("reading_order_start"), F.max("reading_order").alias("reading_order_end"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
+        F.sort_array(F.collect_list(entry)).alias("own"), F.min("reading_order").alias("reading_order_start"), F.max("reading_order").alias("reading_order_end"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
     )
     labels = F.transform("own", lambda b: b["label"])
-    counts = F.transform(F.array_distinct(labels), lambda n: F.struct(n.alias("key"), F.size(F.filter(labels, lambda m: m == n)).alias("value")))
+    counts = let(labels, lambda all_: F.transform(F.array_distinct(all_), lambda n: F.struct(n.alias("key"), F.size(F.filter(all_, lambda m: m == n)).alias("value"))))
     text = F.array_join(F.filter(F.transform("own", lambda b: b["text_normalized"]), lambda t: t != ""), "\n\n")
     page = F.col("page_number") if "page_number" in key else F.lit(1)
     first = F.get("own", F.lit(0))

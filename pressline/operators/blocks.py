@@ -50,7 +50,7 @@ def _rollup(key: list[str]) -> list:
     """Aggregates of the lines of one block, in reading order of the lines."""
     entry = F.struct("y0", "x0", "line_no", "text", "confidence", "x1", "y1", "words")
     return [
-        F.array_sort(F.collect_list(entry)).alias("own"),
+        F.sort_array(F.collect_list(entry)).alias("own"),
         F.avg("confidence").alias("mean"),
         F.when(F.min("source") < F.max("source"), "mixed").when(F.max("source") == "embedded", "embedded").otherwise("surya").alias("source"),
         *(F.min(s).alias(f"u_{s}") for s in S.SIDES[:2]),

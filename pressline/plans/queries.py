@@ -330,7 +330,9 @@ def corpus_files(spark: SparkSession, sf: str) -> DataFrame:
 def page_files(spark: SparkSession, sf: str) -> DataFrame:
     """articles.ndjson and the nested page documents, written and read back."""
     page = lambda df: df.withColumns({"issue_id": F.col("doc_id").cast("string"), "page_number": F.lit(1)}).drop("doc_id")
-    articles, blocks, folder = page(_articles(spark, sf)), page(_page_blocks(spark, sf)), _scratch(spark, "pages")
+    # by the key of the page from the start, so that a page's articles are not dealt again
+    blocks, folder = page(_page_blocks(spark, sf)), _scratch(spark, "pages")
+    articles = A.article_rollup(A.segment_blocks(blocks))
     sizes = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.lit(1).alias("page_number"), F.lit(1600).alias("width"))
     writers.write_json(articles, f"{folder}/articles.ndjson")
     writers.write_table(writers.page_json(sizes, blocks, articles), f"{folder}/pages")

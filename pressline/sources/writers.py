@@ -16,7 +16,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: str | Non
 
 def page_json(pages: DataFrame, blocks: DataFrame, articles: DataFrame) -> DataFrame:
     """K2. The nested page documents: (issue_id, page_number, json)."""
-    b = blocks.groupBy(*S.PAGE_KEY).agg(F.array_sort(F.collect_list(F.struct("block_seq", *[c for c in blocks.columns if c not in (*S.PAGE_KEY, "block_seq")]))).alias("blocks"))
+    b = blocks.groupBy(*S.PAGE_KEY).agg(F.sort_array(F.collect_list(F.struct("block_seq", *[c for c in blocks.columns if c not in (*S.PAGE_KEY, "block_seq")]))).alias("blocks"))
     a = articles.groupBy(*S.PAGE_KEY).agg(F.array_sort(F.collect_list(F.struct("article_seq", *[c for c in articles.columns if c not in (*S.PAGE_KEY, "article_seq", "label_counts")]))).alias("articles"))
     joined = pages.join(b, S.PAGE_KEY, "left").join(a, S.PAGE_KEY, "left")
     return joined.select(*S.PAGE_KEY, F.to_json(F.struct(F.lit(2).alias("schema_version"), *joined.columns)).alias("json"))

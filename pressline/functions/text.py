@@ -35,6 +35,8 @@ CLEANING = [
 ]
 #: One of the characters without which no rule of CLEANING but the last can match.
 MARKED = r"[\\<|\x{ad}\x{200b}\x{feff}\x{a0}\x{25a0}\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]"
+#: Two ranges at most, as Java looks through three some ten times slower: characters outside may be MARKED, or white space other than a blank.
+UNUSUAL, NOT_PLAIN = r"[^\x20-\x7e\x{ae}-\x{1fff}]", r"[^\x20-\x7e\x{a1}-\x{167f}]"
 URL = (
     rf"(?i)\b(?:https?://|www\.)[^{SPACE}]+"
     r"|\b[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*"
@@ -63,15 +65,20 @@ def normalize_line(text: Column) -> Column:
     """X1. Drop artifacts, tags and simple markup; collapse blanks; strip.
 
     Most lines hold none of the characters that all rules but the last begin with."""
-    blanks = lambda t: F.when(F.contains(t, F.lit("\t")) | F.contains(t, F.lit("  ")), F.regexp_replace(t, *CLEANING[-1])).otherwise(t)
-    marked = text
-    for pattern, replacement in CLEANING[:-1]:
+    blanks, marked = F.when(F.contains(text, F.lit("\t")) | F.contains(text, F.lit("  ")), F.regexp_replace(text, *CLEANING[-1])).otherwise(text), text
+    for pattern, replacement in CLEANING:
         marked = F.regexp_replace(marked, pattern, replacement)
-    return strip(F.when(text.rlike(MARKED), blanks(marked)).otherwise(blanks(text)))
+    may = F.contains(text, F.lit("\\")) | F.contains(text, F.lit("<")) | F.contains(text, F.lit("|")) | text.rlike(UNUSUAL)
+    return strip(F.when(may & text.rlike(MARKED), marked).otherwise(blanks))
 
 
 def join_lines(lines: Column) -> Column:
-    """X2. One paragraph text of an array of raw lines.
+    """X2. One paragraph text of an array of raw lines."""
+    return join_normalized(F.transform(lines, normalize_line))
+
+
+def join_normalized(lines: Column) -> Column:
+    """join_lines() of lines that are normalized already.
 
     A line that starts in lower case is glued to a preceding hyphen or joined by
     a blank to a preceding letter or digit; all others start a new line. Only the
@@ -80,15 +87,15 @@ def join_lines(lines: Column) -> Column:
 
     def joined(clean: Column) -> Column:
         def piece(line: Column, i: Column) -> Column:
-            lower = line.rlike(r"^[\p{Ll}\x{aa}\x{ba}]")
+            lower = F.left(line, F.lit(1)).rlike(r"[\p{Ll}\x{aa}\x{ba}]")
             before, after = F.get(clean, i - 1), F.get(clean, i + 1)
-            gap = F.when(i == 0, "").when(lower & F.endswith(before, F.lit("-")), "").when(lower & before.rlike(r"[\p{L}\p{N}]\z"), " ").otherwise("\n")
-            glued = F.endswith(line, F.lit("-")) & F.coalesce(after.rlike(r"^[\p{Ll}\x{aa}\x{ba}]"), F.lit(False))
+            gap = F.when(i == 0, "").when(lower & F.endswith(before, F.lit("-")), "").when(lower & F.right(before, F.lit(1)).rlike(r"[\p{L}\p{N}]"), " ").otherwise("\n")
+            glued = F.endswith(line, F.lit("-")) & F.coalesce(F.left(after, F.lit(1)).rlike(r"[\p{Ll}\x{aa}\x{ba}]"), F.lit(False))
             return F.concat(gap, F.when(glued, F.left(line, F.length(line) - 1)).otherwise(line))
 
         return F.array_join(F.transform(clean, piece), "")
 
-    return let(F.filter(F.transform(lines, normalize_line), lambda x: x != ""), joined)
+    return let(F.filter(lines, lambda x: x != ""), joined)
 
 
 def strip_urls(text: Column) -> Column:
@@ -111,9 +118,17 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """X7. How many words() has, without looking at each."""
-    held = strip(text)
-    return F.when(held == "", 0).otherwise(F.size(F.split(held, rf"[{SPACE}]+")))
+    """X7. How many words() has, without looking at each.
+
+    In most texts single blanks, line ends or empty lines part the words, and are counted by bytes."""
+
+    def count(t: Column) -> Column:
+        held = strip(t)
+        single = ~(F.contains(t, F.lit("  ")) | F.startswith(t, F.lit(" ")) | F.endswith(t, F.lit(" ")) | t.rlike(NOT_PLAIN))
+        blanks = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.when(t == "", 0).when(single, blanks + 1).when(held == "", 0).otherwise(F.size(F.split(held, rf"[{SPACE}]+")))
+
+    return let(F.replace(F.replace(text, F.lit("\n\n"), F.lit(" ")), F.lit("\n"), F.lit(" ")), count)
 
 
 def split_lines(text: Column) -> Column:

@@ -137,3 +137,12 @@ def test_an_item_occurs_k_times_by_few_probes(spark):
     rows = [([r.choice("abcd") for _ in range(r.randint(4, 12))], r.randint(2, 4)) for _ in range(400)]
     got = [x.o for x in spark.createDataFrame(rows, "w array<string>, k int").select(_occurs(F.col("w"), F.col("k")).alias("o")).collect()]
     assert got == [max(map(w.count, w)) >= k for w, k in rows] and len(set(got)) == 2
+
+
+def test_plain_texts_are_told_by_at_most_two_ranges_and_odd_ones_counted_alike(spark):
+    # three ranges and more are looked through some ten times slower
+    for known in (text.UNUSUAL, text.NOT_PLAIN):
+        assert known.startswith("[^") and known.count("-") <= 2
+    cases = ["a b", "a\nb", "a\n\nb", "a \n\n b\n", "\na", " a", "a ", "a  b", "a\tb", "a\xa0b", "a  b", "\xe9t\xe9 d\xe9j\xe0", "中 文", "\n \n", "a\x1cb", "　"]
+    assert apply(spark, text.word_count, *cases) == [len(c.split()) for c in cases]
+    assert apply(spark, text.normalize_line, "a\xadb\xbb c", "x​  y", "p|q", "•  r", "■s", "a\x7fb", "<u>t") == ["ab\xbb c", "x y", "p q", "• r", "s", "ab", "t"]

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressline.functions.geometry import MIN_OVERLAP, PICTURE_LEAD, PICTURES, TEXT_WINS, bands, bleeds, box, first_shared, overlap_fraction
-from pressline.functions.text import join_lines, normalize_line
+from pressline.functions.text import join_normalized, normalize_line
+from pressline.session import stored
 from pressline.sources import schemas as S
 
 # Labels that stay without text, and lines that make a picture a text.
@@ -64,35 +65,39 @@ def build_blocks(lines: DataFrame, boxes: DataFrame, key: list[str] | None = Non
     A text box without lines is dropped, a picture with RELABEL_LINES lines is
     text. Lines that no box takes make one Unassigned block for the page, numbered
     after the kept ones, so its id can repeat a box's (Q1); block_seq is the key.
+    Lines and boxes are written once, as each is read several times; so is no block made twice: lines that
+    no box takes come out of the same join, and the page's counts from windows over it.
     """
     key = key or S.PAGE_KEY
-    boxes = numbered_boxes(boxes, key)
+    lines, boxes = stored(lines, "lines"), stored(numbered_boxes(boxes, key), "boxes")
     placed = assign_lines(lines, boxes, key)
     own = placed.groupBy(*key, "box_seq").agg(*_rollup(key))
+    both = boxes.withColumnRenamed("confidence", "layout_confidence").join(own, [*key, "box_seq"], "full")
+    boxed = F.col("box_seq").isNotNull()
     count = F.when(F.col("own").isNull(), 0).otherwise(F.size("own"))
-    relabel = F.col("label").isin(PICTURES) & (count >= RELABEL_LINES)
-    taken = boxes.join(own.where("box_seq is not null"), [*key, "box_seq"], "left")
-    taken = taken.withColumn("relabeled", relabel).withColumn("label", F.when(relabel, "Text").otherwise(F.col("label"))).where((count > 0) | F.col("label").isin(NON_TEXT))
-    taken = taken.select(*key, F.col("box_seq").alias("number"), "label", F.col("position").alias("reading_order"), *S.SIDES, "polygon", F.round(F.col("confidence"), 4).alias("layout_confidence"), "mean", F.coalesce("source", F.lit("surya")).alias("source"), "own", "relabeled")
-    kept = taken.groupBy(*key).agg(F.count(F.lit(1)).alias("kept"))
-    total = boxes.groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("total"))
-    loose = own.where("box_seq is null").join(kept, key, "left").join(total, key, "left")
-    loose = loose.select(
-        *key, (F.coalesce("kept", F.lit(0)) + 1).cast("int").alias("number"), F.lit(UNASSIGNED).alias("label"), F.coalesce("total", F.lit(0)).alias("reading_order"), *(F.col(f"u_{s}").alias(s) for s in S.SIDES),
-        F.array().cast("array<array<double>>").alias("polygon"), F.lit(0.0).alias("layout_confidence"), "mean", "source", "own", F.lit(False).alias("relabeled"),
+    relabel = boxed & F.col("label").isin(PICTURES) & (count >= RELABEL_LINES)
+    both = both.withColumn("relabeled", relabel).withColumn("label", F.when(~boxed, UNASSIGNED).when(relabel, "Text").otherwise(F.col("label")))
+    keep, on_page = boxed & ((count > 0) | F.col("label").isin(NON_TEXT)), Window.partitionBy(*key)
+    both = both.withColumns({"keep": keep, "kept": F.count_if(keep).over(on_page), "total": F.count("box_seq").over(on_page)}).where(F.col("keep") | ~boxed)
+    either = lambda box, loose, name: F.when(boxed, box).otherwise(loose).alias(name)
+    blocks = both.select(
+        *key, either(F.col("box_seq"), F.col("kept") + 1, "number"), "label", either(F.col("position"), F.col("total"), "reading_order"), *(either(F.col(s), F.col(f"u_{s}"), s) for s in S.SIDES),
+        either(F.col("polygon"), F.array().cast("array<array<double>>"), "polygon"), either(F.round("layout_confidence", 4), F.lit(0.0), "layout_confidence"), "mean", F.coalesce("source", F.lit("surya")).alias("source"), "own", "relabeled",
     )
-    blocks = taken.unionByName(loose)
     page = F.col("page_number") if "page_number" in key else F.lit(1)
     raw = F.transform("own", lambda x: x["text"])
     words = lambda x: F.coalesce(x["words"], F.array().cast(f"array<{S.WORD}>")).alias("words")
     line = lambda x: F.struct(x["text"].alias("text"), normalize_line(x["text"]).alias("normalized"), F.round(x["confidence"], 4).alias("confidence"), F.array(x["x0"], x["y0"], x["x1"], x["y1"]).alias("bbox"), words(x))
     # the Unassigned block is made last, so it comes last among equals
     order = Window.partitionBy(*key).orderBy("reading_order", "y0", "x0", F.col("label") == UNASSIGNED, "number")
-    return blocks.select(
+    blocks = blocks.select(
         *key, F.row_number().over(order).alias("block_seq"), F.format_string("p%db%03d", page, F.col("number")).alias("block_id"), "label", "reading_order", *S.SIDES, "polygon", "layout_confidence",
-        F.round(F.coalesce("mean", F.lit(0.0)), 4).alias("ocr_confidence"), "source", F.coalesce(F.array_join(raw, "\n"), F.lit("")).alias("text_original"), F.coalesce(join_lines(raw), F.lit("")).alias("text_normalized"),
+        F.round(F.coalesce("mean", F.lit(0.0)), 4).alias("ocr_confidence"), "source", F.coalesce(F.array_join(raw, "\n"), F.lit("")).alias("text_original"),
         F.coalesce(F.transform("own", line), F.array().cast(f"array<{S.LINE}>")).alias("lines"), "relabeled",
     )
+    # each line is normalized once
+    joined = F.coalesce(join_normalized(F.transform("lines", lambda x: x["normalized"])), F.lit("")).alias("text_normalized")
+    return blocks.select(*[c for c in blocks.columns if c not in ("lines", "relabeled")], joined, "lines", "relabeled")
 
 
 def coverage(blocks: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -100,9 +105,10 @@ def coverage(blocks: DataFrame, sizes: DataFrame) -> DataFrame:
     from pressline.functions.text import strip
 
     text = blocks.groupBy(*S.PAGE_KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_seq", "text_normalized"))), lambda b: b["text_normalized"]), " ").alias("text"))
-    joined = sizes.join(text, S.PAGE_KEY, "left")
-    found, there = F.length(strip(F.coalesce("text", F.lit("")))), F.length(strip(F.coalesce("embedded_text", F.lit(""))))
-    return with_ratio(joined.select(*S.PAGE_KEY, found.alias("surya_chars"), there.alias("embedded_chars")))
+    # lengths meet, not texts
+    found, there = F.length(strip("text")), F.length(strip(F.coalesce("embedded_text", F.lit(""))))
+    joined = sizes.select(*S.PAGE_KEY, there.alias("embedded_chars")).join(text.select(*S.PAGE_KEY, found.alias("surya_chars")), S.PAGE_KEY, "left")
+    return with_ratio(joined.select(*S.PAGE_KEY, F.coalesce("surya_chars", F.lit(0)).alias("surya_chars"), "embedded_chars"))
 
 
 def with_ratio(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pressline.operators import articles as A
 from pressline.operators import blocks as B
 from pressline.operators import identity, issues
 from pressline.operators.fusion import fuse_lines
-from pressline.session import stored
+from pressline.session import discard, discard_paths, noting, stored
 from pressline.sources import readers
 from pressline.sources import schemas as S
 from pressline.sources.providers import ImageModel, PageParser, detect, parse_pdfs
@@ -46,9 +46,15 @@ def rebuild(ocr: DataFrame, boxes: DataFrame, sizes: DataFrame, pdf_pages: DataF
         embedded = issues.embedded_top_band(pdf_pages)
         text = pdf_pages.select(*S.PAGE_KEY, F.col("text").alias("__text"))
         sizes = sizes.join(text, S.PAGE_KEY, "left").withColumn("embedded_text", F.coalesce("__text", "embedded_text")).drop("__text")
-    plain = stored(B.build_blocks(lines, boxes), "blocks")
+    with noting() as made:
+        blocks = B.build_blocks(lines, boxes)
+    plain = stored(blocks, "blocks")
+    discard_paths(plain.sparkSession, made)
     segmented = A.segment_blocks(plain)
-    articles = stored(A.link_continuations(A.article_rollup(segmented)), "articles")
+    # links read the articles four times
+    unlinked = stored(A.article_rollup(segmented), "unlinked")
+    articles = stored(A.link_continuations(unlinked), "articles")
+    discard(unlinked)
     blocks = A.annotate_blocks(plain, segmented, articles)
     coverage = B.coverage(plain, sizes)
     pages = stored(issues.page_texts(plain, sizes), "page_texts")

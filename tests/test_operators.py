@@ -636,3 +636,13 @@ def test_reconcile_as_issues_arrive(spark):
     alone = index_rows(spark, [{"issue_id": "99", "newspaper": "Quite Alone", "newspaper_source": "page_headers", "masthead": "", "processed_at": "t"}])
     grown = arrivals.with_arrivals(kept, alone)
     assert [x.issue_id for x in arrivals.hanging_together(grown, alone).collect()] == ["99"]  # a stranger moves no other issue
+
+
+def test_blocks_are_made_once_for_boxed_and_loose_lines(spark):
+    boxes = spark.createDataFrame([("d", 1, 0, "Text", 0, 0.5, 0.0, 0.0, 100.0, 100.0, []), ("d", 1, 1, "Text", 1, 0.5, 0.0, 500.0, 100.0, 600.0, []), ("d", 1, 2, "Table", 2, 0.5, 0.0, 700.0, 100.0, 800.0, []), ("e", 1, 0, "Text", 0, 0.5, 0.0, 0.0, 9.0, 9.0, [])], S.LAYOUT_BOXES)
+    lines = spark.createDataFrame([(d, 1, i, t, 0.9, 0.0, y, 90.0, y + 9, None, "surya") for d, i, t, y in (("d", 0, "in a box", 10.0), ("d", 1, "loose", 300.0), ("f", 0, "no boxes", 10.0))], S.OCR_LINES + ", source string")
+    blocks = B.build_blocks(lines, boxes)
+    got = [tuple(r) for r in blocks.orderBy("issue_id", "block_seq").select("issue_id", "block_id", "label", "reading_order", "text_normalized", "relabeled").collect()]
+    # the empty text box is dropped, but counts for the place of what is loose; its number follows those kept
+    assert got == [("d", "p1b001", "Text", 0, "in a box", False), ("d", "p1b003", "Table", 2, "", False), ("d", "p1b003", "Unassigned", 3, "loose", False), ("f", "p1b001", "Unassigned", 0, "no boxes", False)]
+    assert blocks._jdf.queryExecution().optimizedPlan().toString().count("collect_list(struct(y0") == 1

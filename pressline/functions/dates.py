@@ -89,15 +89,22 @@ def parse_dateline(text: Column) -> Column:
 
     def first(pattern: str, order: tuple[int, ...]) -> Column:
         found = F.regexp_extract_all(text, F.lit("(?dim)^" + pattern), 0)
-        read = F.transform(found, lambda m: _dateline(*(F.regexp_extract(m, "(?di)^" + pattern, g) for g in order)))
+        # one match for all groups; only the last, the rest of the line, may hold the mark itself
+        groups = F.transform(found, lambda m: F.split(F.regexp_replace(m, "(?di)^" + pattern, "$1\0$2\0$3\0$4\0$5"), r"\x00", 5))
+        read = F.transform(groups, lambda g: _dateline(*(F.get(g, F.lit(n - 1)) for n in order)))
         return F.get(F.filter(read, lambda d: d.isNotNull()), F.lit(0))
 
     # city, province, day, month, rest
     return F.coalesce(first(MDY, (1, 2, 4, 3, 5)), first(DMY, (1, 2, 3, 4, 5)))
 
 
+def _may(text: Column) -> Column:
+    """A comma with a month behind it, without which there is no dateline: a cheap test for most texts."""
+    return F.contains(text, F.lit(",")) & text.rlike(rf"(?is),.*{_MONTH}")
+
+
 def _has_dateline(text: Column) -> Column:
-    return text.rlike("(?i)" + MDY)
+    return _may(text) & text.rlike("(?i)" + MDY)
 
 
 def dateline_suffix(text: Column) -> Column:
@@ -107,19 +114,26 @@ def dateline_suffix(text: Column) -> Column:
 
 def strip_dateline_suffix(text: Column) -> Column:
     """X14. The text before its first dateline; its city stays where a weekday stands for the province."""
-    before, city, province = (F.regexp_extract(text, SUFFIX, g) for g in (1, 2, 3))
-    return F.when(~_has_dateline(text), text).when(is_weekday(province), F.concat(before, city)).otherwise(before)
+
+    def cut(t: Column) -> Column:
+        before, city, province = (F.regexp_extract(t, SUFFIX, g) for g in (1, 2, 3))
+        return F.when(~_has_dateline(t), t).when(is_weekday(province), F.concat(before, city)).otherwise(before)
+
+    return let(text, cut)
 
 
 def parse_dateline_anywhere(text: Column) -> Column:
-    # no dateline anywhere means none at a line start either: cheap tests for most texts
-    may = text.rlike(rf"(?is),.*{_MONTH}") & (_has_dateline(text) | text.rlike("(?dim)^" + DMY))
+    # no dateline anywhere means none at a line start either
+    may = _may(text) & (text.rlike("(?i)" + MDY) | text.rlike("(?dim)^" + DMY))
     return F.when(may, let(dateline_suffix(text), lambda s: F.coalesce(parse_dateline(s), parse_dateline(text))))
 
 
 def date_from_text(text: Column) -> Column:
     """X15. A written date in the first lines: a day, else a month."""
-    top = F.lower(F.array_join(F.slice(split_lines(text), 1, TOP_LINES), "\n"))
-    day = [F.regexp_extract(top, TEXT_DAY, g) for g in (1, 2, 3)]
-    month = [F.regexp_extract(top, TEXT_MONTH, g) for g in (1, 2)]
-    return F.when(day[0] != "", F.format_string("%s-%02d-%02d", day[2], month_number(day[0]), day[1].cast("int"))).when(month[0] != "", F.format_string("%s-%02d", month[1], month_number(month[0])))
+
+    def read(top: Column) -> Column:
+        day = [F.regexp_extract(top, TEXT_DAY, g) for g in (1, 2, 3)]
+        month = [F.regexp_extract(top, TEXT_MONTH, g) for g in (1, 2)]
+        return F.when(day[0] != "", F.format_string("%s-%02d-%02d", day[2], month_number(day[0]), day[1].cast("int"))).when(month[0] != "", F.format_string("%s-%02d", month[1], month_number(month[0])))
+
+    return let(F.lower(F.array_join(F.slice(split_lines(text), 1, TOP_LINES), "\n")), read)

@@ -52,8 +52,9 @@ def strip(text: Column) -> Column:
 
 
 def collapse(text: Column) -> Column:
-    """White space runs as one blank, none at the ends."""
-    return strip(F.regexp_replace(text, rf"[{SPACE}]+", " "))
+    """White space runs as one blank, none at the ends; most texts have single blanks already."""
+    runs = lambda t: F.contains(t, F.lit("  ")) | t.rlike(NOT_PLAIN)
+    return let(text, lambda t: F.when(runs(t), strip(F.regexp_replace(t, rf"[{SPACE}]+", " "))).otherwise(F.trim(t)))
 
 
 def count_class(text: Column, inside: str) -> Column:
@@ -132,8 +133,10 @@ def word_count(text: Column) -> Column:
 
 
 def split_lines(text: Column) -> Column:
-    """Lines without their ends; no empty piece after a final line end."""
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(text, rf"(?:{LINE_END})\z", ""), LINE_END))
+    """Lines without their ends; no empty piece after a final line end. Most texts have no ends but \\n."""
+    unix = ~F.replace(text, F.lit("\n"), F.lit(" ")).rlike(NOT_PLAIN)
+    whole = F.when(F.endswith(text, F.lit("\n")), F.left(text, F.length(text) - 1)).otherwise(text)
+    return F.when(text == "", F.array().cast("array<string>")).when(unix, F.split(whole, "\n")).otherwise(F.split(F.regexp_replace(text, rf"(?:{LINE_END})\z", ""), LINE_END))
 
 
 def top_trigram(text: Column) -> Column:

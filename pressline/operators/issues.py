@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pressline.functions import dates, headers, similarity
 from pressline.functions.regions import with_country
-from pressline.functions.text import join_lines, normalize_line, split_lines, strip
+from pressline.functions.text import join_lines, let, normalize_line, split_lines, strip
 from pressline.sources import schemas as S
 
 # Bands of the page height that hold nameplates and headers.
@@ -54,7 +54,8 @@ def _unlike_headlines(pages: DataFrame, articles: DataFrame) -> DataFrame:
     # 2*min/(m+n) bounds the ratio, so most pairs never reach Python
     bound = 2 * F.least(F.length("a"), F.length("b")) > similarity.HEADLINE_SIMILARITY * (F.length("a") + F.length("b"))
     open_ = pairs.where(both & ~inside & bound).select("a", "b").distinct()
-    alike = open_.withColumn("alike", similarity.ratio(F.col("a"), F.col("b")) > similarity.HEADLINE_SIMILARITY).where("alike")
+    # no filter on what Python says: it would be moved before the distinct, and each pair judged as often as it occurs
+    alike = open_.withColumn("alike", similarity.ratio(F.col("a"), F.col("b")) > similarity.HEADLINE_SIMILARITY)
     judged = pairs.withColumn("inside", inside).join(alike, ["a", "b"], "left").groupBy("issue_id", "i", "line").agg(F.max(F.coalesce("inside", F.lit(False)) | F.coalesce("alike", F.lit(False))).alias("bad"))
     return judged.where(~F.col("bad")).groupBy("issue_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n").alias("masthead_text"))
 
@@ -67,7 +68,7 @@ def issue_metadata(pages: DataFrame, articles: DataFrame, embedded: DataFrame |
     """
     empty = F.lit("")
     first = pages.where("page_number = 1").select("issue_id", "header", "top_band", "page_text")
-    inner = pages.where("page_number > 1 and header <> ''").select("issue_id", "page_number", dates.parse_dateline_anywhere(F.col("header")).alias("d"), headers.extract_masthead(dates.strip_dateline_suffix(F.col("header")), True).alias("m"), headers.parse_volume(F.col("header")).alias("v"))
+    inner = pages.where("page_number > 1 and header <> ''").select("issue_id", "page_number", dates.parse_dateline_anywhere(F.col("header")).alias("d"), let(dates.strip_dateline_suffix(F.col("header")), lambda t: headers.extract_masthead(t, True)).alias("m"), headers.parse_volume(F.col("header")).alias("v"))
     pick = lambda c: F.min_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col("page_number"))).alias(f"inner_{c}")
     inner = inner.groupBy("issue_id").agg(pick("d"), pick("m"), pick("v"))
     lead = articles.where("page_number = 1").where(headers.lead_headline(F.col("title"))).groupBy("issue_id").agg(F.min_by("title", "article_seq").alias("lead"))
@@ -89,7 +90,7 @@ def issue_metadata(pages: DataFrame, articles: DataFrame, embedded: DataFrame |
         "date_source": F.when(file_date.isNotNull(), "filename").when(line_date.isNotNull(), "dateline").otherwise("text"),
         "masthead": mast,
         "volume_issue": volume,
-        "title": F.coalesce("lead", F.when(layer != "", normalize_line(F.coalesce(F.get(split_lines(layer), F.lit(0)), empty))), empty),
+        "title": F.coalesce("lead", F.when(layer != "", let(F.coalesce(F.get(split_lines(layer), F.lit(0)), empty), normalize_line)), empty),
         "place": place,
         "place_source": F.when(F.col("dateline").isNotNull(), "dateline").when(imprint.isNotNull(), "imprint"),
     })

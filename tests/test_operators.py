@@ -9,7 +9,7 @@ from pressline.functions import headers, similarity
 from pressline.functions.components import connected_components
 from pressline.operators import articles as A
 from pressline.operators import blocks as B
-from pressline.operators import arrivals, corpus, correct, fusion, identity, reports
+from pressline.operators import arrivals, corpus, correct, fusion, identity, issues, reports
 from pressline.operators.names import alike_words, matching_names, word_candidates
 from pressline.sources import providers, readers, writers
 from pressline.sources import schemas as S
@@ -646,3 +646,26 @@ def test_blocks_are_made_once_for_boxed_and_loose_lines(spark):
     # the empty text box is dropped, but counts for the place of what is loose; its number follows those kept
     assert got == [("d", "p1b001", "Text", 0, "in a box", False), ("d", "p1b003", "Table", 2, "", False), ("d", "p1b003", "Unassigned", 3, "loose", False), ("f", "p1b001", "Unassigned", 0, "no boxes", False)]
     assert blocks._jdf.queryExecution().optimizedPlan().toString().count("collect_list(struct(y0") == 1
+
+
+def test_a_header_is_read_once_and_a_pair_of_headlines_judged_once(spark, monkeypatch):
+    blocks = spark.createDataFrame([(str(i), 1, 1, "PageHeader", "THE DAILY TIMES 5 BOSTON, Mass., Monday, Jan 2, 1911") for i in range(6)] + [("6", 1, 1, "PageHeader", "PAGE 2")], "issue_id string, page_number int, block_seq int, label string, text_normalized string")
+    votes = identity.header_votes(blocks)
+    assert {r["phrase"] for r in votes.collect()} == {"THE DAILY TIMES"} and votes.count() == 6
+    assert votes._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(upper") == 1
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def ratio(a, b):
+        @F.pandas_udf("double")
+        def judge(x, y):
+            seen.add(len(x))
+            return x.str.len() * 0 + 0.9
+
+        return judge(a, b)
+
+    monkeypatch.setattr(issues.similarity, "ratio", ratio)
+    pages = spark.createDataFrame([(str(i), 1, "Fish and Farm Journal\nGazette") for i in range(6)], "issue_id string, page_number int, masthead_band string")
+    titles = spark.createDataFrame([(str(i), 1, "Fish and Form Journals") for i in range(6)], "issue_id string, page_number int, title string")
+    assert {r["masthead_text"] for r in issues._unlike_headlines(pages, titles).collect()} == {"Gazette"}
+    assert seen.value == 1

@@ -110,8 +110,8 @@ def continuation(text: Column, direction: str) -> Column:
     ways = F.regexp_extract_all(text, F.lit(CONTINUATION), 1)
     pages = F.transform(F.regexp_extract_all(text, F.lit(CONTINUATION), 2), page_number)
     pairs = F.filter(F.arrays_zip(ways.alias("way"), pages.alias("page")), lambda p: (F.lower(p["way"]) == direction) & p["page"].isNotNull())
-    # few texts hold the word at all
-    return F.when(F.contains(F.lower(text), F.lit("continued")), let(pairs, lambda p: F.get(p, F.size(p) - 1)["page"]))
+    # few texts hold the word at all; the letters of long texts are slow to lower
+    return F.when(text.rlike("(?i)continued"), let(pairs, lambda p: F.get(p, F.size(p) - 1)["page"]))
 
 
 def lead_headline(title: Column) -> Column:

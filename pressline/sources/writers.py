@@ -26,7 +26,8 @@ def flat_blocks(blocks: DataFrame, issues: DataFrame) -> DataFrame:
     """K3. blocks.ndjson: block rows with the columns of their issue."""
     empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     meta = issues.select("issue_id", F.col("newspaper").alias("__paper"), F.col("date").alias("__date"))
-    joined = blocks.join(meta, "issue_id", "left")
+    # texts are not sorted for it
+    joined = blocks.join(meta.hint("shuffle_hash"), "issue_id", "left")
     return joined.select(
         "block_id", "issue_id", F.coalesce("__paper", F.lit("")).alias("newspaper"), F.coalesce("__date", F.lit("")).alias("issue_date"), "page_number", "label", "reading_order", F.array(*S.SIDES).alias("bbox"),
         "layout_confidence", "ocr_confidence", F.coalesce("source", F.lit("surya")).alias("source"), empty("article_id"), empty("article_title"), "text_original", "text_normalized",

@@ -669,3 +669,22 @@ def test_a_header_is_read_once_and_a_pair_of_headlines_judged_once(spark, monkey
     titles = spark.createDataFrame([(str(i), 1, "Fish and Form Journals") for i in range(6)], "issue_id string, page_number int, title string")
     assert {r["masthead_text"] for r in issues._unlike_headlines(pages, titles).collect()} == {"Gazette"}
     assert seen.value == 1
+
+
+def test_corpus_texts_are_dealt_by_the_issue_alone(spark):
+    issues = spark.createDataFrame([(i, "N", "page_headers", "C", "P", None, None, None, "1950", None, None) for i in ("1", "2")], ISSUE + ", date string, day_of_week string, date_precision string").withColumn("newspaper_canonical", F.lit("N"))
+    arts = art(spark, [("1", "a", "w " * 20, 20), ("1", "b", "v " * 20, 20), ("2", "a", "u " * 20, 20)])
+    fixed = spark.createDataFrame([("1", "a", "new text", "m", "t"), ("1", "a", "new text", "m", "u"), ("1", "b", None, "m", "t"), ("1", None, "lost", "m", "t"), ("3", "a", "of no issue", "m", "t")], S.CORRECTIONS)
+    rows = corpus.article_rows(arts, issues, fixed)
+    got = sorted((r.issue_id, r.article_id, r.word_count, r.corrected, r.text_normalized[:8]) for r in rows.collect())
+    assert got == [("1", "a", 2, True, "new text"), ("1", "b", 20, None, "v v v v "), ("2", "a", 20, None, "u u u u ")]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(c, v)
+        plan = corpus.article_rows(arts, issues, fixed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    # the corrections alone are dealt by the article, to be distinct
+    assert len([x for x in plan.split("\n") if "Exchange hashpartitioning(issue_id" in x and "article_id" in x.split("), ")[0]]) == 1

@@ -217,8 +217,8 @@ def test_j8_of_alike_names_the_one_nearest_in_length(spark):
     assert [tuple(r) for r in identity.cross_issue_names(asking, clusters, index).collect()] == [("a", "Evening Telegraph 256")]
 
 
-def most_joined(df):
-    """The most rows that one join of a plan makes."""
+def most_rows(df, of):
+    """The most rows that one node of a plan makes, of those whose kind ends so."""
     df.collect()
 
     def nodes(plan):
@@ -228,7 +228,7 @@ def most_joined(df):
         for p in inner:
             yield from nodes(p)
 
-    return max(plan.metrics().apply("numOutputRows").value() for kind, plan in nodes(df._jdf.queryExecution().executedPlan()) if kind.endswith("JoinExec"))
+    return max(plan.metrics().apply("numOutputRows").value() for kind, plan in nodes(df._jdf.queryExecution().executedPlan()) if kind.endswith(of))
 
 
 def test_j8_names_of_one_phrase_are_not_paired_with_all_who_ask(spark):
@@ -240,7 +240,7 @@ def test_j8_names_of_one_phrase_are_not_paired_with_all_who_ask(spark):
     clusters = spark.createDataFrame([(f"a{k}", "ADVERTISEMENTSHEEX" if k < 120 else "EVENING TELEGRAPH", 1, 0) for k in range(240)], "issue_id string, phrase string, votes long, rank int")
     found = identity.cross_issue_names(asking, clusters, index)
     assert {tuple(r) for r in found.collect()} == {(f"a{k}", "Advertisementsheea" if k < 120 else "Evening Telegraph 0") for k in range(240)}
-    assert most_joined(found) <= 240
+    assert most_rows(found, "JoinExec") <= 240
 
 
 def test_j9_numbers_that_gain_a_digit_are_alike(spark):
@@ -315,6 +315,13 @@ def test_pairs_of_a_hot_kind_are_spread_over_tasks(spark, monkeypatch):
     assert max(map(tasks.count, set(tasks))) < len(rows) / 2
 
 
+def test_pairs_are_handed_on_before_a_block_is_done(spark):
+    """Spark holds what generators make of one row, so for the first pair of a block only some of its million are made."""
+    members = spark.createDataFrame([(f"i{k:04d}", "a") for k in range(1000)], "issue_id string, kind string")
+    first = identity._pairs(members, spark.createDataFrame([("a", "a")], "a string, b string")).limit(1)
+    assert most_rows(first, "GenerateExec") <= 100 * 1000
+
+
 def test_masthead_stars_equal_pairs(spark):
     """Components and sibling values by stars are those of all pairs; short and long mastheads, each size beside each."""
     r = random.Random(11)

@@ -228,7 +228,7 @@ def most_rows(df, of):
         for p in inner:
             yield from nodes(p)
 
-    return max(plan.metrics().apply("numOutputRows").value() for kind, plan in nodes(df._jdf.queryExecution().executedPlan()) if kind.endswith(of))
+    return max((plan.metrics().apply("numOutputRows").value() for kind, plan in nodes(df._jdf.queryExecution().executedPlan()) if kind.endswith(of)), default=0)
 
 
 def test_j8_names_of_one_phrase_are_not_paired_with_all_who_ask(spark):
@@ -322,6 +322,31 @@ def test_pairs_are_handed_on_before_a_block_is_done(spark):
     assert most_rows(first, "GenerateExec") <= 100 * 1000
 
 
+def test_same_publication_equals_brute_force_without_telling_pairs_apart(spark):
+    """Pairs by name, by masthead and by both; then with a row that the index has twice."""
+    r = random.Random(5)
+    words = ["alpha", "bravo", "charlie", "delta", "echoes", "foxtrot", "golfing", "hotel"]
+    names = ["Evening Telegraph", "Evening Telegraqh", "Evening Telegrath", "Daily Gleaner", "Daily Gleanor", "Morning Chronicle", None]
+    mastheads = [" ".join(r.sample(words, r.choice((4, 4, 5, 7)))) for _ in range(8)] + ["short title"]
+    rows = [issue(f"i{k:03d}", r.choice(names), r.choice(("page_headers", "override", "fallback")), masthead=r.choice(mastheads + mastheads[:1] * 8)) for k in range(120)]
+    # three alone: a masthead and a name that no other issue has, or that one other has
+    rows += [issue("j1", "Halifax Courier", "override", masthead="unlike every other masthead"), issue("j2", "Halifax Courier", "override", masthead="nothing shared anywhere else"), issue("j3", "Truro Standard", "override", masthead="yankee xray whisky victor")]
+
+    def alike(x, y):
+        named = all(z[1] and z[2] in identity.CONFIDENT for z in (x, y)) and (similarity.words_match(x[1], y[1]) or similarity.words_match(y[1], x[1]))
+        a, b = ({w for w in z[7].split() if len(w) > 3} for z in (x, y))
+        return named, min(len(a), len(b)) >= 4 and 2 * len(a & b) >= min(len(a), len(b))
+
+    for index in (rows, rows + rows[:2]):
+        ways = {(x[0], y[0], alike(x, y)) for x in index for y in index if x[0] < y[0]}
+        assert {w[2] for w in ways} == {(True, True), (True, False), (False, True), (False, False)}
+        found = identity.same_publication(spark.createDataFrame(index, ISSUE))
+        got = [tuple(p) for p in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == {w[:2] for w in ways if any(w[2])} and len(got) > 1000
+        if index is rows:
+            assert most_rows(found, "HashAggregateExec") < 1000
+
+
 def test_masthead_stars_equal_pairs(spark):
     """Components and sibling values by stars are those of all pairs; short and long mastheads, each size beside each."""
     r = random.Random(11)
